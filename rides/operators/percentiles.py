@@ -21,20 +21,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def exact_stats(df: DataFrame, group_cols: list[str], int_value: Column | str,
-                to_unit, percentiles: dict[str, float], count_name: str = "n",
-                mean_name: str = "mean") -> DataFrame:
-    """``to_unit`` maps an integer-unit Column to the reported unit; it must be
-    monotone and linear (it is applied after interpolation)."""
+def value_histogram(df: DataFrame, group_cols: list[str], int_value: Column | str,
+                    value_name: str = "_v", count_name: str = "_c") -> DataFrame:
+    """(group, value) -> count, with map-side partial aggregation."""
     v = F.col(int_value) if isinstance(int_value, str) else int_value
-    hist = (df.select(*group_cols, v.alias("_v"))
-              .groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    return (df.select(*group_cols, v.alias(value_name))
+              .groupBy(*group_cols, value_name).agg(F.count(F.lit(1)).alias(count_name)))
+
+
+def stats_from_histogram(hist: DataFrame, group_cols: list[str], value_col: str, freq_col: str,
+                         to_unit, percentiles: dict[str, float], count_name: str = "n",
+                         mean_name: str = "mean") -> DataFrame:
+    """Count, exact mean and interpolated percentiles per group from a
+    (group, integer value, frequency) histogram. ``to_unit`` maps the integer
+    unit to the reported one; it must be monotone and linear (it is applied
+    after interpolation)."""
     names = list(percentiles)
-    pct = F.percentile(F.col("_v"), [percentiles[n] for n in names], F.col("_c"))
+    v, c = F.col(value_col), F.col(freq_col)
     agg = (hist.groupBy(*group_cols)
-               .agg(F.sum("_c").alias(count_name),
-                    F.sum(F.col("_v").cast("decimal(38,0)") * F.col("_c")).alias("_sum"),
-                    pct.alias("_p")))
+               .agg(F.sum(c).alias(count_name),
+                    F.sum(v.cast("decimal(38,0)") * c).alias("_sum"),
+                    F.percentile(v, [percentiles[n] for n in names], c).alias("_p")))
     mean = to_unit(F.col("_sum").cast("double") / F.col(count_name))
     return agg.select(*group_cols, F.col(count_name), mean.alias(mean_name),
                       *[to_unit(F.col("_p")[i]).alias(n) for i, n in enumerate(names)])
+
+
+def exact_stats(df: DataFrame, group_cols: list[str], int_value: Column | str,
+                to_unit, percentiles: dict[str, float], count_name: str = "n",
+                mean_name: str = "mean") -> DataFrame:
+    """Histogram then per-group statistics (see the module notes)."""
+    hist = value_histogram(df, group_cols, int_value)
+    return stats_from_histogram(hist, group_cols, "_v", "_c", to_unit, percentiles,
+                                count_name, mean_name)

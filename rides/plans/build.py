@@ -1,10 +1,10 @@
 """Assemble every model and report from raw trips.
 
-``build`` is lazy: it returns DataFrames and runs nothing. With
-``materialize=True`` the intermediate table (read by three dimensions and three
-facts) is checkpointed to the cluster's shared checkpoint folder first, which
-also cuts its lineage, so a lost executor recomputes from the checkpoint
-instead of from the raw files.
+The staging and intermediate tables stay lazy (they are projections of the
+raw trips). The two small aggregates are materialized once (reliable
+checkpoint in the shared folder); every dimension, fact and report is then
+built from them, so the trips are scanned twice in total, each time reading
+only the columns that aggregate needs.
 """
 
 from __future__ import annotations
@@ -12,23 +12,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
+from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
 
 
-def build(raw: DataFrame, materialize: bool = False,
-          include_ingestion_ts: bool = True) -> dict[str, DataFrame]:
+def build(raw: DataFrame, include_ingestion_ts: bool = True) -> dict[str, DataFrame]:
     stg = stg_trips(raw, include_ingestion_ts=include_ingestion_ts)
     it = int_trips(stg)
-    if materialize:
-        it = it.checkpoint(eager=True)
-    dsc = D.daily_station_counts(it)
-    dim_date = D.dim_date_from_dates(dsc)
-    dim_stations = D.dim_stations_from(dsc)
-    dim_time = D.dim_time(it)
-    popular = FCT.fct_popular_stations_by_weekday(it, dim_date, dim_stations)
-    durations = FCT.fct_trip_duration_by_hour(it, dim_time)
-    trends = FCT.fct_daily_trip_trends(it, dim_date)
+    counts = materialize(daily_station_counts(it))
+    hist = materialize(duration_histogram(it))
+    dim_date = D.dim_date_from_dates(counts)
+    dim_stations = D.dim_stations_from(counts)
+    dim_time = D.dim_time_from_hours(hist)
+    popular = FCT.fct_popular_stations_by_weekday(dates=dim_date, stations=dim_stations,
+                                                  counts=counts)
+    durations = FCT.fct_trip_duration_by_hour(times=dim_time, hist=hist)
+    trends = FCT.fct_daily_trip_trends(dates=dim_date, counts=counts)
     return {
         "stg_trips": stg,
         "int_trips": it,

@@ -1,6 +1,9 @@
-"""Dimensions. Each is a DISTINCT over the trips; the dates and stations ones
-are taken from a small per-(date, station) count so one scan can feed the
-dimensions and the facts (Spark reuses the exchange inside one plan)."""
+"""Dimensions: DISTINCTs over the trips.
+
+Each has a standalone form over trips and a form over the small aggregates
+of ``rides.plans.aggregates``, which ``build`` uses so that one scan of the
+trips feeds every dimension and fact.
+"""
 
 from __future__ import annotations
 
@@ -9,17 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from rides import functions as RF
 
 
-def daily_station_counts(trips: DataFrame) -> DataFrame:
-    """(trip_date, start_station_id, start_station_name) -> trips.
-
-    Bounded by days x station names; partial aggregation before the shuffle
-    absorbs any hot station or day.
-    """
-    return (trips.groupBy("trip_date", "start_station_id", "start_station_name")
-                 .agg(F.count(F.lit(1)).alias("trips")))
-
-
 def dim_date_from_dates(dates: DataFrame, date_col: str = "trip_date") -> DataFrame:
+    """ride_date, day, ISO week, month, year, weekday name, season."""
     d = F.col("ride_date")
     m = F.month(d)
     return (dates.select(F.col(date_col).alias("ride_date")).distinct()
@@ -50,7 +44,11 @@ def dim_stations(trips: DataFrame) -> DataFrame:
     return dim_stations_from(trips.select("start_station_id", "start_station_name"))
 
 
+def dim_time_from_hours(hours: DataFrame, hour_col: str = "start_hour") -> DataFrame:
+    return (hours.select(F.col(hour_col).alias("hour")).distinct()
+                 .select("hour", RF.time_of_day("hour").alias("time_of_day_category")))
+
+
 def dim_time(trips: DataFrame) -> DataFrame:
     """One row per observed start hour (at most 24)."""
-    return (trips.select(F.col("start_hour").alias("hour")).distinct()
-                 .select("hour", RF.time_of_day("hour").alias("time_of_day_category")))
+    return dim_time_from_hours(trips)

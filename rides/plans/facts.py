@@ -1,9 +1,11 @@
 """Fact tables.
 
-Each fact aggregates the trips *before* joining its dimensions: the
+Each fact is computed from a small materialized aggregate of the trips (see
+``rides.plans.aggregates``) and joins its dimensions *after* aggregating: the
 dimensions are unique on the join key and built from the same trips, so the
-inner join after aggregation gives the same rows as joining every trip, at
-the size of the aggregate instead of the trip table.
+inner join at the aggregate's grain gives the same rows as joining every
+trip. Pass ``counts`` / ``hist`` to share one aggregate between facts; when
+omitted, the fact takes and materializes its own from ``trips``.
 """
 
 from __future__ import annotations
@@ -12,76 +14,89 @@ from pyspark.sql import DataFrame, functions as F
 
 from rides import functions as RF
 from rides.operators.monthly import month_over_month
-from rides.operators.percentiles import exact_stats
+from rides.operators.percentiles import stats_from_histogram
 from rides.operators.ranking import rank_within
 from rides.operators.rolling import rolling_stats, zscore_flag
-from rides.plans.dimensions import (
-    daily_station_counts, dim_date_from_dates, dim_stations_from, dim_time,
-)
+from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
+from rides.plans.dimensions import dim_date_from_dates, dim_stations_from, dim_time_from_hours
 
+DURATION_PERCENTILES = {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
+                        "p75_duration_minutes": 0.75}
 
-def fct_popular_stations_by_weekday(trips: DataFrame, dates: DataFrame | None = None,
-                                    stations: DataFrame | None = None) -> DataFrame:
+
+def _counts(trips, counts):
+    return counts if counts is not None else materialize(daily_station_counts(trips))
+
+
+def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
+                                    dates: DataFrame | None = None,
+                                    stations: DataFrame | None = None,
+                                    counts: DataFrame | None = None) -> DataFrame:
     """(station_id, station_name, weekday) -> total_trips, station_rank.
 
     RANK() per weekday by total_trips descending: ties share a rank and the
     next rank skips. A station id with two names joins both names (N:M), as in
     the source rule; the NULL-station group finds no dimension row and drops.
-    Dimension joins are left to AQE, which broadcasts a side only after its
-    measured size is below the threshold.
+    The joins are between aggregates; AQE broadcasts a side only after its
+    measured size is under the threshold and keeps a shuffle join otherwise.
     """
-    dsc = daily_station_counts(trips)
-    dates = dates if dates is not None else dim_date_from_dates(dsc)
-    stations = stations if stations is not None else dim_stations_from(dsc)
-    swc = (dsc.join(dates.select("ride_date", "weekday"), dsc["trip_date"] == dates["ride_date"])
-              .groupBy("start_station_id", "weekday")
-              .agg(F.sum("trips").cast("bigint").alias("total_trips")))
+    counts = _counts(trips, counts)
+    dates = dates if dates is not None else dim_date_from_dates(counts)
+    stations = stations if stations is not None else dim_stations_from(counts)
+    swc = (counts.join(dates.select("ride_date", "weekday"),
+                       counts["trip_date"] == dates["ride_date"])
+                 .groupBy("start_station_id", "weekday")
+                 .agg(F.sum("trips").cast("bigint").alias("total_trips")))
     joined = (swc.join(stations, swc["start_station_id"] == stations["station_id"])
                  .select("station_id", "station_name", "weekday", "total_trips"))
     return rank_within(joined, ["weekday"], "total_trips", name="station_rank")
 
 
-def fct_trip_duration_by_hour(trips: DataFrame, times: DataFrame | None = None) -> DataFrame:
+def fct_trip_duration_by_hour(trips: DataFrame | None = None, times: DataFrame | None = None,
+                              hist: DataFrame | None = None) -> DataFrame:
     """(start_hour, time_of_day_category, rider_type) -> trips_count, average,
     median, p25 and p75 of duration in minutes (exact, interpolated).
 
     ``dim_time`` has at most 24 rows (hours 0-23), a proven bound, so it is
     broadcast explicitly.
     """
-    times = times if times is not None else dim_time(trips)
-    base = trips.select("start_hour", F.col("member_casual").alias("rider_type"),
-                        RF.duration_micros("start_ts", "end_ts").alias("duration_us"))
-    stats = exact_stats(
-        base, ["start_hour", "rider_type"], "duration_us", RF.minutes_from_micros,
-        {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
-         "p75_duration_minutes": 0.75},
-        count_name="trips_count", mean_name="avg_duration_minutes")
+    hist = hist if hist is not None else materialize(duration_histogram(trips))
+    times = times if times is not None else dim_time_from_hours(hist)
+    stats = stats_from_histogram(hist, ["start_hour", "rider_type"], "duration_us", "trips",
+                                 RF.minutes_from_micros, DURATION_PERCENTILES,
+                                 count_name="trips_count", mean_name="avg_duration_minutes")
     return (stats.join(F.broadcast(times), stats["start_hour"] == times["hour"])
                  .select("start_hour", "time_of_day_category", "rider_type", "trips_count",
                          "avg_duration_minutes", "median_duration_minutes",
                          "p25_duration_minutes", "p75_duration_minutes"))
 
 
-def daily_counts(trips: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def daily_counts(trips: DataFrame | None = None, dates: DataFrame | None = None,
+                 counts: DataFrame | None = None) -> DataFrame:
     """ride_date -> daily_trips, for dates present in the date dimension."""
-    per_day = trips.groupBy("trip_date").agg(F.count(F.lit(1)).alias("daily_trips"))
-    dates = dates if dates is not None else dim_date_from_dates(per_day)
+    counts = _counts(trips, counts)
+    per_day = counts.groupBy("trip_date").agg(F.sum("trips").cast("bigint").alias("daily_trips"))
+    dates = dates if dates is not None else dim_date_from_dates(counts)
     return (per_day.join(dates.select("ride_date"), per_day["trip_date"] == dates["ride_date"])
                    .select("ride_date", "daily_trips"))
 
 
-def fct_daily_trip_trends(trips: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | None = None,
+                          counts: DataFrame | None = None) -> DataFrame:
     """One row per observed date: counts, 7/30-row rolling averages, month
     totals with the previous observed month, season and a z-score anomaly
-    flag over the 30-row frame that includes the current row."""
-    per_day = trips.groupBy("trip_date").agg(F.count(F.lit(1)).alias("daily_trips"))
-    dates = dates if dates is not None else dim_date_from_dates(per_day)
-    counts = (per_day.join(dates.select("ride_date"), per_day["trip_date"] == dates["ride_date"])
-                     .select("ride_date", "daily_trips"))
-    rolling = rolling_stats(counts, "ride_date", "daily_trips",
+    flag over the 30-row frame that includes the current row.
+
+    The rolling and lag windows are unpartitioned; their input has one row
+    per date (or month), bounded by the calendar span, not by trips.
+    """
+    counts = _counts(trips, counts)
+    dates = dates if dates is not None else dim_date_from_dates(counts)
+    per_day = daily_counts(dates=dates, counts=counts)
+    rolling = rolling_stats(per_day, "ride_date", "daily_trips",
                             {"avg_7d_trips": 7, "avg_30d_trips": 30},
                             {"stddev_30d_trips": 30})
-    monthly = month_over_month(counts, "ride_date", "daily_trips")
+    monthly = month_over_month(per_day, "ride_date", "daily_trips")
     seasons = dates.select(F.col("ride_date").alias("_d"), "season")
     return (rolling
             .join(monthly, F.trunc(rolling["ride_date"], "month") == monthly["month_start"])

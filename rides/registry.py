@@ -21,6 +21,7 @@ from rides.operators.ranking import rank_within
 from rides.operators.rolling import rolling_stats
 from rides.oracle import FRESHNESS_AS_OF, INCREMENTAL_MARK
 from rides.plans import checks as C, dimensions as D, facts as FCT, reports as R
+from rides.plans.aggregates import daily_station_counts, materialize
 from rides.plans.build import build
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
@@ -181,6 +182,7 @@ def _daily_counts(spark, sf):
     return FCT.daily_counts(_int(spark, sf))
 
 
+
 @register("op_rolling_stats")
 def q_op_rolling(spark, sf):
     out = rolling_stats(_daily_counts(spark, sf), "ride_date", "daily_trips",
@@ -196,10 +198,12 @@ def q_op_lag_mom(spark, sf):
 
 @register("op_rank")
 def q_op_rank(spark, sf):
-    it = _int(spark, sf)
-    dates = D.dim_date(it)
-    swc = (it.join(dates.select("ride_date", "weekday"), it["trip_date"] == dates["ride_date"])
-             .groupBy("start_station_id", "weekday").agg(F.count(F.lit(1)).alias("total_trips")))
+    counts = materialize(daily_station_counts(_int(spark, sf)))
+    dates = D.dim_date_from_dates(counts)
+    swc = (counts.join(dates.select("ride_date", "weekday"),
+                       counts["trip_date"] == dates["ride_date"])
+                 .groupBy("start_station_id", "weekday")
+                 .agg(F.sum("trips").cast("bigint").alias("total_trips")))
     return rank_within(swc, ["weekday"], "total_trips", name="station_rank")
 
 
