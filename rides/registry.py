@@ -247,3 +247,62 @@ def q_parquet_roundtrip(spark, sf):
     write_trips_by_month(it, path)
     back = read_trips_by_month(spark, path, it.schema)
     return back.groupBy("trip_month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+# ---------------------------------------------------------------------------
+# Sources: raw trips written by Spark as CSV files / zip archives, read back
+# through the by-name readers, summarised per start month.
+
+def _month_summary(raw: DataFrame) -> DataFrame:
+    return (raw.groupBy(F.date_format("started_at", "yyyy-MM").alias("trip_month"))
+               .agg(F.count(F.lit(1)).alias("trips"),
+                    F.count_if(F.col("member_casual") == "member").alias("member_trips"),
+                    F.count_if(F.col("rideable_type") == "electric_bike").alias("electric_trips"),
+                    F.count_if(F.col("end_station_id").isNull()).alias("no_end_station"),
+                    F.max("ended_at").alias("last_end"),
+                    round_half_away(F.sum("start_lat"), 6).alias("sum_start_lat")))
+
+
+def _write_two_layouts(raw: DataFrame, path: str) -> None:
+    """Half the rows with the declared column order, half reversed with an
+    extra column, so a positional reader would swap columns."""
+    from rides.schema import RAW_NAMES
+
+    opts = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    even = F.col("ride_id").cast("long") % 2 == 0
+    raw.where(even).select(*RAW_NAMES).write.options(**opts).csv(f"{path}/layout_a")
+    (raw.where(~even).select(F.lit("x").alias("note"), *reversed(RAW_NAMES))
+        .write.options(**opts).csv(f"{path}/layout_b"))
+
+
+@register("csv_by_name_roundtrip")
+def q_csv_by_name_roundtrip(spark, sf):
+    from rides.session import shared_dir
+    from rides.sources.csv import read_trips_csv
+
+    path = shared_dir(spark, "csv_roundtrip", unique=True)
+    _write_two_layouts(_raw(spark, sf), path)
+    return _month_summary(read_trips_csv(spark, path))
+
+
+@register("ingest_stats")
+def q_ingest_stats(spark, sf):
+    from rides.session import shared_dir
+    from rides.sources.csv import ingest_stats, read_trips_csv
+    from rides.sources.files import admit
+
+    path = shared_dir(spark, "csv_ingest", unique=True)
+    _write_two_layouts(_raw(spark, sf), path)
+    adm = admit(spark, path)
+    return ingest_stats(read_trips_csv(spark, path, admission=adm), adm)
+
+
+@register("archive_ingest")
+def q_archive_ingest(spark, sf):
+    from rides.session import shared_dir
+    from rides.sources.archive import read_trips_zip, write_trips_zip
+
+    path = shared_dir(spark, "zip_roundtrip", unique=True)
+    raw = _raw(spark, sf)
+    write_trips_zip(raw.repartition(4, F.date_format("started_at", "yyyy")), path)
+    return _month_summary(read_trips_zip(spark, path))

@@ -45,17 +45,17 @@ def read_trips_by_month(spark: SparkSession, path: str, schema: T.StructType) ->
 def path_exists(path: str) -> bool:
     import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(_uri(path))
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(path)
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def delete_dir(path: str) -> None:
     import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(_uri(path))
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(path)
     if fs.get_file_info(p).type != pafs.FileType.NotFound:
         fs.delete_dir(p)
-
-
-def _uri(path: str) -> str:
-    return path if "://" in path else "file://" + path
