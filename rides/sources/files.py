@@ -1,9 +1,9 @@
-"""File listing and admission, done by Spark (storage-agnostic).
+"""File listing and admission (storage-agnostic, metadata only).
 
-Spark's file index already hides names that start with '.' or '_' at any
-level (so '._x.csv' and '__MACOSX/' never appear). Admission then drops
-zero-byte files, keeps the list of what it skipped, and fails when nothing
-usable is left.
+Spark's own file index hides names that start with '.' or '_' and empty
+files without saying so. Admission lists through pyarrow's filesystem layer
+instead, so every skipped file is reported with its reason, then hands the
+admitted paths to Spark readers.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ class Admission:
 
 
 def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """(path, length, modificationTime) of matching files under ``paths``.
-
-    Uses the binary-file source without its ``content`` column, so no file
+    """(path, length, modificationTime) of matching files under ``paths`` as
+    Spark sees them (hidden and zero-byte files already left out); the
+    binary-file source is used without its ``content`` column, so no file
     body is read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.format("binaryFile")
@@ -40,23 +40,59 @@ def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*.csv")
                  .select("path", "length", "modificationTime"))
 
 
-def admit(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> Admission:
-    """Collects one row per file (the list is bounded by the number of files)."""
-    rows = list_files(spark, paths, glob).orderBy("path").collect()
+def _walk(path: str, glob: str):
+    """(uri, size, hidden) for every file matching ``glob`` under ``path``:
+    a metadata-only listing through pyarrow's filesystem layer."""
+    import fnmatch
+
+    import pyarrow.fs as pafs
+
+    uri = to_uri(path)
+    fs, root = filesystem(path)
+    prefix = uri[: len(uri) - len(root)] if uri.endswith(root) else "file://"
+    info = fs.get_file_info(root)
+    if info.type == pafs.FileType.File:
+        yield spark_path(uri), info.size, False
+        return
+    for f in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+        if f.type != pafs.FileType.File or not fnmatch.fnmatch(f.base_name, glob):
+            continue
+        rel = [seg for seg in f.path[len(root):].split("/") if seg]
+        hidden = any(seg.startswith(("_", ".")) for seg in rel[:-1])
+        yield spark_path(prefix + f.path), f.size, hidden
+
+
+def admit(spark: SparkSession | None, paths: str | list[str], glob: str = "*.csv") -> Admission:
+    """Admit files for loading: skip resource forks ('._*'), files inside
+    hidden folders ('__MACOSX/', '_temporary/') and zero-byte files, and fail
+    when nothing usable is left. The list is bounded by the number of files."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     adm = Admission()
-    for r in rows:
-        name = r["path"].rsplit("/", 1)[-1]
-        if r["length"] == 0:
-            adm.skipped.append((r["path"], 0, "empty"))
-        elif name.startswith("._"):
-            adm.skipped.append((r["path"], r["length"], "resource fork"))
-        else:
-            adm.admitted.append((r["path"], r["length"]))
+    for root in paths:
+        for uri, size, hidden in sorted(_walk(root, glob)):
+            name = uri.rsplit("/", 1)[-1]
+            if hidden:
+                adm.skipped.append((uri, size, "hidden folder"))
+            elif name.startswith("._"):
+                adm.skipped.append((uri, size, "resource fork"))
+            elif name.startswith((".", "_")):
+                adm.skipped.append((uri, size, "hidden"))
+            elif size == 0:
+                adm.skipped.append((uri, 0, "empty"))
+            else:
+                adm.admitted.append((uri, size))
     if not adm.admitted:
         raise NoUsableFiles(f"no usable files under {paths!r} (skipped {len(adm.skipped)})")
     return adm
 
 
+def spark_path(uri: str) -> str:
+    """The spelling Spark uses in ``_metadata.file_path`` ('file:/a/b')."""
+    if uri.startswith("file://"):
+        return "file:/" + uri[len("file://"):].lstrip("/")
+    return uri
+
+
 def to_uri(path: str) -> str:
     """Spark lists local files as 'file:/a/b'; pyarrow wants 'file:///a/b'."""
     if path.startswith("file:"):
