@@ -89,7 +89,7 @@ class IncrementalTable:
              lookback: dt.timedelta | None = None) -> dict:
         """Apply one staged batch (``stg_trips`` columns). Returns a summary."""
         if full_refresh or not self.exists():
-            PQ.write_trips_by_month(batch, self.path, mode="overwrite")
+            PQ.write_trips_by_month(batch, self.path, mode="overwrite", replace_all=True)
             return {"mode": "full", "mark": None}
         target = self.read(batch.schema)
         # The newest start lies in the newest month: prune to it first.
