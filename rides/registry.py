@@ -306,3 +306,28 @@ def q_archive_ingest(spark, sf):
     raw = _raw(spark, sf)
     write_trips_zip(raw.repartition(4, F.date_format("started_at", "yyyy")), path)
     return _month_summary(read_trips_zip(spark, path))
+
+
+@register("stream_incremental")
+def q_stream_incremental(spark, sf):
+    """Two waves of CSV files land (trips before 2000, then every trip); the
+    stream loads each wave with the high-water-mark upsert."""
+    from rides.schema import RAW_NAMES
+    from rides.session import shared_dir
+    from rides.sources.parquet import read_trips_by_month
+    from rides.streaming import start_trip_stream
+
+    base = shared_dir(spark, "stream", unique=True)
+    landing, table_path = f"{base}/landing", f"{base}/table"
+    raw = _raw(spark, sf)
+    opts = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    early = raw.where(F.col("started_at") < F.lit(INCREMENTAL_MARK).cast("timestamp_ntz"))
+    early.select(*RAW_NAMES).write.options(**opts).csv(f"{landing}/wave1")
+    q = start_trip_stream(spark, landing, table_path, f"{base}/checkpoint", available_now=True)
+    q.awaitTermination()
+    raw.select(*RAW_NAMES).write.options(**opts).csv(f"{landing}/wave2")
+    q = start_trip_stream(spark, landing, table_path, f"{base}/checkpoint", available_now=True)
+    q.awaitTermination()
+    stg_schema = stg_trips(raw).schema
+    return read_trips_by_month(spark, table_path, stg_schema).select(
+        *[c for c in STG_OUT if c != "source_file"])
