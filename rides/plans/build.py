@@ -1,8 +1,8 @@
 """Assemble every model and report from raw trips.
 
 The staging and intermediate tables stay lazy (they are projections of the
-raw trips). The two small aggregates are materialized once (reliable
-checkpoint in the shared folder); every dimension, fact and report is then
+raw trips). The two small aggregates are materialized once (written as
+Parquet in the shared folder); every dimension, fact and report is then
 built from them, so the trips are scanned twice in total, each time reading
 only the columns that aggregate needs.
 """
