@@ -9,7 +9,7 @@ only the columns that aggregate needs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
 from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
@@ -18,8 +18,13 @@ from rides.plans.staging import stg_trips
 
 
 def build(raw: DataFrame, include_ingestion_ts: bool = True) -> dict[str, DataFrame]:
-    stg = stg_trips(raw, include_ingestion_ts=include_ingestion_ts)
-    it = int_trips(stg)
+    return build_from_stg(stg_trips(raw, include_ingestion_ts=include_ingestion_ts))
+
+
+def build_from_stg(stg: DataFrame, it: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every model and report from the staging table (and, when given, an
+    already written intermediate table)."""
+    it = it if it is not None else int_trips(stg)
     counts = materialize(daily_station_counts(it))
     hist = materialize(duration_histogram(it))
     dim_date = D.dim_date_from_dates(counts)
@@ -45,3 +50,53 @@ def build(raw: DataFrame, include_ingestion_ts: bool = True) -> dict[str, DataFr
         "rpt_monthly_trends": R.rpt_monthly_trends(trends),
         "rpt_rush_hour_gap": R.rpt_rush_hour_gap(durations),
     }
+
+
+MODEL_TABLES = ["dim_date", "dim_stations", "dim_time", "fct_popular_stations_by_weekday",
+                "fct_trip_duration_by_hour", "fct_daily_trip_trends"]
+
+
+def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
+               root: str | None = None, full_refresh: bool = False,
+               lookback=None, with_stats: bool = True) -> dict:
+    """Load and rebuild every model as a table, like a scheduled model run.
+
+    * staging: incremental high-water-mark upsert (``full_refresh`` rebuilds);
+    * intermediate: rebuilt, partitioned by trip month;
+    * dimensions and facts: rebuilt as tables, then analyzed.
+
+    Tables are external, under ``root`` (default: the shared folder). Returns
+    the staging load summary and a DataFrame per table and report.
+    """
+    from rides.operators.incremental import IncrementalTable
+    from rides.session import shared_dir
+    from rides.sources import tables as TB
+    from rides.sources.parquet import MONTH_COL, month_key
+
+    root = root or shared_dir(spark, "warehouse", database)
+    TB.create_schema(spark, database, location=f"{root}/_db")
+    staged = stg_trips(raw)
+    stg_table = IncrementalTable(spark, f"{root}/stg_trips")
+    summary = stg_table.load(staged, full_refresh=full_refresh, lookback=lookback)
+    stg = TB.register_parquet(spark, f"{database}.stg_trips", f"{root}/stg_trips")
+    it = int_trips(stg.drop(MONTH_COL)).withColumn(MONTH_COL, month_key("start_ts"))
+    TB.save_table(it, f"{database}.int_trips", f"{root}/int_trips", partition_by=[MONTH_COL])
+    it = spark.table(f"{database}.int_trips").drop(MONTH_COL)
+    models = build_from_stg(stg.drop(MONTH_COL), it)
+    out = {"stg_load": summary}
+    for name in MODEL_TABLES:
+        TB.save_table(models[name], f"{database}.{name}", f"{root}/{name}")
+        if with_stats:
+            TB.analyze(spark, f"{database}.{name}")
+        out[name] = spark.table(f"{database}.{name}")
+    popular, durations, trends = (out["fct_popular_stations_by_weekday"],
+                                  out["fct_trip_duration_by_hour"], out["fct_daily_trip_trends"])
+    out.update({
+        "rpt_all_stations_by_weekday": R.rpt_all_stations_by_weekday(popular),
+        "rpt_top_station_by_weekday": R.rpt_top_station_by_weekday(popular),
+        "rpt_daily_rolling": R.rpt_daily_rolling(trends),
+        "rpt_hourly_duration": R.rpt_hourly_duration(durations),
+        "rpt_monthly_trends": R.rpt_monthly_trends(trends),
+        "rpt_rush_hour_gap": R.rpt_rush_hour_gap(durations),
+    })
+    return out
