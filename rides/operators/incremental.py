@@ -40,17 +40,35 @@ def new_rows(batch: DataFrame, mark, mark_col: str = "start_ts",
     return batch.where(F.col(mark_col) > F.lit(cutoff).cast(batch.schema[mark_col].dataType))
 
 
+# Largest number of batch keys sent to every task instead of shuffling the
+# target (about 20 bytes a key, so well under a gigabyte).
+BROADCAST_MAX_KEYS = 20_000_000
+
+
+def batch_keys(new: DataFrame, key: str, n_keys: int | None) -> DataFrame:
+    """The key column of the new rows, broadcast only when its counted size
+    is under ``BROADCAST_MAX_KEYS``; otherwise the join shuffles both sides
+    (AQE may still split skewed partitions)."""
+    keys = new.select(key)
+    if n_keys is not None and n_keys <= BROADCAST_MAX_KEYS:
+        return F.broadcast(keys)
+    return keys
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str = "ride_id", mark_col: str = "start_ts",
-           lookback: dt.timedelta | None = None, mark=None) -> DataFrame:
+           lookback: dt.timedelta | None = None, mark=None,
+           n_new: int | None = None) -> DataFrame:
     """Target rows not replaced, plus the new rows of the batch.
 
-    The anti join needs only the batch keys; AQE broadcasts them when the
-    measured batch is small and shuffles both sides otherwise.
+    The anti join needs only the batch keys. Pass ``n_new`` (a count of the
+    new rows) to let it broadcast them when that count is small; without a
+    count the keys are not broadcast by hint and AQE decides from measured
+    sizes.
     """
     if mark is None:
         mark = high_water_mark(target, mark_col)
     new = new_rows(batch, mark, mark_col, lookback)
-    kept = target.join(new.select(key), on=key, how="left_anti")
+    kept = target.join(batch_keys(new, key, n_new), on=key, how="left_anti")
     return kept.unionByName(new)
 
 
@@ -96,19 +114,22 @@ class IncrementalTable:
         last_month = target.agg(F.max(PQ.MONTH_COL)).first()[0]
         mark = high_water_mark(target.where(F.col(PQ.MONTH_COL) == last_month), self.mark_col)
         new = self._stage(new_rows(batch, mark, self.mark_col, lookback), "new")
+        n_new = new.count()                      # cheap: the staged files' row counts
+        keys = batch_keys(new, self.key, n_new)
         new_months = {r[0] for r in new.select(PQ.month_key(self.mark_col)).distinct().collect()}
-        hit_months = {r[0] for r in target.join(new.select(self.key), self.key, "left_semi")
+        hit_months = {r[0] for r in target.select(self.key, PQ.MONTH_COL)
+                                          .join(keys, self.key, "left_semi")
                                           .select(PQ.MONTH_COL).distinct().collect()}
         touched = sorted(new_months | hit_months)
         if not touched:
             return {"mode": "incremental", "mark": mark, "months": []}
         rewritten = (target.where(F.col(PQ.MONTH_COL).isin(touched)).drop(PQ.MONTH_COL)
-                           .join(new.select(self.key), self.key, "left_anti")
+                           .join(keys, self.key, "left_anti")
                            .unionByName(new))
         staged = self._stage(rewritten.withColumn(PQ.MONTH_COL, PQ.month_key(self.mark_col)),
                              "rewrite")
         present = {r[0] for r in staged.select(PQ.MONTH_COL).distinct().collect()}
-        (staged.repartition(PQ.MONTH_COL).write.mode("overwrite")
+        (staged.sortWithinPartitions(PQ.MONTH_COL).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")
                .partitionBy(PQ.MONTH_COL).parquet(self.path))
         for m in set(touched) - present:   # every row of the month moved away

@@ -106,20 +106,40 @@ def ingest_stats(raw: DataFrame, admission: Admission) -> DataFrame:
                          (F.col("bytes") / F.lit(1e6)).alias("bytes_mb")))
 
 
+# Up to this many files, per-file row counts are gathered while writing.
+OBSERVE_MAX_FILES = 256
+
+
 def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
            strict: bool = True) -> dict:
     """Read admitted CSVs by name and append them to a month-partitioned raw
     table in one parallel write. Returns files, skipped files, rows, MB,
-    seconds and MB/s."""
+    seconds and MB/s.
+
+    Per-file row counts are observed during the write itself (one
+    ``count_if`` per file, so the CSVs are read once); with more files than
+    ``OBSERVE_MAX_FILES`` they are counted afterwards from the written rows
+    of these files only."""
+    from pyspark.sql import Observation
+
     from rides.sources.parquet import write_trips_by_month
 
     t0 = time.perf_counter()
     adm = admit(spark, paths)
     raw = read_trips_csv(spark, paths, strict=strict, admission=adm)
-    write_trips_by_month(raw, target_path, mode=mode, source_col="started_at")
-    stats = ingest_stats(spark.read.parquet(target_path).where(F.col("filename").isin(adm.paths)),
-                         adm)
-    per_file = [r.asDict() for r in stats.orderBy("file").collect()]
+    sizes = dict(adm.admitted)
+    if len(adm.paths) <= OBSERVE_MAX_FILES:
+        obs = Observation("ingest")
+        raw = raw.observe(obs, *[F.count_if(F.col("filename") == p).alias(f"f{i}")
+                                 for i, p in enumerate(adm.paths)])
+        write_trips_by_month(raw, target_path, mode=mode, source_col="started_at")
+        got = obs.get
+        per_file = [{"file": p, "rows_added": int(got[f"f{i}"]), "bytes_mb": sizes[p] / 1e6}
+                    for i, p in enumerate(adm.paths)]
+    else:
+        write_trips_by_month(raw, target_path, mode=mode, source_col="started_at")
+        written = spark.read.parquet(target_path).where(F.col("filename").isin(adm.paths))
+        per_file = [r.asDict() for r in ingest_stats(written, adm).orderBy("file").collect()]
     secs = time.perf_counter() - t0
     total_mb = sum(b for _, b in adm.admitted) / 1e6
     return {"files": per_file, "skipped": adm.skipped,

@@ -16,12 +16,15 @@ def write_trips_by_month(df: DataFrame, path: str, mode: str = "overwrite",
                          max_records_per_file: int = 5_000_000,
                          source_col: str = "start_ts", replace_all: bool = False) -> None:
     """One partitioned write (never one write per input file, which would let
-    the last file of a month replace the others). Rows are clustered by month
-    first so each task writes few files; ``maxRecordsPerFile`` caps file size.
-    An overwrite replaces only the months present in ``df`` unless
-    ``replace_all`` (a full refresh) is set."""
+    the last file of a month replace the others).
+
+    No shuffle: a month can hold a large share of all rows, and hashing by
+    month would send it to a single task. Each task sorts its own rows by
+    month and writes one file per month it holds (``maxRecordsPerFile``
+    caps file size). An overwrite replaces only the months present in
+    ``df`` unless ``replace_all`` (a full refresh) is set."""
     out = df.withColumn(MONTH_COL, month_key(source_col))
-    (out.repartition(MONTH_COL)
+    (out.sortWithinPartitions(MONTH_COL)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
