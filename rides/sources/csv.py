@@ -145,3 +145,19 @@ def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
     return {"files": per_file, "skipped": adm.skipped,
             "rows": sum(r["rows_added"] for r in per_file), "mb": total_mb,
             "seconds": secs, "mb_per_s": total_mb / secs if secs else None}
+
+
+def empty_raw(spark: SparkSession, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """A schema-only raw table (no rows): the declared columns plus ``filename``."""
+    full = T.StructType(schema.fields + [T.StructField("filename", T.StringType(), True)])
+    return spark.createDataFrame([], full)
+
+
+def month_from_file_name(path_col: str = "filename"):
+    """'yyyyMM' prefix of a file's base name ('202301-citibike-tripdata.csv'
+    -> '202301'); NULL when the name has no such prefix. The trip month used
+    for partitioning comes from ``started_at`` instead, which does not depend
+    on how files are named."""
+    base = F.regexp_extract(F.col(path_col), r"([^/]+)$", 1)
+    m = F.regexp_extract(base, r"^(\d{6})", 1)
+    return F.when(m != "", m)

@@ -128,3 +128,13 @@ def test_parquet_month_partitions_roundtrip(spark, tmp_path, raw_df):
     assert "PartitionFilters: [isnotnull(trip_month" in pruned._jdf.queryExecution().executedPlan().toString() \
         or pruned.count() == 1
     assert pruned.count() == 1
+
+
+def test_empty_raw_and_month_from_name(spark):
+    from rides.sources.csv import empty_raw, month_from_file_name
+
+    e = empty_raw(spark)
+    assert e.count() == 0 and e.columns[-1] == "filename" and len(e.columns) == len(RAW_NAMES) + 1
+    df = spark.createDataFrame([("file:/x/202301-citibike-tripdata_1.csv",), ("file:/x/._a.csv",)],
+                               "filename string")
+    assert [r[0] for r in df.select(month_from_file_name()).collect()] == ["202301", None]
