@@ -162,13 +162,16 @@ def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
     """Write each partition of ``df`` (raw text columns) as one archive in
     ``out_dir``: an outer zip holding an inner zip holding one CSV, the same
     layout as the published monthly archives. Runs as a Spark job; every task
-    writes its own archive to shared storage."""
+    writes its own archive to shared storage, named by partition number so a
+    retried task replaces its own file instead of adding a second copy; the
+    file is written under a temporary name and moved into place when
+    complete."""
     import pandas as pd
 
     cols = RAW_NAMES
 
     def write_part(batches):
-        import uuid
+        from pyspark import TaskContext
 
         frames = [b for b in batches]
         if not frames:
@@ -177,7 +180,8 @@ def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
         if pdf.empty:
             return
         csv_bytes = pdf[cols].to_csv(index=False).encode()
-        tag = uuid.uuid4().hex[:12]
+        ctx = TaskContext.get()
+        tag = f"{ctx.partitionId():05d}"
         inner = io.BytesIO()
         with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr(f"trips-{tag}.csv", csv_bytes)
@@ -191,8 +195,10 @@ def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
 
         fs, p = filesystem(out_dir)
         fs.create_dir(p, recursive=True)
-        with fs.open_output_stream(f"{p}/archive-{tag}.zip") as o:
+        tmp = f"{p}/.archive-{tag}.zip.{ctx.attemptNumber()}"
+        with fs.open_output_stream(tmp) as o:
             o.write(payload)
+        fs.move(tmp, f"{p}/archive-{tag}.zip")
         yield pd.DataFrame({"archive": [f"archive-{tag}.zip"], "rows": [len(pdf)]})
 
     text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
