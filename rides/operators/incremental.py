@@ -85,7 +85,7 @@ class IncrementalTable:
         from rides.session import shared_dir
 
         self.spark, self.path, self.key, self.mark_col = spark, path, key, mark_col
-        self.work_dir = work_dir or shared_dir(spark, "incremental-work")
+        self.work_dir = work_dir or shared_dir(spark, "incremental-work", unique=True)
 
     def exists(self) -> bool:
         return PQ.path_exists(self.path)

@@ -59,9 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path inside the shared checkpoint folder (visible to every executor)."""
+    """A path inside the shared checkpoint folder (visible to every executor).
+
+    ``unique`` paths are scratch space: they sit under a folder of the
+    current application, which ``cleanup_scratch`` removes."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = "/".join([base, "rides", *parts])
     if unique:
-        path = f"{path}/{uuid.uuid4().hex}"
-    return path
+        app = spark.sparkContext.applicationId
+        return "/".join([base, "rides", "scratch", app, *parts, uuid.uuid4().hex])
+    return "/".join([base, "rides", *parts])
+
+
+def cleanup_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder (materialized aggregates,
+    staged batches). Call when the DataFrames built on them are no longer
+    needed."""
+    from rides.sources.parquet import delete_dir
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    delete_dir(f"{base}/rides/scratch/{spark.sparkContext.applicationId}")

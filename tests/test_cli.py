@@ -1,0 +1,30 @@
+"""The command line: load, run, test and show, end to end."""
+
+from rides.__main__ import main
+from rides.schema import RAW_NAMES
+
+
+def _csv(rows):
+    out = [",".join(RAW_NAMES)]
+    for rid, start, end, sid, member in rows:
+        out.append(",".join([rid, "classic_bike", start, end, f"S{sid}", sid, "E", "9",
+                             "40.6", "-74.0", "40.7", "-73.9", member]))
+    return "\n".join(out) + "\n"
+
+
+def test_load_run_test_show(spark, tmp_path, capsys):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "202306-a.csv").write_text(_csv([
+        ("a", "2023-06-01 08:00:00", "2023-06-01 08:10:00", "1", "member"),
+        ("b", "2023-06-02 17:30:00", "2023-06-02 17:50:00", "2", "casual"),
+        ("neg", "2023-06-02 17:30:00", "2023-06-02 17:20:00", "2", "casual")]))
+    raw = str(tmp_path / "raw")
+    assert main(["load", "--input", str(src), "--raw", raw]) == 0
+    db = "rides_cli"
+    assert main(["run", "--raw", raw, "--database", db, "--root", str(tmp_path / "wh")]) == 0
+    assert spark.table(f"{db}.stg_trips").count() == 2
+    assert main(["test", "--database", db]) == 0
+    assert "FAIL" not in capsys.readouterr().out
+    assert main(["show", "rush_hour_gap", "--database", db]) == 0
+    assert "Rush Hour" in capsys.readouterr().out
