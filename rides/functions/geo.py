@@ -1,36 +1,37 @@
 """Great-circle distance."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
 
-from rides.functions._util import col
+from rides.functions._util import as_sql, expr
 
 # Fixed value: mean Earth radius in kilometres used by the distance rule.
 EARTH_RADIUS_KM = 6371
 
 
-def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Haversine distance in km; any NULL input gives NULL.
+def haversine_sql(lat1, lon1, lat2, lon2) -> str:
+    """Haversine distance in km as SQL text; any NULL input gives NULL.
 
-    The half-angle is taken in degrees before conversion to radians, so the
-    result equals the SQL form ``2*R*ASIN(SQRT(SIN(RADIANS((lat2-lat1)/2))^2
-    + COS(RADIANS(lat1))*COS(RADIANS(lat2))*SIN(RADIANS((lon2-lon1)/2))^2))``.
-    An argument just above 1 (rounding) yields NaN, as in the SQL form.
+    The half-angle is taken in degrees before conversion to radians. An
+    argument just above 1 (rounding) yields NaN from ASIN, as in other SQL
+    engines.
     """
-    lat1, lon1, lat2, lon2 = (col(c) for c in (lat1, lon1, lat2, lon2))
-    a = (F.pow(F.sin(F.radians((lat2 - lat1) / 2)), 2)
-         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-         * F.pow(F.sin(F.radians((lon2 - lon1) / 2)), 2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
+    a1, o1, a2, o2 = (f"({as_sql(c)})" for c in (lat1, lon1, lat2, lon2))
+    return (f"2 * {EARTH_RADIUS_KM} * asin(sqrt("
+            f"power(sin(radians(({a2} - {a1}) / 2)), 2)"
+            f" + cos(radians({a1})) * cos(radians({a2}))"
+            f" * power(sin(radians(({o2} - {o1}) / 2)), 2)))")
+
+
+def haversine_km(lat1, lon1, lat2, lon2) -> Column:
+    return expr(haversine_sql(lat1, lon1, lat2, lon2))
 
 
 def haversine_sql_function(spark, name: str = "haversine_km") -> None:
     """Register the same formula as a temporary SQL function for SQL users."""
+    body = haversine_sql("lat1", "lon1", "lat2", "lon2")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(
             lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE)
         RETURNS DOUBLE
-        RETURN {2 * EARTH_RADIUS_KM} * ASIN(SQRT(
-            POWER(SIN(RADIANS((lat2 - lat1) / 2)), 2)
-            + COS(RADIANS(lat1)) * COS(RADIANS(lat2))
-              * POWER(SIN(RADIANS((lon2 - lon1) / 2)), 2)))
+        RETURN {body}
     """)

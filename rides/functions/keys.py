@@ -1,8 +1,8 @@
 """Deterministic surrogate keys."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
 
-from rides.functions._util import col
+from rides.functions._util import as_sql, expr
 
 # The placeholder for NULL parts and the separator between
 # parts, as used by the common SQL surrogate-key macro (md5 of the parts).
@@ -10,10 +10,14 @@ NULL_PART = "_dbt_utils_surrogate_key_null_"
 SEPARATOR = "-"
 
 
-def surrogate_key(*cols) -> Column:
+def surrogate_key_sql(*cols) -> str:
     """md5 hex of the text form of the parts, NULLs replaced, joined by '-'."""
     if not cols:
         raise ValueError("surrogate_key needs at least one column")
-    parts = [F.coalesce(col(c).cast("string"), F.lit(NULL_PART)) for c in cols]
-    text = parts[0] if len(parts) == 1 else F.concat_ws(SEPARATOR, *parts)
-    return F.md5(text)
+    parts = [f"coalesce(cast(({as_sql(c)}) as string), '{NULL_PART}')" for c in cols]
+    text = parts[0] if len(parts) == 1 else f"concat_ws('{SEPARATOR}', {', '.join(parts)})"
+    return f"md5({text})"
+
+
+def surrogate_key(*cols) -> Column:
+    return expr(surrogate_key_sql(*cols))

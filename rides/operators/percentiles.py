@@ -18,39 +18,40 @@ linear unit conversion, so the values are those of the unit column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def value_histogram(df: DataFrame, group_cols: list[str], int_value: Column | str,
+def value_histogram(df: DataFrame, group_cols: list[str], int_value: str,
                     value_name: str = "_v", count_name: str = "_c") -> DataFrame:
-    """(group, value) -> count, with map-side partial aggregation."""
-    v = F.col(int_value) if isinstance(int_value, str) else int_value
-    return (df.select(*group_cols, v.alias(value_name))
-              .groupBy(*group_cols, value_name).agg(F.count(F.lit(1)).alias(count_name)))
+    """(group, value) -> count, with map-side partial aggregation.
+    ``int_value`` is a column name or SQL expression."""
+    return (df.selectExpr(*group_cols, f"{int_value} as {value_name}")
+              .groupBy(*group_cols, value_name).agg(F.expr(f"count(1) as {count_name}")))
 
 
 def stats_from_histogram(hist: DataFrame, group_cols: list[str], value_col: str, freq_col: str,
-                         to_unit, percentiles: dict[str, float], count_name: str = "n",
+                         to_unit_sql, percentiles: dict[str, float], count_name: str = "n",
                          mean_name: str = "mean") -> DataFrame:
     """Count, exact mean and interpolated percentiles per group from a
-    (group, integer value, frequency) histogram. ``to_unit`` maps the integer
-    unit to the reported one; it must be monotone and linear (it is applied
-    after interpolation)."""
+    (group, integer value, frequency) histogram. ``to_unit_sql`` maps SQL
+    text of the integer unit to SQL text of the reported unit; it must be
+    monotone and linear (it is applied after interpolation)."""
     names = list(percentiles)
-    v, c = F.col(value_col), F.col(freq_col)
-    agg = (hist.groupBy(*group_cols)
-               .agg(F.sum(c).alias(count_name),
-                    F.sum(v.cast("decimal(38,0)") * c).alias("_sum"),
-                    F.percentile(v, [percentiles[n] for n in names], c).alias("_p")))
-    mean = to_unit(F.col("_sum").cast("double") / F.col(count_name))
-    return agg.select(*group_cols, F.col(count_name), mean.alias(mean_name),
-                      *[to_unit(F.col("_p")[i]).alias(n) for i, n in enumerate(names)])
-
-
-def exact_stats(df: DataFrame, group_cols: list[str], int_value: Column | str,
-                to_unit, percentiles: dict[str, float], count_name: str = "n",
+    ps = ", ".join(f"{float(percentiles[n])!r}D" for n in names)
+    agg = hist.groupBy(*group_cols).agg(
+        F.expr(f"sum({freq_col}) as {count_name}"),
+        F.expr(f"sum(cast({value_col} as decimal(38,0)) * {freq_col}) as _sum"),
+        F.expr(f"percentile({value_col}, array({ps}), {freq_col}) as _p"))
+    return agg.selectExpr(
+        *group_cols, count_name,
+        f"{to_unit_sql(f'cast(_sum as double) / {count_name}')} as {mean_name}",
+        *[f"{to_unit_sql(f'_p[{i}]')} as {n}" for i, n in enumerate(names)])
+
+
+def exact_stats(df: DataFrame, group_cols: list[str], int_value: str, to_unit_sql,
+                percentiles: dict[str, float], count_name: str = "n",
                 mean_name: str = "mean") -> DataFrame:
     """Histogram then per-group statistics (see the module notes)."""
     hist = value_histogram(df, group_cols, int_value)
-    return stats_from_histogram(hist, group_cols, "_v", "_c", to_unit, percentiles,
+    return stats_from_histogram(hist, group_cols, "_v", "_c", to_unit_sql, percentiles,
                                 count_name, mean_name)

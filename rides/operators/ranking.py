@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 
 def rank_within(df: DataFrame, partition_cols: list[str], order_col: str,
                 name: str = "rank", descending: bool = True) -> DataFrame:
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc_nulls_last()
-    w = Window.partitionBy(*partition_cols).orderBy(order)
-    return df.withColumn(name, F.rank().over(w).cast("bigint"))
+    """RANK() per partition; descending puts NULLs last, ascending too."""
+    order = f"{order_col} desc nulls last" if descending else f"{order_col} asc nulls last"
+    part = ", ".join(partition_cols)
+    return df.selectExpr("*", f"cast(rank() over (partition by {part} order by {order}) as bigint)"
+                              f" as {name}")
 
 
 def top_ranked(df: DataFrame, partition_cols: list[str], order_col: str,
                name: str = "rank", descending: bool = True, keep: int = 1) -> DataFrame:
     """Rows whose rank is <= ``keep`` (ties kept). Written as rank + filter in
     one plan so Spark can insert a per-partition group limit before the shuffle."""
-    return rank_within(df, partition_cols, order_col, name, descending).filter(F.col(name) <= keep)
+    return rank_within(df, partition_cols, order_col, name, descending).where(f"{name} <= {keep}")

@@ -3,9 +3,9 @@
 The trip table is the only large input. Each of its two aggregates is taken
 in one scan (reading only the columns it needs), with partial aggregation
 before the shuffle, and then materialized once as Parquet in the cluster's
-shared checkpoint folder. After that the dimensions, facts
-and reports read only these small tables, and a lost executor recomputes from
-the written aggregate, not from the raw files.
+shared checkpoint folder. After that the dimensions, facts and reports read
+only these small tables, and a lost executor recomputes from the written
+aggregate, not from the raw files.
 
 * ``daily_station_counts``: (trip_date, start_station_id, start_station_name)
   -> trips; bounded by days x station names.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rides import functions as RF
+from rides.functions.calendar import duration_micros_sql
 
 
 def materialize(df: DataFrame, name: str = "agg") -> DataFrame:
@@ -38,10 +38,11 @@ def materialize(df: DataFrame, name: str = "agg") -> DataFrame:
 
 def daily_station_counts(trips: DataFrame) -> DataFrame:
     return (trips.groupBy("trip_date", "start_station_id", "start_station_name")
-                 .agg(F.count(F.lit(1)).alias("trips")))
+                 .agg(F.expr("count(1) as trips")))
 
 
 def duration_histogram(trips: DataFrame) -> DataFrame:
-    return (trips.groupBy("start_hour", F.col("member_casual").alias("rider_type"),
-                          RF.duration_micros("start_ts", "end_ts").alias("duration_us"))
-                 .agg(F.count(F.lit(1)).alias("trips")))
+    return (trips.selectExpr("start_hour", "member_casual as rider_type",
+                             f"{duration_micros_sql('start_ts', 'end_ts')} as duration_us")
+                 .groupBy("start_hour", "rider_type", "duration_us")
+                 .agg(F.expr("count(1) as trips")))

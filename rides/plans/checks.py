@@ -6,7 +6,7 @@ Counts per kind: 31 not_null, 6 unique, 3 accepted_values, 2 value-set,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rides.functions.calendar import TIME_OF_DAY_LABELS
 from rides.operators import quality as Q
@@ -67,7 +67,7 @@ def dq_relationships(m: dict[str, DataFrame]) -> DataFrame:
 
 
 def dq_nonnegative(m: dict[str, DataFrame]) -> DataFrame:
-    return Q.union_all([Q.expression_is_false(m[t], t, c, F.col(c) < 0) for t, c in NONNEGATIVE])
+    return Q.union_all([Q.expression_is_false(m[t], t, c, f"{c} < 0") for t, c in NONNEGATIVE])
 
 
 def dq_freshness(raw: DataFrame, as_of) -> DataFrame:

@@ -7,23 +7,21 @@ trips feeds every dimension and fact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from rides import functions as RF
+from rides.functions import calendar as C
 
 
 def dim_date_from_dates(dates: DataFrame, date_col: str = "trip_date") -> DataFrame:
     """ride_date, day, ISO week, month, year, weekday name, season."""
-    d = F.col("ride_date")
-    m = F.month(d)
-    return (dates.select(F.col(date_col).alias("ride_date")).distinct()
-                 .select("ride_date",
-                         F.dayofmonth(d).cast("bigint").alias("day"),
-                         F.weekofyear(d).cast("bigint").alias("week"),
-                         m.cast("bigint").alias("month"),
-                         F.year(d).cast("bigint").alias("year"),
-                         RF.weekday_name(d).alias("weekday"),
-                         RF.season(m).alias("season")))
+    return (dates.selectExpr(f"{date_col} as ride_date").distinct()
+                 .selectExpr("ride_date",
+                             "cast(dayofmonth(ride_date) as bigint) as day",
+                             "cast(weekofyear(ride_date) as bigint) as week",
+                             "cast(month(ride_date) as bigint) as month",
+                             "cast(year(ride_date) as bigint) as year",
+                             f"{C.weekday_name_sql('ride_date')} as weekday",
+                             f"{C.season_sql('month(ride_date)')} as season"))
 
 
 def dim_date(trips: DataFrame) -> DataFrame:
@@ -32,9 +30,8 @@ def dim_date(trips: DataFrame) -> DataFrame:
 
 
 def dim_stations_from(pairs: DataFrame) -> DataFrame:
-    return (pairs.where(F.col("start_station_id").isNotNull())
-                 .select(F.col("start_station_id").alias("station_id"),
-                         F.col("start_station_name").alias("station_name"))
+    return (pairs.where("start_station_id is not null")
+                 .selectExpr("start_station_id as station_id", "start_station_name as station_name")
                  .distinct())
 
 
@@ -45,8 +42,8 @@ def dim_stations(trips: DataFrame) -> DataFrame:
 
 
 def dim_time_from_hours(hours: DataFrame, hour_col: str = "start_hour") -> DataFrame:
-    return (hours.select(F.col(hour_col).alias("hour")).distinct()
-                 .select("hour", RF.time_of_day("hour").alias("time_of_day_category")))
+    return (hours.selectExpr(f"{hour_col} as hour").distinct()
+                 .selectExpr("hour", f"{C.time_of_day_sql('hour')} as time_of_day_category"))
 
 
 def dim_time(trips: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rides import functions as RF
+from rides.functions.calendar import minutes_from_micros_sql
 from rides.operators.monthly import month_over_month
 from rides.operators.percentiles import stats_from_histogram
 from rides.operators.ranking import rank_within
-from rides.operators.rolling import rolling_stats, zscore_flag
+from rides.operators.rolling import rolling_stats, zscore_flag_sql
 from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
 from rides.plans.dimensions import dim_date_from_dates, dim_stations_from, dim_time_from_hours
 
@@ -25,7 +25,7 @@ DURATION_PERCENTILES = {"median_duration_minutes": 0.5, "p25_duration_minutes":
 
 
 def _counts(trips, counts):
-    return counts if counts is not None else materialize(daily_station_counts(trips))
+    return counts if counts is not None else materialize(daily_station_counts(trips), "counts")
 
 
 def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
@@ -43,12 +43,14 @@ def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
     counts = _counts(trips, counts)
     dates = dates if dates is not None else dim_date_from_dates(counts)
     stations = stations if stations is not None else dim_stations_from(counts)
-    swc = (counts.join(dates.select("ride_date", "weekday"),
-                       counts["trip_date"] == dates["ride_date"])
+    day = dates.selectExpr("ride_date as trip_date", "weekday")
+    swc = (counts.join(day, "trip_date")
                  .groupBy("start_station_id", "weekday")
-                 .agg(F.sum("trips").cast("bigint").alias("total_trips")))
-    joined = (swc.join(stations, swc["start_station_id"] == stations["station_id"])
-                 .select("station_id", "station_name", "weekday", "total_trips"))
+                 .agg(F.expr("cast(sum(trips) as bigint) as total_trips")))
+    joined = (swc.join(stations.withColumnRenamed("station_id", "start_station_id"),
+                       "start_station_id")
+                 .selectExpr("start_station_id as station_id", "station_name", "weekday",
+                             "total_trips"))
     return rank_within(joined, ["weekday"], "total_trips", name="station_rank")
 
 
@@ -60,12 +62,12 @@ def fct_trip_duration_by_hour(trips: DataFrame | None = None, times: DataFrame |
     ``dim_time`` has at most 24 rows (hours 0-23), a proven bound, so it is
     broadcast explicitly.
     """
-    hist = hist if hist is not None else materialize(duration_histogram(trips))
+    hist = hist if hist is not None else materialize(duration_histogram(trips), "durations")
     times = times if times is not None else dim_time_from_hours(hist)
     stats = stats_from_histogram(hist, ["start_hour", "rider_type"], "duration_us", "trips",
-                                 RF.minutes_from_micros, DURATION_PERCENTILES,
+                                 minutes_from_micros_sql, DURATION_PERCENTILES,
                                  count_name="trips_count", mean_name="avg_duration_minutes")
-    return (stats.join(F.broadcast(times), stats["start_hour"] == times["hour"])
+    return (stats.join(F.broadcast(times.withColumnRenamed("hour", "start_hour")), "start_hour")
                  .select("start_hour", "time_of_day_category", "rider_type", "trips_count",
                          "avg_duration_minutes", "median_duration_minutes",
                          "p25_duration_minutes", "p75_duration_minutes"))
@@ -75,10 +77,10 @@ def daily_counts(trips: DataFrame | None = None, dates: DataFrame | None = None,
                  counts: DataFrame | None = None) -> DataFrame:
     """ride_date -> daily_trips, for dates present in the date dimension."""
     counts = _counts(trips, counts)
-    per_day = counts.groupBy("trip_date").agg(F.sum("trips").cast("bigint").alias("daily_trips"))
+    per_day = (counts.groupBy(F.expr("trip_date as ride_date"))
+                     .agg(F.expr("cast(sum(trips) as bigint) as daily_trips")))
     dates = dates if dates is not None else dim_date_from_dates(counts)
-    return (per_day.join(dates.select("ride_date"), per_day["trip_date"] == dates["ride_date"])
-                   .select("ride_date", "daily_trips"))
+    return per_day.join(dates.select("ride_date"), "ride_date")
 
 
 def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | None = None,
@@ -97,11 +99,10 @@ def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | Non
                             {"avg_7d_trips": 7, "avg_30d_trips": 30},
                             {"stddev_30d_trips": 30})
     monthly = month_over_month(per_day, "ride_date", "daily_trips")
-    seasons = dates.select(F.col("ride_date").alias("_d"), "season")
-    return (rolling
-            .join(monthly, F.trunc(rolling["ride_date"], "month") == monthly["month_start"])
-            .join(seasons, rolling["ride_date"] == seasons["_d"])
-            .select("ride_date", "daily_trips", "avg_7d_trips", "avg_30d_trips",
-                    "month_total", "prev_month_total", "mom_percent_change", "season",
-                    zscore_flag("daily_trips", "avg_30d_trips", "stddev_30d_trips")
-                    .alias("is_anomaly")))
+    return (rolling.withColumn("month_start", F.expr("trunc(ride_date, 'month')"))
+                   .join(monthly, "month_start")
+                   .join(dates.select("ride_date", "season"), "ride_date")
+                   .selectExpr("ride_date", "daily_trips", "avg_7d_trips", "avg_30d_trips",
+                               "month_total", "prev_month_total", "mom_percent_change", "season",
+                               f"{zscore_flag_sql('daily_trips', 'avg_30d_trips', 'stddev_30d_trips')}"
+                               " as is_anomaly"))

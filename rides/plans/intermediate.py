@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from rides import functions as RF
+from rides.functions import calendar as C
+from rides.functions.geo import haversine_sql
 
 
 def int_trips(stg: DataFrame) -> DataFrame:
     """One row per staging row (a pure projection, no shuffle)."""
-    dow = RF.weekday_num("start_ts")
-    passthrough_tail = [c for c in ("ingestion_ts", "source_file") if c in stg.columns]
-    return stg.select(
+    tail = [c for c in ("ingestion_ts", "source_file") if c in stg.columns]
+    return stg.selectExpr(
         "trip_sk", "ride_id", "rideable_type", "start_ts", "end_ts",
-        RF.trip_date("start_ts").alias("trip_date"),
-        RF.start_hour("start_ts").alias("start_hour"),
-        dow.alias("weekday_num"),
-        RF.weekday_type(dow).alias("weekday_type"),
+        f"{C.trip_date_sql('start_ts')} as trip_date",
+        f"{C.start_hour_sql('start_ts')} as start_hour",
+        f"{C.weekday_num_sql('start_ts')} as weekday_num",
+        f"{C.weekday_type_sql(C.weekday_num_sql('start_ts'))} as weekday_type",
         "start_station_id", "start_station_name", "start_lat", "start_lng",
         "end_station_id", "end_station_name", "end_lat", "end_lng",
         "member_casual",
-        RF.haversine_km("start_lat", "start_lng", "end_lat", "end_lng").alias("trip_distance_km"),
-        RF.duration_minutes("start_ts", "end_ts").alias("duration_minutes"),
-        *passthrough_tail,
+        f"{haversine_sql('start_lat', 'start_lng', 'end_lat', 'end_lng')} as trip_distance_km",
+        f"{C.duration_minutes_sql('start_ts', 'end_ts')} as duration_minutes",
+        *tail,
     )

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rides.functions.calendar import weekday_order
-from rides.functions.numeric import round_half_away
+from rides.functions.calendar import weekday_order_sql
+from rides.functions.numeric import round_half_away_sql
 
 
 def rpt_all_stations_by_weekday(popular: DataFrame) -> DataFrame:
@@ -16,44 +16,43 @@ def rpt_all_stations_by_weekday(popular: DataFrame) -> DataFrame:
 
 def rpt_top_station_by_weekday(popular: DataFrame) -> DataFrame:
     """Rank-1 stations per weekday (ties kept), Monday first."""
-    return (popular.where(F.col("station_rank") == 1)
+    return (popular.where("station_rank = 1")
                    .select("weekday", "station_name", "total_trips", "station_rank")
-                   .orderBy(weekday_order("weekday")))
+                   .orderBy(F.expr(weekday_order_sql("weekday"))))
 
 
 def rpt_daily_rolling(trends: DataFrame) -> DataFrame:
-    return (trends.select("ride_date", "daily_trips",
-                          round_half_away("avg_7d_trips", 1).alias("avg_7d_trips"),
-                          round_half_away("avg_30d_trips", 1).alias("avg_30d_trips"),
-                          "is_anomaly")
+    return (trends.selectExpr("ride_date", "daily_trips",
+                              f"{round_half_away_sql('avg_7d_trips', 1)} as avg_7d_trips",
+                              f"{round_half_away_sql('avg_30d_trips', 1)} as avg_30d_trips",
+                              "is_anomaly")
                   .orderBy("ride_date"))
 
 
 def rpt_hourly_duration(durations: DataFrame) -> DataFrame:
-    return (durations.select("start_hour", "time_of_day_category", "rider_type", "trips_count",
-                             round_half_away("avg_duration_minutes", 2).alias("avg_duration_minutes"),
-                             round_half_away("median_duration_minutes", 2)
-                             .alias("median_duration_minutes"))
-                     .orderBy("start_hour", "rider_type"))
+    return (durations.selectExpr(
+                "start_hour", "time_of_day_category", "rider_type", "trips_count",
+                f"{round_half_away_sql('avg_duration_minutes', 2)} as avg_duration_minutes",
+                f"{round_half_away_sql('median_duration_minutes', 2)} as median_duration_minutes")
+            .orderBy("start_hour", "rider_type"))
 
 
 def rpt_monthly_trends(trends: DataFrame) -> DataFrame:
     """Month totals are constant within a month, so MAX picks them up."""
-    return (trends.groupBy(F.trunc("ride_date", "month").alias("month"))
-                  .agg(F.max("month_total").alias("total_rides_in_month"),
-                       F.max("mom_percent_change").alias("mom_change_percentage"))
+    return (trends.groupBy(F.expr("trunc(ride_date, 'month') as month"))
+                  .agg(F.expr("max(month_total) as total_rides_in_month"),
+                       F.expr("max(mom_percent_change) as mom_change_percentage"))
                   .orderBy("month"))
 
 
 def rpt_rush_hour_gap(durations: DataFrame, category: str = "Rush Hour") -> DataFrame:
     """Member and casual medians side by side and casual - member (NULL if
     either is missing)."""
-    med = F.col("median_duration_minutes")
-    member = F.max(F.when(F.col("rider_type") == "member", med))
-    casual = F.max(F.when(F.col("rider_type") == "casual", med))
+    member = "max(case when rider_type = 'member' then median_duration_minutes end)"
+    casual = "max(case when rider_type = 'casual' then median_duration_minutes end)"
     return (durations.where(F.col("time_of_day_category") == category)
                      .groupBy("start_hour", "time_of_day_category")
-                     .agg(member.alias("member_median_duration"),
-                          casual.alias("casual_median_duration"),
-                          (casual - member).alias("duration_difference"))
+                     .agg(F.expr(f"{member} as member_median_duration"),
+                          F.expr(f"{casual} as casual_median_duration"),
+                          F.expr(f"{casual} - {member} as duration_difference"))
                      .orderBy("start_hour"))

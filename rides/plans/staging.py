@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from rides.functions import surrogate_key
+from rides.functions.keys import surrogate_key_sql
 
+# (output column, SQL expression over the raw columns)
+STG_PROJECTION = [
+    ("trip_sk", surrogate_key_sql("ride_id")),
+    ("ride_id", "cast(ride_id as string)"),
+    ("rideable_type", "cast(rideable_type as string)"),
+    ("start_ts", "cast(started_at as timestamp_ntz)"),
+    ("end_ts", "cast(ended_at as timestamp_ntz)"),
+    ("start_station_name", "cast(start_station_name as string)"),
+    ("start_station_id", "cast(start_station_id as string)"),
+    ("end_station_name", "cast(end_station_name as string)"),
+    ("end_station_id", "cast(end_station_id as string)"),
+    ("start_lat", "cast(start_lat as double)"),
+    ("start_lng", "cast(start_lng as double)"),
+    ("end_lat", "cast(end_lat as double)"),
+    ("end_lng", "cast(end_lng as double)"),
+    ("member_casual", "cast(member_casual as string)"),
+]
+# Zero durations stay; a NULL start or end drops the row (the comparison is
+# not true). Same test as "end - start >= 0 seconds" without an interval.
+NON_NEGATIVE = "cast(ended_at as timestamp_ntz) >= cast(started_at as timestamp_ntz)"
 
-def stg_trips(raw: DataFrame, include_ingestion_ts: bool = True) -> DataFrame:
-    """Cast and rename the raw columns, add ``trip_sk``, keep end >= start.
 
-    Zero durations stay; a NULL start or end drops the row (the comparison is
-    not true). ``end_ts >= start_ts`` is the same test as "end - start >= 0
-    seconds" without building an interval, and it stays in codegen.
-    """
-    start = F.col("started_at").cast("timestamp_ntz")
-    end = F.col("ended_at").cast("timestamp_ntz")
-    cols = [
-        surrogate_key("ride_id").alias("trip_sk"),
-        F.col("ride_id").cast("string").alias("ride_id"),
-        F.col("rideable_type").cast("string").alias("rideable_type"),
-        start.alias("start_ts"),
-        end.alias("end_ts"),
-        F.col("start_station_name").cast("string").alias("start_station_name"),
-        F.col("start_station_id").cast("string").alias("start_station_id"),
-        F.col("end_station_name").cast("string").alias("end_station_name"),
-        F.col("end_station_id").cast("string").alias("end_station_id"),
-        F.col("start_lat").cast("double").alias("start_lat"),
-        F.col("start_lng").cast("double").alias("start_lng"),
-        F.col("end_lat").cast("double").alias("end_lat"),
-        F.col("end_lng").cast("double").alias("end_lng"),
-        F.col("member_casual").cast("string").alias("member_casual"),
-    ]
+def stg_trips(raw: DataFrame, include_ingestion_ts: bool = True) -> DataFrame:
+    """Cast and rename the raw columns, add ``trip_sk``, keep end >= start."""
+    cols = [f"{e} as {n}" for n, e in STG_PROJECTION]
     if include_ingestion_ts:
-        cols.append(F.current_timestamp().alias("ingestion_ts"))
-    cols.append(F.col("filename").cast("string").alias("source_file"))
-    return raw.where(end >= start).select(*cols)
+        cols.append("current_timestamp() as ingestion_ts")
+    cols.append("cast(filename as string) as source_file")
+    return raw.where(NON_NEGATIVE).selectExpr(*cols)

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rides import functions as RF
-from rides.functions.numeric import round_half_away
+from rides.functions.calendar import minutes_from_micros_sql
+from rides.functions.numeric import round_half_away, round_half_away_sql
 from rides.operators.monthly import month_over_month
 from rides.operators.percentiles import exact_stats
 from rides.operators.ranking import rank_within
@@ -42,6 +43,10 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: round_half_away(c, 6) for c in cols})
 
 
+def _ts(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def _raw(spark, sf):
     return trips_from_orders(spark, sf)
 
@@ -86,7 +91,7 @@ def q_stg_trips_incremental(spark, sf):
     from rides.operators.incremental import upsert
 
     stg = _stg(spark, sf)
-    target = stg.where(F.col("start_ts") < F.lit(INCREMENTAL_MARK).cast("timestamp_ntz"))
+    target = stg.where(F.col("start_ts") < _ts(INCREMENTAL_MARK))
     merged = upsert(target, stg, key="ride_id", mark_col="start_ts")
     return merged.select(*STG_OUT)
 
@@ -163,15 +168,15 @@ def q_op_haversine(spark, sf):
 
 @register("op_surrogate_key")
 def q_op_surrogate_key(spark, sf):
-    return _raw(spark, sf).where(F.col("ended_at") >= F.col("started_at")).select(
-        F.col("ride_id"), RF.surrogate_key("ride_id").alias("trip_sk"))
+    return _raw(spark, sf).where("ended_at >= started_at").select(
+        "ride_id", RF.surrogate_key("ride_id").alias("trip_sk"))
 
 
 @register("op_percentiles")
 def q_op_percentiles(spark, sf):
     it = _int(spark, sf).select("start_hour", F.col("member_casual").alias("rider_type"),
                                 RF.duration_micros("start_ts", "end_ts").alias("us"))
-    out = exact_stats(it, ["start_hour", "rider_type"], "us", RF.minutes_from_micros,
+    out = exact_stats(it, ["start_hour", "rider_type"], "us", minutes_from_micros_sql,
                       {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
                        "p75_duration_minutes": 0.75},
                       count_name="trips_count", mean_name="avg_duration_minutes")
@@ -260,7 +265,7 @@ def _month_summary(raw: DataFrame) -> DataFrame:
                     F.count_if(F.col("rideable_type") == "electric_bike").alias("electric_trips"),
                     F.count_if(F.col("end_station_id").isNull()).alias("no_end_station"),
                     F.max("ended_at").alias("last_end"),
-                    round_half_away(F.sum("start_lat"), 6).alias("sum_start_lat")))
+                    F.expr(f"{round_half_away_sql('sum(start_lat)', 6)} as sum_start_lat")))
 
 
 def _write_two_layouts(raw: DataFrame, path: str) -> None:
@@ -321,7 +326,7 @@ def q_stream_incremental(spark, sf):
     landing, table_path = f"{base}/landing", f"{base}/table"
     raw = _raw(spark, sf)
     opts = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
-    early = raw.where(F.col("started_at") < F.lit(INCREMENTAL_MARK).cast("timestamp_ntz"))
+    early = raw.where(F.col("started_at") < _ts(INCREMENTAL_MARK))
     early.select(*RAW_NAMES).write.options(**opts).csv(f"{landing}/wave1")
     q = start_trip_stream(spark, landing, table_path, f"{base}/checkpoint", available_now=True)
     q.awaitTermination()

@@ -36,11 +36,20 @@ from orders
 """
 
 
+# Declared schemas of the shared tables this package reads (only the columns
+# it uses), so no Parquet footer is read to infer them.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def trips_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips (``RAW_WITH_FILE`` columns) mapped from ``orders``."""
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = read_table(spark, sf_dir, "orders")
     return spark.sql(TRIPS_FROM_ORDERS_SQL.replace("from orders", "from {orders}"), orders=orders)

@@ -12,15 +12,22 @@ def one(spark, col, schema="x int", row=(1,)):
     return spark.createDataFrame([row], schema).select(col.alias("v")).first()["v"]
 
 
+PTS = "a double, b double, c double, d double"
+
+
 def test_haversine_known_pair(spark):
-    d = one(spark, RF.haversine_km(F.lit(40.6), F.lit(-74.0), F.lit(40.7), F.lit(-73.9)))
+    d = one(spark, RF.haversine_km("a", "b", "c", "d"), PTS, (40.6, -74.0, 40.7, -73.9))
     assert d == pytest.approx(13.957642696, abs=1e-9)
 
 
 def test_haversine_same_point_and_null(spark):
-    assert one(spark, RF.haversine_km(F.lit(40.6), F.lit(-74.0), F.lit(40.6), F.lit(-74.0))) == 0.0
-    assert one(spark, RF.haversine_km(F.lit(40.6), F.lit(-74.0),
-                                      F.lit(None).cast("double"), F.lit(-74.0))) is None
+    assert one(spark, RF.haversine_km("a", "b", "c", "d"), PTS, (40.6, -74.0, 40.6, -74.0)) == 0.0
+    assert one(spark, RF.haversine_km("a", "b", "c", "d"), PTS, (40.6, -74.0, None, -74.0)) is None
+
+
+def test_helpers_reject_column_objects():
+    with pytest.raises(TypeError):
+        RF.haversine_km(F.col("a"), "b", "c", "d")
 
 
 def test_haversine_sql_function_matches(spark):
@@ -34,17 +41,19 @@ def test_haversine_sql_function_matches(spark):
 def test_surrogate_key(spark):
     from rides.functions.keys import NULL_PART
 
-    assert one(spark, RF.surrogate_key(F.lit("abc"))) == hashlib.md5(b"abc").hexdigest()
-    assert one(spark, RF.surrogate_key(F.lit(None).cast("string"))) == \
+    assert one(spark, RF.surrogate_key("'abc'")) == hashlib.md5(b"abc").hexdigest()
+    assert one(spark, RF.surrogate_key("cast(null as string)")) == \
         hashlib.md5(NULL_PART.encode()).hexdigest()
-    assert one(spark, RF.surrogate_key(F.lit("a"), F.lit(7))) == hashlib.md5(b"a-7").hexdigest()
+    assert one(spark, RF.surrogate_key("'a'", "7")) == hashlib.md5(b"a-7").hexdigest()
 
 
 def test_weekday_sunday_is_zero_and_full_names(spark):
     df = spark.createDataFrame([(dt.datetime(2023, 1, 1, 10), ), (dt.datetime(2023, 1, 7, 10), ),
                                 (dt.datetime(2023, 1, 2, 10), )], "ts timestamp_ntz")
-    rows = df.select(RF.weekday_num("ts").alias("n"), RF.weekday_name(RF.trip_date("ts")).alias("w"),
-                     RF.weekday_type(RF.weekday_num("ts")).alias("t")).collect()
+    from rides.functions.calendar import trip_date_sql, weekday_num_sql
+
+    rows = df.select(RF.weekday_num("ts").alias("n"), RF.weekday_name(trip_date_sql("ts")).alias("w"),
+                     RF.weekday_type(weekday_num_sql("ts")).alias("t")).collect()
     assert [(r.n, r.w, r.t) for r in rows] == [
         (0, "Sunday", "weekend"), (6, "Saturday", "weekend"), (1, "Monday", "weekday")]
 

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from rides.operators import quality as Q
 from rides.plans import checks as C
 from rides.plans.build import build
@@ -21,7 +19,7 @@ def test_quality_checks_each_find_one_violation(spark):
         Q.accepted_values(df, "t", "rider", ["member", "casual"]),
         Q.values_in_set(df, "t", "flag", [0, 1]),
         Q.relationships(df, "t", "k", parent, "k"),
-        Q.expression_is_false(df, "t", "n", F.col("n") < 0),
+        Q.expression_is_false(df, "t", "n", "n < 0"),
     ]).collect()
     assert sorted((r.check_name, r.column_name, r.violations) for r in got) == [
         ("accepted_values", "rider", 1), ("nonnegative", "n", 1), ("not_null", "id", 1),
