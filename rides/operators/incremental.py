@@ -110,9 +110,11 @@ class IncrementalTable:
             PQ.write_trips_by_month(batch, self.path, mode="overwrite", replace_all=True)
             return {"mode": "full", "mark": None}
         target = self.read(batch.schema)
-        # The newest start lies in the newest month: prune to it first.
-        last_month = target.agg(F.max(PQ.MONTH_COL)).first()[0]
-        mark = high_water_mark(target.where(F.col(PQ.MONTH_COL) == last_month), self.mark_col)
+        # The newest start lies in the newest month (read from folder names):
+        # only that month's start column is scanned for the mark.
+        months = [m for m in PQ.partition_values(self.path) if m != "__HIVE_DEFAULT_PARTITION__"]
+        mark = (high_water_mark(target.where(F.col(PQ.MONTH_COL) == months[-1]), self.mark_col)
+                if months else None)
         new = self._stage(new_rows(batch, mark, self.mark_col, lookback), "new")
         n_new = new.count()                      # cheap: the staged files' row counts
         keys = batch_keys(new, self.key, n_new)

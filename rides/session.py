@@ -50,10 +50,20 @@ def get_session(master: str | None = None, app: str = "rides",
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder, setting one only if unset."""
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session (tests, a laptop) gets a fallback under /tmp;
+    on a cluster a machine-local folder would not be visible to other
+    executors, so an unset setting is an error there."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder every executor can reach")
         d = os.path.join("/tmp", "rides-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

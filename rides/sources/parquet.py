@@ -45,6 +45,18 @@ def read_trips_by_month(spark: SparkSession, path: str, schema: T.StructType) ->
     return spark.read.schema(with_month_field(schema)).parquet(path)
 
 
+def partition_values(path: str, column: str = MONTH_COL) -> list[str]:
+    """Values of a partition column from the folder names (metadata only)."""
+    import pyarrow.fs as pafs
+
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(path)
+    prefix = f"{column}="
+    return sorted(f.base_name[len(prefix):] for f in fs.get_file_info(pafs.FileSelector(p))
+                  if f.type == pafs.FileType.Directory and f.base_name.startswith(prefix))
+
+
 def path_exists(path: str) -> bool:
     import pyarrow.fs as pafs
 
