@@ -46,3 +46,34 @@ def duration_histogram(trips: DataFrame) -> DataFrame:
                              f"{duration_micros_sql('start_ts', 'end_ts')} as duration_us")
                  .groupBy("start_hour", "rider_type", "duration_us")
                  .agg(F.expr("count(1) as trips")))
+
+
+COUNT_KEYS = ["trip_date", "start_station_id", "start_station_name"]
+DURATION_KEYS = ["start_hour", "rider_type", "duration_us"]
+
+
+def trip_aggregates(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both aggregates from ONE scan of the trips, written once.
+
+    A GROUPING SETS aggregation over the union of the needed columns
+    computes (date, station) counts and the duration histogram together
+    (each row is expanded once per set before the map-side partial
+    aggregation). The result is written once, partitioned by grouping id,
+    and read back as two small tables.
+    """
+    cols = trips.selectExpr(*COUNT_KEYS, "start_hour", "member_casual as rider_type",
+                            f"{duration_micros_sql('start_ts', 'end_ts')} as duration_us")
+    keys = COUNT_KEYS + DURATION_KEYS
+    both = (cols.groupingSets([COUNT_KEYS, DURATION_KEYS], *keys)
+                .agg(F.expr("count(1) as trips"), F.expr("grouping_id() as grouping_set")))
+    from rides.session import shared_dir
+
+    path = shared_dir(trips.sparkSession, "materialized", "trip_aggregates", unique=True)
+    both.write.mode("overwrite").partitionBy("grouping_set").parquet(path)
+    back = trips.sparkSession.read.schema(both.schema).parquet(path)
+    # grouping_id() sets a bit for every key column NOT in the set (first key = highest bit)
+    counts_id = (1 << len(DURATION_KEYS)) - 1
+    hist_id = ((1 << len(COUNT_KEYS)) - 1) << len(DURATION_KEYS)
+    counts = back.where(f"grouping_set = {counts_id}").select(*COUNT_KEYS, "trips")
+    hist = back.where(f"grouping_set = {hist_id}").select(*DURATION_KEYS, "trips")
+    return counts, hist

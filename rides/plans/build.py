@@ -1,10 +1,10 @@
 """Assemble every model and report from raw trips.
 
 The staging and intermediate tables stay lazy (they are projections of the
-raw trips). The two small aggregates are materialized once (written as
-Parquet in the shared folder); every dimension, fact and report is then
-built from them, so the trips are scanned twice in total, each time reading
-only the columns that aggregate needs.
+raw trips). Both small aggregates come from one grouping-sets scan of the
+trips, written once as Parquet in the shared folder; every dimension, fact
+and report is then built from them, so the trips are scanned once, reading
+only the columns the aggregates need.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
-from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
+from rides.plans.aggregates import trip_aggregates
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
 
@@ -25,8 +25,7 @@ def build_from_stg(stg: DataFrame, it: DataFrame | None = None) -> dict[str, Dat
     """Every model and report from the staging table (and, when given, an
     already written intermediate table)."""
     it = it if it is not None else int_trips(stg)
-    counts = materialize(daily_station_counts(it))
-    hist = materialize(duration_histogram(it))
+    counts, hist = trip_aggregates(it)
     dim_date = D.dim_date_from_dates(counts)
     dim_stations = D.dim_stations_from(counts)
     dim_time = D.dim_time_from_hours(hist)

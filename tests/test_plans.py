@@ -72,3 +72,18 @@ def test_rank_filter_limits_before_shuffle(spark):
     df = spark.createDataFrame([("d", str(i), i) for i in range(50)], "w string, s string, n long")
     p = plan(top_ranked(df, ["w"], "n", name="r"))
     assert "WindowGroupLimit" in p
+
+
+def test_build_aggregates_scan_trips_once(spark, raw_df, tmp_path):
+    from rides.plans.aggregates import COUNT_KEYS, DURATION_KEYS, trip_aggregates
+
+    it = int_trips(stg_trips(_parquet_trips(spark, raw_df, tmp_path)))
+    cols = it.selectExpr(*COUNT_KEYS, "start_hour", "member_casual as rider_type",
+                         "timestampdiff(MICROSECOND, start_ts, end_ts) as duration_us")
+    both = cols.groupingSets([COUNT_KEYS, DURATION_KEYS], *(COUNT_KEYS + DURATION_KEYS)).count()
+    p = plan(both)
+    tree = p.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Expand" in tree
+    counts, hist = trip_aggregates(it)
+    assert counts.count() == daily_station_counts(it).count()
+    assert hist.count() == duration_histogram(it).count()
