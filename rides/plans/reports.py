@@ -8,17 +8,23 @@ from rides.functions.calendar import weekday_order_sql
 from rides.functions.numeric import round_half_away_sql
 
 
+def _asc(*cols: str):
+    """Ascending with NULLs last, the order SQL engines such as DuckDB use
+    (Spark's default puts NULLs first)."""
+    return [F.expr(c).asc_nulls_last() for c in cols]
+
+
 def rpt_all_stations_by_weekday(popular: DataFrame) -> DataFrame:
     """Full ranking per weekday (weekday names sort alphabetically)."""
     return (popular.select("weekday", "station_name", "total_trips", "station_rank")
-                   .orderBy("weekday", "station_rank"))
+                   .orderBy(*_asc("weekday", "station_rank")))
 
 
 def rpt_top_station_by_weekday(popular: DataFrame) -> DataFrame:
     """Rank-1 stations per weekday (ties kept), Monday first."""
     return (popular.where("station_rank = 1")
                    .select("weekday", "station_name", "total_trips", "station_rank")
-                   .orderBy(F.expr(weekday_order_sql("weekday"))))
+                   .orderBy(*_asc(weekday_order_sql("weekday"))))
 
 
 def rpt_daily_rolling(trends: DataFrame) -> DataFrame:
@@ -26,7 +32,7 @@ def rpt_daily_rolling(trends: DataFrame) -> DataFrame:
                               f"{round_half_away_sql('avg_7d_trips', 1)} as avg_7d_trips",
                               f"{round_half_away_sql('avg_30d_trips', 1)} as avg_30d_trips",
                               "is_anomaly")
-                  .orderBy("ride_date"))
+                  .orderBy(*_asc("ride_date")))
 
 
 def rpt_hourly_duration(durations: DataFrame) -> DataFrame:
@@ -34,7 +40,7 @@ def rpt_hourly_duration(durations: DataFrame) -> DataFrame:
                 "start_hour", "time_of_day_category", "rider_type", "trips_count",
                 f"{round_half_away_sql('avg_duration_minutes', 2)} as avg_duration_minutes",
                 f"{round_half_away_sql('median_duration_minutes', 2)} as median_duration_minutes")
-            .orderBy("start_hour", "rider_type"))
+            .orderBy(*_asc("start_hour", "rider_type")))
 
 
 def rpt_monthly_trends(trends: DataFrame) -> DataFrame:
@@ -42,7 +48,7 @@ def rpt_monthly_trends(trends: DataFrame) -> DataFrame:
     return (trends.groupBy(F.expr("trunc(ride_date, 'month') as month"))
                   .agg(F.expr("max(month_total) as total_rides_in_month"),
                        F.expr("max(mom_percent_change) as mom_change_percentage"))
-                  .orderBy("month"))
+                  .orderBy(*_asc("month")))
 
 
 def rpt_rush_hour_gap(durations: DataFrame, category: str = "Rush Hour") -> DataFrame:
@@ -55,4 +61,4 @@ def rpt_rush_hour_gap(durations: DataFrame, category: str = "Rush Hour") -> Data
                      .agg(F.expr(f"{member} as member_median_duration"),
                           F.expr(f"{casual} as casual_median_duration"),
                           F.expr(f"{casual} - {member} as duration_difference"))
-                     .orderBy("start_hour"))
+                     .orderBy(*_asc("start_hour")))

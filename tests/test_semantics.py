@@ -66,3 +66,15 @@ def test_ranking_puts_nothing_before_real_counts(spark):
                                "w string, s string, n long")
     got = {r.s: r.r for r in rank_within(df, ["w"], "n", name="r").collect()}
     assert got == {"c": 1, "a": 2, "b": 3}
+
+
+def test_reports_sort_nulls_last(spark):
+    from rides.plans.reports import rpt_hourly_duration
+
+    df = spark.createDataFrame(
+        [(8, "Rush Hour", None, 1, 1.0, 1.0), (8, "Rush Hour", "casual", 2, 2.0, 2.0),
+         (7, "Rush Hour", "member", 3, 3.0, 3.0)],
+        "start_hour bigint, time_of_day_category string, rider_type string, trips_count bigint, "
+        "avg_duration_minutes double, median_duration_minutes double")
+    got = [(r.start_hour, r.rider_type) for r in rpt_hourly_duration(df).collect()]
+    assert got == [(7, "member"), (8, "casual"), (8, None)]
