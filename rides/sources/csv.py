@@ -154,7 +154,7 @@ def empty_raw(spark: SparkSession, schema: T.StructType = RAW_SCHEMA) -> DataFra
 
 
 def month_from_file_name(path_col: str = "filename"):
-    """'yyyyMM' prefix of a file's base name ('202301-citibike-tripdata.csv'
+    """'yyyyMM' prefix of a file's base name ('202301-trips.csv'
     -> '202301'); NULL when the name has no such prefix. The trip month used
     for partitioning comes from ``started_at`` instead, which does not depend
     on how files are named."""

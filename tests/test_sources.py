@@ -69,8 +69,8 @@ def test_nothing_usable_raises(spark, tmp_path):
 def test_two_files_of_one_month_lose_no_rows(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
-    (src / "202306-citibike-tripdata_1.csv").write_text(csv_text([row("a"), row("b")]))
-    (src / "202306-citibike-tripdata_2.csv").write_text(csv_text([row("c")]))
+    (src / "202306-trips_1.csv").write_text(csv_text([row("a"), row("b")]))
+    (src / "202306-trips_2.csv").write_text(csv_text([row("c")]))
     target = str(tmp_path / "raw")
     report = ingest(spark, str(src), target)
     assert report["rows"] == 3 and len(report["files"]) == 2
@@ -80,7 +80,7 @@ def test_two_files_of_one_month_lose_no_rows(spark, tmp_path):
 
 
 def test_two_row_csv_ingest_counts_two(spark, tmp_path):
-    """The reference's ingest unit test: two data rows load as two rows."""
+    """A two-row CSV loads as two rows (columns it lacks become NULL)."""
     (tmp_path / "test.csv").write_text("col1,col2\n1,2\n3,4\n")
     raw = read_trips_csv(spark, str(tmp_path))
     assert raw.count() == 2
@@ -135,6 +135,6 @@ def test_empty_raw_and_month_from_name(spark):
 
     e = empty_raw(spark)
     assert e.count() == 0 and e.columns[-1] == "filename" and len(e.columns) == len(RAW_NAMES) + 1
-    df = spark.createDataFrame([("file:/x/202301-citibike-tripdata_1.csv",), ("file:/x/._a.csv",)],
+    df = spark.createDataFrame([("file:/x/202301-trips_1.csv",), ("file:/x/._a.csv",)],
                                "filename string")
     assert [r[0] for r in df.select(month_from_file_name()).collect()] == ["202301", None]
