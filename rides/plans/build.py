@@ -62,7 +62,11 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
 
     * staging: incremental high-water-mark upsert (``full_refresh`` rebuilds);
     * intermediate: rebuilt, partitioned by trip month;
-    * dimensions and facts: rebuilt as tables, then analyzed.
+    * dimensions and facts: rebuilt as tables.
+
+    Statistics follow the source project (staging, intermediate and the
+    three facts): the two trip-sized tables get size statistics from file
+    metadata (no scan), the small facts full column statistics.
 
     Tables are external, under ``root`` (default: the shared folder). Returns
     the staging load summary and a DataFrame per table and report.
@@ -70,22 +74,26 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     from rides.operators.incremental import IncrementalTable
     from rides.session import shared_dir
     from rides.sources import tables as TB
-    from rides.sources.parquet import MONTH_COL, month_key
+    from rides.sources.parquet import MONTH_COL, month_key, with_month_field
 
     root = root or shared_dir(spark, "warehouse", database)
     TB.create_schema(spark, database, location=f"{root}/_db")
     staged = stg_trips(raw)
     stg_table = IncrementalTable(spark, f"{root}/stg_trips")
     summary = stg_table.load(staged, full_refresh=full_refresh, lookback=lookback)
-    stg = TB.register_parquet(spark, f"{database}.stg_trips", f"{root}/stg_trips")
+    stg = TB.register_parquet(spark, f"{database}.stg_trips", f"{root}/stg_trips",
+                              schema=with_month_field(staged.schema))
     it = int_trips(stg.drop(MONTH_COL)).withColumn(MONTH_COL, month_key("start_ts"))
     TB.save_table(it, f"{database}.int_trips", f"{root}/int_trips", partition_by=[MONTH_COL])
+    if with_stats:
+        TB.analyze(spark, f"{database}.stg_trips", columns=False)
+        TB.analyze(spark, f"{database}.int_trips", columns=False)
     it = spark.table(f"{database}.int_trips").drop(MONTH_COL)
     models = build_from_stg(stg.drop(MONTH_COL), it)
     out = {"stg_load": summary}
     for name in MODEL_TABLES:
         TB.save_table(models[name], f"{database}.{name}", f"{root}/{name}")
-        if with_stats:
+        if with_stats and name.startswith("fct_"):
             TB.analyze(spark, f"{database}.{name}")
         out[name] = spark.table(f"{database}.{name}")
     popular, durations, trends = (out["fct_popular_stations_by_weekday"],

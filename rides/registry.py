@@ -336,3 +336,22 @@ def q_stream_incremental(spark, sf):
     stg_schema = stg_trips(raw).schema
     return read_trips_by_month(spark, table_path, stg_schema).select(
         *[c for c in STG_OUT if c != "source_file"])
+
+
+@register("run_models_incremental")
+def q_run_models_incremental(spark, sf):
+    """Two model runs with tables: the first loads trips before 2000, the
+    second every trip (the high-water mark skips what is loaded); the daily
+    trends table is read back from its saved location."""
+    import uuid
+
+    from rides.plans.build import run_models
+    from rides.session import shared_dir
+
+    raw = _raw(spark, sf)
+    db = f"rides_{uuid.uuid4().hex[:8]}"
+    root = shared_dir(spark, "warehouse", unique=True)
+    run_models(spark, raw.where(F.col("started_at") < _ts(INCREMENTAL_MARK)), database=db,
+               root=root, with_stats=False)
+    out = run_models(spark, raw, database=db, root=root)
+    return r6(out["fct_daily_trip_trends"], "avg_7d_trips", "avg_30d_trips", "mom_percent_change")

@@ -64,7 +64,7 @@ def read_group(spark: SparkSession, files: list[str], names: list[str],
     """Read files sharing one header, select ``schema`` columns by name."""
     text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     df = (spark.read.schema(text).option("header", True).option("sep", sep)
-               .option("mode", "FAILFAST").csv(files))
+               .option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(files))
     present = set(names)
     cols = []
     for f in schema.fields:

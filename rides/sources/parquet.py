@@ -21,9 +21,15 @@ def write_trips_by_month(df: DataFrame, path: str, mode: str = "overwrite",
     No shuffle: a month can hold a large share of all rows, and hashing by
     month would send it to a single task. Each task sorts its own rows by
     month and writes one file per month it holds (``maxRecordsPerFile``
-    caps file size). An overwrite replaces only the months present in
-    ``df`` unless ``replace_all`` (a full refresh) is set."""
+    caps file size). Only an input with fewer partitions than the cluster
+    has cores (a small input) is first spread by month over the cores, so
+    its months are written in parallel rather than by one task. An
+    overwrite replaces only the months present in ``df`` unless
+    ``replace_all`` (a full refresh) is set."""
     out = df.withColumn(MONTH_COL, month_key(source_col))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores, MONTH_COL)
     (out.sortWithinPartitions(MONTH_COL)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")

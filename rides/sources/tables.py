@@ -25,12 +25,18 @@ def save_table(df: DataFrame, name: str, path: str, partition_by: list[str] | No
     w.saveAsTable(name)
 
 
-def register_parquet(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Register existing Parquet files (partition folders included) as a table."""
+def register_parquet(spark: SparkSession, name: str, path: str, schema=None) -> DataFrame:
+    """Register existing Parquet files (partition folders included) as a table.
+
+    With ``schema`` given (a StructType including partition columns), no file
+    footer is read to infer it. Partition folders are added to the catalog."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    if spark.table(name).columns and _is_partitioned(spark, name):
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    if schema is not None:
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+    else:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if _is_partitioned(spark, name):
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
@@ -44,9 +50,12 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def analyze(spark: SparkSession, name: str) -> None:
-    """Table and column statistics for the optimizer (join sizes, CBO)."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+def analyze(spark: SparkSession, name: str, columns: bool = True) -> None:
+    """Statistics for the optimizer: with ``columns``, row count plus per-
+    column min/max/distinct/null counts (one scan); without, only the size
+    from file metadata (no scan), which is what join planning needs."""
+    what = "COMPUTE STATISTICS FOR ALL COLUMNS" if columns else "COMPUTE STATISTICS NOSCAN"
+    spark.sql(f"ANALYZE TABLE {name} {what}")
 
 
 def columns(spark: SparkSession, name: str) -> list[str]:

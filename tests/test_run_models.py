@@ -15,8 +15,10 @@ def test_run_models_twice_is_incremental(spark, raw_df, tmp_path):
     out = run_models(spark, first, database="rides_t", root=str(tmp_path / "wh"))
     assert out["stg_load"]["mode"] == "full"
     assert out["fct_daily_trip_trends"].count() == 2
-    stats = spark.sql("DESCRIBE TABLE EXTENDED rides_t.dim_time").collect()
+    stats = spark.sql("DESCRIBE TABLE EXTENDED rides_t.fct_trip_duration_by_hour").collect()
     assert any("Statistics" in (r.col_name or "") for r in stats)
+    col = spark.sql("DESCRIBE TABLE EXTENDED rides_t.fct_trip_duration_by_hour trips_count").collect()
+    assert any(r.info_name == "distinct_count" for r in col)
     assert "station_rank" in spark.table("rides_t.fct_popular_stations_by_weekday").columns
 
     second = raw_df([trip("a", "2023-06-01 08:00:00"), trip("b", "2023-06-02 17:00:00", "2"),
