@@ -309,7 +309,7 @@ def q_archive_ingest(spark, sf):
 
     path = shared_dir(spark, "zip_roundtrip", unique=True)
     raw = _raw(spark, sf)
-    write_trips_zip(raw.repartition(4, F.date_format("started_at", "yyyy")), path)
+    write_trips_zip(raw.repartition("ride_id"), path)
     return _month_summary(read_trips_zip(spark, path))
 
 

@@ -161,45 +161,47 @@ def read_trips_zip(spark: SparkSession, path: str, strict: bool = True) -> DataF
 def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
     """Write each partition of ``df`` (raw text columns) as one archive in
     ``out_dir``: an outer zip holding an inner zip holding one CSV, the same
-    layout as the published monthly archives. Runs as a Spark job; every task
-    writes its own archive to shared storage, named by partition number so a
-    retried task replaces its own file instead of adding a second copy; the
-    file is written under a temporary name and moved into place when
-    complete."""
-    import pandas as pd
+    layout as the published monthly archives.
 
+    Runs as a Spark job; every task streams its rows batch by batch into the
+    archive on shared storage, so task memory is one Arrow batch whatever
+    the partition size. Archives are named by partition number and written
+    under a temporary name, then moved into place, so a retried task
+    replaces its own file instead of adding a second copy."""
     cols = RAW_NAMES
 
     def write_part(batches):
+        import pandas as pd
         from pyspark import TaskContext
 
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            return
-        csv_bytes = pdf[cols].to_csv(index=False).encode()
-        ctx = TaskContext.get()
-        tag = f"{ctx.partitionId():05d}"
-        inner = io.BytesIO()
-        with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr(f"trips-{tag}.csv", csv_bytes)
-        payload = inner.getvalue()
-        if nested:
-            outer = io.BytesIO()
-            with zipfile.ZipFile(outer, "w", zipfile.ZIP_STORED) as z:
-                z.writestr(f"trips-{tag}.zip", payload)
-            payload = outer.getvalue()
         from rides.sources.files import filesystem
 
+        ctx = TaskContext.get()
+        tag = f"{ctx.partitionId():05d}"
         fs, p = filesystem(out_dir)
         fs.create_dir(p, recursive=True)
         tmp = f"{p}/.archive-{tag}.zip.{ctx.attemptNumber()}"
-        with fs.open_output_stream(tmp) as o:
-            o.write(payload)
+        rows = 0
+        with fs.open_output_stream(tmp) as sink, \
+                zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED if nested else zipfile.ZIP_DEFLATED) as outer:
+            if nested:
+                entry = outer.open(f"trips-{tag}.zip", "w", force_zip64=True)
+                inner = zipfile.ZipFile(entry, "w", zipfile.ZIP_DEFLATED)
+            else:
+                entry, inner = None, outer
+            with inner.open(f"trips-{tag}.csv", "w", force_zip64=True) as csv_out:
+                csv_out.write((",".join(cols) + "\n").encode())
+                for pdf in batches:
+                    rows += len(pdf)
+                    csv_out.write(pdf[cols].to_csv(index=False, header=False).encode())
+            if nested:
+                inner.close()
+                entry.close()
+        if rows == 0:
+            fs.delete_file(tmp)
+            return
         fs.move(tmp, f"{p}/archive-{tag}.zip")
-        yield pd.DataFrame({"archive": [f"archive-{tag}.zip"], "rows": [len(pdf)]})
+        yield pd.DataFrame({"archive": [f"archive-{tag}.zip"], "rows": [rows]})
 
     text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
     text.mapInPandas(write_part, "archive string, rows long").collect()

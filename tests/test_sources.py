@@ -138,3 +138,19 @@ def test_empty_raw_and_month_from_name(spark):
     df = spark.createDataFrame([("file:/x/202301-trips_1.csv",), ("file:/x/._a.csv",)],
                                "filename string")
     assert [r[0] for r in df.select(month_from_file_name()).collect()] == ["202301", None]
+
+
+def test_streamed_nested_archives_roundtrip(spark, tmp_path, raw_df):
+    from rides.sources.archive import write_trips_zip
+
+    rows = [(f"r{i}", f"2023-06-{1 + i % 28:02d} 08:00:00", f"2023-06-{1 + i % 28:02d} 08:30:00",
+             str(i % 4), f"S{i % 4}", "member" if i % 2 else "casual") for i in range(300)]
+    raw = raw_df(rows)
+    out = str(tmp_path / "zips")
+    write_trips_zip(raw.repartition(3, "ride_id"), out)
+    names = sorted(p.name for p in (tmp_path / "zips").iterdir())
+    assert names == ["archive-00000.zip", "archive-00001.zip", "archive-00002.zip"]
+    back = read_trips_zip(spark, out)
+    assert back.rdd.getNumPartitions() == 3
+    assert back.count() == 300
+    assert back.select("ride_id", "member_casual").exceptAll(raw.select("ride_id", "member_casual")).count() == 0
