@@ -47,6 +47,7 @@ def get_session(master: str | None = None, app: str = "rides",
               "spark.sql.adaptive.enabled"):
         spark.conf.set(k, BASE_CONF[k])
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -54,6 +55,37 @@ class NoSharedFolder(RuntimeError):
     pass
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rides`` importable in every Python worker (the code that runs
+    inside tasks: the CSV header probe, the zip data source, the archive
+    writer). The package is zipped once per application into the shared
+    folder and added with ``addPyFile``, as ``--py-files`` would do."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = shared_dir(spark, "pyfiles", unique=True)
+    target = f"{out_dir}/rides.zip"
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(target)
+    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(p) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("rides", os.path.relpath(full, pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
