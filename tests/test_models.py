@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
 from rides.plans.build import build

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rides.plans import facts as FCT
 from rides.plans.intermediate import int_trips
