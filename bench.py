@@ -60,9 +60,15 @@ def main():
         once(name)
         results[name] = round(statistics.median(once(name) for _ in range(runs)), 4)
     total = round(sum(results.values()), 4)
+    from rides.sources.fixtures import trips_from_orders
+
+    trips = trips_from_orders(spark, sf).count()
+    extra = {}
+    if "full_build" in results:
+        extra["full_build_trips_per_sec"] = round(trips / results["full_build"])
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
                       "queries": results, "sf": os.path.basename(sf.rstrip("/")),
-                      "cpus": cpus, "runs": runs}))
+                      "cpus": cpus, "runs": runs, "trips": trips, **extra}))
 
 
 if __name__ == "__main__":

@@ -17,9 +17,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # A stage whose generated method exceeds the JVM's JIT limit would run
-    # interpreted; above this size Spark uses per-operator code instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
