@@ -62,29 +62,31 @@ def _list_archives(path: str) -> list[str]:
 
 
 def _csv_batches(stream, label: str, block_size: int):
-    """Record batches of RAW columns (text) from one CSV stream, by name."""
+    """Record batches of RAW columns (text) from one CSV stream, by name.
+
+    The header is read from the stream's buffer without consuming it; only
+    declared columns present in the file are parsed (all as text, so no type
+    is inferred), and declared columns the file lacks become NULL."""
+    import csv
     import pyarrow as pa
     import pyarrow.csv as pacsv
 
-    head = stream.peek(1) if hasattr(stream, "peek") else b"x"
+    head = stream.peek(1 << 16)
     if not head:
         return
+    first = head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    header = [c.strip() for c in next(csv.reader([first]))]
+    present = [c for c in RAW_NAMES if c in header]
     reader = pacsv.open_csv(
         stream,
-        read_options=pacsv.ReadOptions(block_size=block_size),
+        read_options=pacsv.ReadOptions(block_size=block_size, encoding="utf-8"),
         convert_options=pacsv.ConvertOptions(
-            column_types={n: pa.string() for n in RAW_NAMES}, strings_can_be_null=True,
-            include_columns=None))
-    names = reader.schema.names
+            column_types={n: pa.string() for n in present}, strings_can_be_null=True,
+            include_columns=present))
     for batch in reader:
         n = batch.num_rows
-        cols = []
-        for col in RAW_NAMES:
-            if col in names:
-                arr = batch.column(names.index(col))
-                cols.append(arr if arr.type == pa.string() else arr.cast(pa.string()))
-            else:
-                cols.append(pa.nulls(n, pa.string()))
+        cols = [batch.column(batch.schema.get_field_index(c)) if c in present
+                else pa.nulls(n, pa.string()) for c in RAW_NAMES]
         cols.append(pa.array([label] * n, pa.string()))
         yield pa.RecordBatch.from_arrays(cols, names=RAW_NAMES + ["filename"])
 
@@ -118,8 +120,8 @@ class ZipTripsReader(DataSourceReader):
         with open_path(part.archive) as f, zipfile.ZipFile(f) as outer:
             if not part.nested:
                 with outer.open(part.member) as s:
-                    yield from _csv_batches(io.BufferedReader(s), f"{part.archive}/{part.member}",
-                                            self.block_size)
+                    yield from _csv_batches(io.BufferedReader(s, 1 << 16),
+                                            f"{part.archive}/{part.member}", self.block_size)
                 return
             with outer.open(part.member) as inner_raw, zipfile.ZipFile(inner_raw) as inner:
                 for info in inner.infolist():
@@ -128,7 +130,8 @@ class ZipTripsReader(DataSourceReader):
                         continue
                     label = f"{part.archive}/{part.member}/{info.filename}"
                     with inner.open(info) as s:
-                        yield from _csv_batches(io.BufferedReader(s), label, self.block_size)
+                        yield from _csv_batches(io.BufferedReader(s, 1 << 16), label,
+                                                self.block_size)
 
 
 class ZipTripsSource(DataSource):

@@ -154,3 +154,15 @@ def test_streamed_nested_archives_roundtrip(spark, tmp_path, raw_df):
     assert back.rdd.getNumPartitions() == 3
     assert back.count() == 300
     assert back.select("ride_id", "member_casual").exceptAll(raw.select("ride_id", "member_casual")).count() == 0
+
+
+def test_zip_extra_columns_are_ignored_not_inferred(spark, tmp_path):
+    cols = RAW_NAMES[:5] + ["weird"] + RAW_NAMES[5:]
+    rows = []
+    for i in range(3):
+        r = row(f"r{i}")
+        r["weird"] = "1" if i < 2 else "not-a-number"
+        rows.append(r)
+    (tmp_path / "x.zip").write_bytes(_zip_bytes({"x.csv": csv_text(rows, cols).encode()}))
+    got = read_trips_zip(spark, str(tmp_path / "x.zip")).collect()
+    assert sorted(r.ride_id for r in got) == ["r0", "r1", "r2"]
