@@ -69,6 +69,9 @@ def main():
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
                       "queries": results, "sf": os.path.basename(sf.rstrip("/")),
                       "cpus": cpus, "runs": runs, "trips": trips, **extra}))
+    from rides.session import cleanup_scratch
+
+    cleanup_scratch(spark)
 
 
 if __name__ == "__main__":
