@@ -87,3 +87,32 @@ def test_rank_has_ties_and_gaps(spark, rows):
     got = {r.s: r.r for r in rank_within(df, ["w"], "n", name="r").collect()}
     for w, s, n in data:
         assert got[s] == 1 + sum(1 for ww, _, nn in data if ww == w and nn > n)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.permutations(["ride_id", "member_casual", "start_station_id", "start_lat"]),
+                min_size=1, max_size=3),
+       st.data())
+def test_csv_columns_are_read_by_name(spark, tmp_path_factory, layouts, data):
+    from rides.sources.csv import read_trips_csv
+
+    d = tmp_path_factory.mktemp("csv")
+    expected = {}
+    for i, cols in enumerate(layouts):
+        keep = data.draw(st.integers(1, len(cols)))
+        cols = list(cols[:keep]) if "ride_id" in cols[:keep] else ["ride_id"] + list(cols[:keep])
+        lines = [",".join(cols)]
+        for j in range(3):
+            rec = {"ride_id": f"f{i}r{j}", "member_casual": "member" if j % 2 else "casual",
+                   "start_station_id": str(10 * i + j), "start_lat": str(40.0 + i + j / 10)}
+            lines.append(",".join(rec[c] for c in cols))
+            expected[rec["ride_id"]] = {c: rec[c] for c in cols}
+        (d / f"file{i}.csv").write_text("\n".join(lines) + "\n")
+    got = {r.ride_id: r for r in read_trips_csv(spark, str(d)).collect()}
+    assert set(got) == set(expected)
+    for rid, rec in expected.items():
+        r = got[rid]
+        assert r.member_casual == rec.get("member_casual")
+        assert r.start_station_id == rec.get("start_station_id")
+        assert r.start_lat == (float(rec["start_lat"]) if "start_lat" in rec else None)
