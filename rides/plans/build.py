@@ -107,3 +107,16 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
         "rpt_rush_hour_gap": R.rpt_rush_hour_gap(durations),
     })
     return out
+
+
+def register_views(models: dict[str, DataFrame]) -> list[str]:
+    """Expose every model and report as a session view under its own name,
+    so ad-hoc SQL can query ``fct_daily_trip_trends`` and friends directly."""
+    from rides.sources.tables import create_view
+
+    names = []
+    for name, df in models.items():
+        if isinstance(df, DataFrame):
+            create_view(df, name)
+            names.append(name)
+    return names

@@ -130,3 +130,20 @@ def test_build_and_report_order(spark, raw_df):
     week = [r.weekday for r in models["rpt_top_station_by_weekday"].collect()]
     order = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
     assert week == sorted(week, key=order.index)
+
+
+def test_models_answer_sql_by_name(spark, raw_df):
+    from rides.plans.build import register_views
+
+    days, rows = _daily_gaps_rows()
+    names = register_views(build(raw_df(rows)))
+    assert "fct_popular_stations_by_weekday" in names
+    top = spark.sql("""
+        select weekday, station_name, total_trips from fct_popular_stations_by_weekday
+        where station_rank = 1 order by total_trips desc, weekday""").collect()
+    assert len(top) == 7 and top[0].station_name == "S1"
+    monthly = spark.sql("""
+        select date_trunc('month', ride_date) as m, max(month_total) as total
+        from fct_daily_trip_trends group by 1 order by 1""").collect()
+    assert [r.total for r in monthly] == [sum(40 if i in (5, 40) else 3 for i in range(1, 25)),
+                                          sum(40 if i in (5, 40) else 3 for i in range(25, 46))]
