@@ -131,8 +131,11 @@ class IncrementalTable:
         staged = self._stage(rewritten.withColumn(PQ.MONTH_COL, PQ.month_key(self.mark_col)),
                              "rewrite")
         present = {r[0] for r in staged.select(PQ.MONTH_COL).distinct().collect()}
+        # Months whose every row moved to a later month are removed first:
+        # if the load stops before the overwrite below, the mark has not
+        # advanced and rerunning the same batch writes the moved rows again.
+        for m in set(touched) - present:
+            PQ.delete_dir(f"{self.path}/{PQ.MONTH_COL}={m}")
         PQ.write_trips_by_month(staged.drop(PQ.MONTH_COL), self.path, mode="overwrite",
                                 source_col=self.mark_col)
-        for m in set(touched) - present:   # every row of the month moved away
-            PQ.delete_dir(f"{self.path}/{PQ.MONTH_COL}={m}")
         return {"mode": "incremental", "mark": mark, "months": touched}

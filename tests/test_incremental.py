@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rides.operators.incremental import IncrementalTable, upsert
@@ -76,3 +78,27 @@ def test_table_rewrites_touched_months_only(spark, raw_df, tmp_path):
     # full refresh replaces everything
     table.load(first, full_refresh=True)
     assert sorted(r.ride_id for r in table.read(schema).collect()) == ["a", "b", "c"]
+
+
+def test_rerun_after_failure_before_overwrite_recovers(spark, raw_df, tmp_path, monkeypatch):
+    from rides.sources import parquet as PQ
+
+    path = str(tmp_path / "stg")
+    table = IncrementalTable(spark, path, work_dir=str(tmp_path / "work"))
+    first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00")])
+    table.load(first)
+    schema = first.schema
+    batch = stg(raw_df, [trip("a", "2023-07-01 08:00:00", member="casual")])
+    real_write = PQ.write_trips_by_month
+
+    def failing_write(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(PQ, "write_trips_by_month", failing_write)
+    with pytest.raises(RuntimeError):
+        table.load(batch)
+    monkeypatch.setattr(PQ, "write_trips_by_month", real_write)
+    table.load(batch)                                   # same batch again
+    rows = {r.ride_id: r for r in table.read(schema).collect()}
+    assert sorted(rows) == ["a", "b"] and rows["a"].member_casual == "casual"
+    assert table.read(schema).count() == 2
