@@ -43,6 +43,8 @@ RELATIONSHIPS = [
     ("fct_popular_stations_by_weekday", "station_id", "dim_stations", "station_id"),
     ("fct_daily_trip_trends", "ride_date", "dim_date", "ride_date"),
 ]
+FRESHNESS_WARN_AFTER_S = 86400         # 1 day
+FRESHNESS_ERROR_AFTER_S = 2 * 86400    # 2 days
 NONNEGATIVE = [
     ("fct_trip_duration_by_hour", "avg_duration_minutes"),
     ("fct_popular_stations_by_weekday", "total_trips"),
@@ -72,7 +74,8 @@ def dq_nonnegative(m: dict[str, DataFrame]) -> DataFrame:
 
 def dq_freshness(raw: DataFrame, as_of) -> DataFrame:
     """Newest ``ended_at`` of the raw trips: warn after 1 day, error after 2."""
-    return Q.freshness(raw, "trips_raw", "ended_at", as_of)
+    return Q.freshness(raw, "trips_raw", "ended_at", as_of,
+                       warn_after_s=FRESHNESS_WARN_AFTER_S, error_after_s=FRESHNESS_ERROR_AFTER_S)
 
 
 def run_all(m: dict[str, DataFrame]) -> DataFrame:

@@ -20,8 +20,13 @@ from rides.operators.rolling import rolling_stats, zscore_flag_sql
 from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
 from rides.plans.dimensions import dim_date_from_dates, dim_stations_from, dim_time_from_hours
 
+# The reported duration percentiles, the rolling frames (rows)
+# and the anomaly rule (population z-score over the long frame).
 DURATION_PERCENTILES = {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
                         "p75_duration_minutes": 0.75}
+SHORT_FRAME_ROWS = 7
+LONG_FRAME_ROWS = 30
+ANOMALY_Z = 3.0
 
 
 def _counts(trips, counts):
@@ -96,13 +101,13 @@ def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | Non
     dates = dates if dates is not None else dim_date_from_dates(counts)
     per_day = daily_counts(dates=dates, counts=counts)
     rolling = rolling_stats(per_day, "ride_date", "daily_trips",
-                            {"avg_7d_trips": 7, "avg_30d_trips": 30},
-                            {"stddev_30d_trips": 30})
+                            {"avg_7d_trips": SHORT_FRAME_ROWS, "avg_30d_trips": LONG_FRAME_ROWS},
+                            {"stddev_30d_trips": LONG_FRAME_ROWS})
     monthly = month_over_month(per_day, "ride_date", "daily_trips")
     return (rolling.withColumn("month_start", F.expr("trunc(ride_date, 'month')"))
                    .join(monthly, "month_start")
                    .join(dates.select("ride_date", "season"), "ride_date")
                    .selectExpr("ride_date", "daily_trips", "avg_7d_trips", "avg_30d_trips",
                                "month_total", "prev_month_total", "mom_percent_change", "season",
-                               f"{zscore_flag_sql('daily_trips', 'avg_30d_trips', 'stddev_30d_trips')}"
+                               f"{zscore_flag_sql('daily_trips', 'avg_30d_trips', 'stddev_30d_trips', ANOMALY_Z)}"
                                " as is_anomaly"))
