@@ -63,12 +63,10 @@ def main(argv=None) -> int:
 
 def _load(spark, args) -> int:
     if args.input.endswith(".zip") or _has(args.input, "*.zip"):
-        from rides.sources.archive import read_trips_zip
-        from rides.sources.parquet import write_trips_by_month
+        from rides.sources.archive import ingest_archives
 
-        raw = read_trips_zip(spark, args.input, strict=not args.lenient)
-        write_trips_by_month(raw, args.raw, mode="append", source_col="started_at")
-        print(json.dumps({"archives": args.input, "raw": args.raw}))
+        report = ingest_archives(spark, args.input, args.raw, strict=not args.lenient)
+        print(json.dumps(report, default=str))
         return 0
     from rides.sources.csv import ingest
 

@@ -166,3 +166,19 @@ def test_zip_extra_columns_are_ignored_not_inferred(spark, tmp_path):
     (tmp_path / "x.zip").write_bytes(_zip_bytes({"x.csv": csv_text(rows, cols).encode()}))
     got = read_trips_zip(spark, str(tmp_path / "x.zip")).collect()
     assert sorted(r.ride_id for r in got) == ["r0", "r1", "r2"]
+
+
+def test_archive_ingest_reports_rows_per_member(spark, tmp_path):
+    from rides.sources.archive import ingest_archives
+
+    inner1 = _zip_bytes({"202301-a.csv": csv_text([row("a1", "2023-01-05 08:00:00", "2023-01-05 08:09:00"),
+                                                   row("a2", "2023-01-06 08:00:00", "2023-01-06 08:09:00")]).encode()})
+    inner2 = _zip_bytes({"202302-b.csv": csv_text([row("b1", "2023-02-05 08:00:00", "2023-02-05 08:09:00")]).encode()})
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "y.zip").write_bytes(_zip_bytes({"202301.zip": inner1, "202302.zip": inner2}))
+    report = ingest_archives(spark, str(tmp_path / "src"), str(tmp_path / "raw"))
+    assert report["rows"] == 3
+    assert sorted((m["member"].rsplit("/", 1)[-1], m["rows_added"]) for m in report["members"]) == [
+        ("202301.zip", 2), ("202302.zip", 1)]
+    back = spark.read.parquet(str(tmp_path / "raw"))
+    assert sorted(r.trip_month for r in back.select("trip_month").distinct().collect()) == ["2023-01", "2023-02"]
