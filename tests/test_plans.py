@@ -87,3 +87,11 @@ def test_build_aggregates_scan_trips_once(spark, raw_df, tmp_path):
     counts, hist = trip_aggregates(it)
     assert counts.count() == daily_station_counts(it).count()
     assert hist.count() == duration_histogram(it).count()
+
+
+def test_top_station_report_limits_ranks_before_shuffle(spark, raw_df, tmp_path):
+    from rides.plans.reports import rpt_top_station_by_weekday
+
+    it = int_trips(stg_trips(_parquet_trips(spark, raw_df, tmp_path)))
+    p = plan(rpt_top_station_by_weekday(FCT.fct_popular_stations_by_weekday(it)), mode="simple")
+    assert "WindowGroupLimit" in p and "Partial" in p
