@@ -72,7 +72,17 @@ DUR_FLOATS = ["avg_duration_minutes", "median_duration_minutes", "p25_duration_m
 
 @register("raw_row_count")
 def q_raw_row_count(spark, sf):
-    return _raw(spark, sf).agg(F.count(F.lit(1)).alias("row_count"))
+    """Load the raw trips into a month-partitioned table in the shared
+    folder, scan it back recursively and count the rows (the check after a
+    load)."""
+    from rides.session import shared_dir
+    from rides.sources.parquet import read_trips_by_month, write_trips_by_month
+
+    raw = _raw(spark, sf)
+    path = shared_dir(spark, "raw_load", unique=True)
+    write_trips_by_month(raw, path, source_col="started_at")
+    return (read_trips_by_month(spark, path, raw.schema)
+            .agg(F.count(F.lit(1)).alias("row_count")))
 
 
 @register("stg_trips")
