@@ -4,6 +4,10 @@ Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` (default 8): one warm-up run, then the median of
 ``$BENCH_RUNS`` (default 5) timed runs, each forcing the full result with a
 no-op write. Prints one JSON line.
+
+With ``BENCH_EVENT_LOG_DIR`` set (use a fresh scratch folder), Spark writes
+its event log there, with every job tagged by query name;
+``tools/stage_times.py`` summarizes it.
 """
 
 from __future__ import annotations
@@ -43,11 +47,16 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")   # e.g. a fresh mktemp -d folder
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = get_session(f"local[{cpus}]", app="rides-bench", shuffle_partitions=cpus * 2,
-                        extra={"spark.driver.memory": "16g"})
+                        extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     def once(name):
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         if name == "full_build":
             run_full_build(spark, sf)
@@ -63,12 +72,12 @@ def main():
     from rides.sources.fixtures import trips_from_orders
 
     trips = trips_from_orders(spark, sf).count()
-    extra = {}
+    more = {}
     if "full_build" in results:
-        extra["full_build_trips_per_sec"] = round(trips / results["full_build"])
+        more["full_build_trips_per_sec"] = round(trips / results["full_build"])
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
                       "queries": results, "sf": os.path.basename(sf.rstrip("/")),
-                      "cpus": cpus, "runs": runs, "trips": trips, **extra}))
+                      "cpus": cpus, "runs": runs, "trips": trips, **more}))
     from rides.session import cleanup_scratch
 
     cleanup_scratch(spark)
