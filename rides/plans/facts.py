@@ -99,7 +99,10 @@ def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | Non
     """
     counts = _counts(trips, counts)
     dates = dates if dates is not None else dim_date_from_dates(counts)
-    per_day = daily_counts(dates=dates, counts=counts)
+    # One row per date: the rolling and LAG windows need the whole series in
+    # one partition anyway, so it is put there once; the month aggregate, the
+    # windows and the joins between them then need no further shuffles.
+    per_day = daily_counts(dates=dates, counts=counts).coalesce(1)
     rolling = rolling_stats(per_day, "ride_date", "daily_trips",
                             {"avg_7d_trips": SHORT_FRAME_ROWS, "avg_30d_trips": LONG_FRAME_ROWS},
                             {"stddev_30d_trips": LONG_FRAME_ROWS})
