@@ -49,9 +49,13 @@ def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
     dates = dates if dates is not None else dim_date_from_dates(counts)
     stations = stations if stations is not None else dim_stations_from(counts)
     day = dates.selectExpr("ride_date as trip_date", "weekday")
+    # One row per (station, weekday): bounded by the number of stations, not
+    # trips. The rank window would use at most 7 tasks (one per weekday), so
+    # the rows are put in one partition once and the ranking adds no shuffle.
     swc = (counts.join(day, "trip_date")
                  .groupBy("start_station_id", "weekday")
-                 .agg(F.expr("cast(sum(trips) as bigint) as total_trips")))
+                 .agg(F.expr("cast(sum(trips) as bigint) as total_trips"))
+                 .coalesce(1))
     joined = (swc.join(stations.withColumnRenamed("station_id", "start_station_id"),
                        "start_station_id")
                  .selectExpr("start_station_id as station_id", "station_name", "weekday",
