@@ -32,7 +32,7 @@ def _digest(tbl):
     return hashlib.sha256("\n".join(rows).encode()).hexdigest()
 
 
-FAST_KEYS = ["stg_trips", "int_trips", "stg_trips_incremental", "dim_date", "dim_stations",
+FAST_KEYS = ["raw_row_count", "stg_trips", "int_trips", "stg_trips_incremental", "dim_date", "dim_stations",
              "dim_time", "fct_popular_stations_by_weekday", "fct_trip_duration_by_hour",
              "fct_daily_trip_trends", "rpt_all_stations_by_weekday", "rpt_top_station_by_weekday",
              "rpt_daily_rolling", "rpt_hourly_duration", "rpt_monthly_trends", "rpt_rush_hour_gap",
