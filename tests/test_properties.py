@@ -116,3 +116,22 @@ def test_csv_columns_are_read_by_name(spark, tmp_path_factory, layouts, data):
         assert r.member_casual == rec.get("member_casual")
         assert r.start_station_id == rec.get("start_station_id")
         assert r.start_lat == (float(rec["start_lat"]) if "start_lat" in rec else None)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.floats(-80, 80), st.floats(-179, 179), st.floats(-80, 80),
+                          st.floats(-179, 179)), min_size=1, max_size=20))
+def test_haversine_matches_plain_python(spark, pts):
+    from rides.functions.geo import EARTH_RADIUS_KM, haversine_km
+
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(haversine_km("a", "b", "c", "d")).collect()]
+    for (lat1, lon1, lat2, lon2), g in zip(pts, got):
+        h = (math.sin(math.radians((lat2 - lat1) / 2)) ** 2
+             + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2))
+             * math.sin(math.radians((lon2 - lon1) / 2)) ** 2)
+        if h > 1.0:                       # rounding just past 1: ASIN gives NaN in SQL
+            assert math.isnan(g)
+            continue
+        want = 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(h))
+        assert g == pytest.approx(want, rel=1e-9, abs=1e-6)
