@@ -2,4 +2,127 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+WORD = r"[^\x20\x09-\x0D]+"
+
+QUALITY = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as t from documents
+), w as (
+  select doc_id, t, regexp_extract_all(t, '{WORD}') as words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) as lines
+  from d
+), places as (
+  select doc_id, words, unnest(range(1, len(words) - 6)) as i from w where len(words) >= 8
+), grams as (
+  select doc_id, i, array_to_string(words[i:i + 7], ' ') as gram from places
+), twice as (
+  select doc_id, i from (
+    select doc_id, i, count(*) over (partition by doc_id, gram) as n from grams) x where n > 1
+), covered as (
+  select doc_id, count(distinct i + j) as n
+  from (select doc_id, i, unnest(range(0, 8)) as j from twice) y group by doc_id
+), m as (
+  select w.doc_id, len(words) as n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(covered.n, 0) as n_repeat_words
+  from w left join covered on w.doc_id = covered.doc_id
+), b as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m
+)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+  cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+  cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > n_words or word_chars < 3 * n_words
+       or word_chars > 10 * n_words or 2 * n_dup_lines > n_lines) as kept
+from b
+"""
+
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+with d as (
+  select doc_id, regexp_extract_all({_LOWER}, '{ITEM_WORD}') as words from documents
+), b as (
+  select item_id, regexp_extract_all({_LOWER}, '{ITEM_WORD}') as words from benchmark
+), sized as (
+  select item_id, words, least(len(words), 10) as n from b where len(words) > 0
+), windows as (
+  select distinct item_id, n, array_to_string(words[i:i + n - 1], ' ') as win
+  from (select item_id, words, n, unnest(range(1, len(words) - n + 2)) as i from sized) x
+), lengths as (
+  select distinct n from windows
+), spots as (
+  select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i
+  from d, lengths where len(words) >= n
+), hit as (
+  select s.doc_id, s.i, s.n, w.item_id
+  from (select doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') as win from spots) s
+  join windows w on s.n = w.n and s.win = w.win
+), words_hit as (
+  select doc_id, count(distinct i + j) as n_hit
+  from (select doc_id, i, unnest(range(0, n)) as j from hit) y group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as id from hit) z group by doc_id
+)
+select d.doc_id, cast(len(d.words) as bigint) as n_words,
+  cast(coalesce(h.n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(i.n_items, 0) as bigint) as n_items,
+  sha256(coalesce(i.ids, '')) as items_sha256, coalesce(h.n_hit, 0) > 0 as contaminated
+from d left join words_hit h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
+"""
+
+_SAFE = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+CHAT = rf"""
+with all_turns as (
+  select conv_id, turn, role, text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), base as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as seq
+  from all_turns
+), sized as (
+  select *, seq = 1 and role = 'system' as is_system,
+    len(regexp_extract_all(text, '{WORD}')) + 1 as tokens,
+    length({_SAFE.format('role')}) + length({_SAFE.format('text')}) + 11 as chars
+  from base
+), own as (
+  select *, case when is_system then 0 else tokens end as own from sized
+), sums as (
+  select *, coalesce(sum(own) over (partition by conv_id order by seq
+      rows between unbounded preceding and 1 preceding), 0) as start,
+    sum(own) over (partition by conv_id) as total, max(own) over (partition by conv_id) as longest,
+    max(case when is_system then tokens else 0 end) over (partition by conv_id) as sys_tokens,
+    max(case when is_system then chars else 0 end) over (partition by conv_id) as sys_chars
+  from own
+), strided as (
+  select *, 512 - sys_tokens - longest as free,
+    greatest(512 - sys_tokens - longest - 128, 1) as stride from sums
+), placed as (
+  select *, greatest(least(free - stride + 1, 128), 0) as room,
+    cast(floor(start / stride) as bigint) as span from strided
+), spans as (
+  select *, min(start) over (partition by conv_id, span) as span_start,
+    max(start + own) over (partition by conv_id, span) as span_stop from placed
+)
+select conv_id, cast(count(*) as bigint) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by seq)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by seq)) as loss_sha256,
+  cast(sum(chars
+    + case when not is_system and span_stop < total and span_stop - start <= room then chars else 0 end
+    + case when not is_system and span > 0 and start = span_start then sys_chars else 0 end) as bigint)
+    as formatted_chars
+from spans group by conv_id
+"""
+
+SQL: dict[str, str] = {
+    "op3_quality_rules": QUALITY,
+    "op5_decontamination": DECONTAMINATION,
+    "op7_chat_format": CHAT,
+}

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rides.llm.common import prepare, scratch
 
@@ -29,7 +30,37 @@ def op2_token_orc(spark: SparkSession, sf: str) -> DataFrame:
     return tokens_digest(read_tokens(spark, path))
 
 
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.quality_rules import judge, judged_digest
+
+    return judged_digest(judge(table(spark, sf, "documents")))
+
+
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.decontamination import contamination, contamination_digest
+
+    return contamination_digest(contamination(table(spark, sf, "documents"),
+                                              table(spark, sf, "benchmark")))
+
+
+# A conversation whose texts hold control strings, added by the contract.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.chat_format import format_digest, windows
+
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).selectExpr(
+        "-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role").withColumn(
+            "text", F.lit(CONTROL_TEXT))
+    return format_digest(windows(turns.unionByName(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_orc": op2_token_orc,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_decontamination": op5_decontamination,
+    "op7_chat_format": op7_chat_format,
 }
