@@ -156,7 +156,7 @@ def pack(df: DataFrame, tokenizer: str | None = None, capacity: int = 4096,
         for batch in batches:
             docs = batch.column(0).to_pylist()
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4 << 20):
                 for doc, ids in zip(docs[a:b], encode_documents(texts[a:b], path, end_id)):
                     packer.add(doc, ids)
                 if packer.rows:

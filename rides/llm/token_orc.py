@@ -41,7 +41,7 @@ def _tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4 << 20):
                 raw = encode_documents(texts[a:b], path, end_id)
                 n = np.array([len(x) // 4 for x in raw], np.int64)
                 stops = np.concatenate(([0], np.cumsum(n)))

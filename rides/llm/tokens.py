@@ -16,7 +16,7 @@ from array import array
 END_ID = 2
 # Entries of a worker's chunk table; a full table starts again empty, which
 # changes nothing but the time.
-CHUNKS = 400_000
+CHUNKS = 800_000
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -109,13 +109,15 @@ class Encoder:
         one full stop or comma behind it, is put together from its word."""
         table, plain, other, made = self.table, set(), [], []
         for c in chunks:
-            core, tail = (c[:-1], c[-1]) if c[-1] in ".," else (c, "")
+            tail = c[-1]
+            core = c[:-1] if tail in ".," else c
             low = core.lower()
-            if self.words is not None and low.isalpha() and unicodedata.is_normalized("NFC", core):
+            if self.words is not None and low.isalpha() and (
+                    low.isascii() or unicodedata.is_normalized("NFC", core)):
                 if low not in table:
                     plain.add(low)
-                if tail or low != c:
-                    made.append((c, low, tail))
+                if low != c:
+                    made.append((c, low))
             else:
                 other.append(c)
         for tail in ".,":
@@ -123,8 +125,8 @@ class Encoder:
                 other.append(tail)
         self._encode_words(list(plain))
         self._encode_chunks(other)
-        for c, low, tail in made:
-            table[c] = table[low] + table[tail] if tail else table[low]
+        for c, low in made:
+            table[c] = table[low] + table[c[-1]] if c[-1] in ".," else table[low]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
