@@ -57,10 +57,38 @@ def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return format_digest(windows(turns.unionByName(extra)))
 
 
+# Explicit verdicts by host and start of path; the longest that fits holds.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.url_filter import judge
+
+    return judge(table(spark, sf, "pages"), URL_RULES)
+
+
+def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.sharding import write_shards
+
+    prepare(spark)
+    rows = write_shards(table(spark, sf, "documents"), scratch(spark, "shards"))
+    return rows.select("doc_id", "shard", "part",
+                       F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_orc": op2_token_orc,
     "op3_quality_rules": op3_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op7_chat_format": op7_chat_format,
+    "op8_url_filter": op8_url_filter,
+    "op10_sharding": op10_sharding,
 }
