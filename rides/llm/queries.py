@@ -36,6 +36,12 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged_digest(judge(table(spark, sf, "documents")))
 
 
+def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"), words=4)
+
+
 def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from rides.llm.decontamination import contamination, contamination_digest
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_orc": op2_token_orc,
     "op3_quality_rules": op3_quality_rules,
+    "op4_minhash": op4_minhash,
     "op5_decontamination": op5_decontamination,
     "op7_chat_format": op7_chat_format,
     "op8_url_filter": op8_url_filter,
