@@ -53,6 +53,12 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.lm_score import lm_scores
+
+    return lm_scores(table(spark, sf, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     from rides.llm.chat_format import format_digest, windows
 
@@ -79,6 +85,12 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judge(table(spark, sf, "pages"), URL_RULES)
 
 
+def op9_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.suffix_array import cut, cut_digest
+
+    return cut_digest(cut(table(spark, sf, "documents")))
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     from rides.llm.sharding import write_shards
 
@@ -95,7 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_minhash": op4_minhash,
     "op5_decontamination": op5_decontamination,
+    "op6_lm_score": op6_lm_score,
     "op7_chat_format": op7_chat_format,
     "op8_url_filter": op8_url_filter,
+    "op9_suffix_array": op9_suffix_array,
     "op10_sharding": op10_sharding,
 }
