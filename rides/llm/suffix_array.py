@@ -304,48 +304,93 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return saved(found.unionByName(whole), "repeated-spans")
 
 
-def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text")) \
-        .withColumn("text_key", F.xxhash64("text"))
+def _merged(marks: list) -> list[list[int]]:
+    out: list[list[int]] = []
+    for first, stop in sorted((m["first"], m["stop"]) for m in marks or ()):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
+        else:
+            out.append([first, stop])
+    return out
+
+
+def _without(data: bytes, runs: list) -> bytes:
+    at, parts = 0, []
+    for a, b in runs:
+        parts.append(data[at:a])
+        at = b
+    return b"".join([*parts, data[at:]])
+
+
+def _whole_characters(data: bytes, runs: list) -> list:
+    """The runs without the characters that they cover only in part."""
+    out = []
+    for a, b in runs:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def _marked(df: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """``df`` (with text_key) and the spans of each text."""
+    found = spans(docs, length).groupBy("text_key").agg(
+        F.collect_set(F.struct("first", "stop")).alias("spans"))    # at most the blocks of one text
+    return df.join(found, "text_key", "left")
 
 
 def cut(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans (maximal removed runs of bytes), kept (the other
     bytes) for every row of ``df``."""
-    docs = _texts(df, id_col, text_col)
-    found = spans(docs.select("text_key", "text"), length).groupBy("text_key").agg(
-        F.collect_set(F.struct("first", "stop")).alias("spans"))
+    docs = df.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("text")) \
+        .withColumn("text_key", F.xxhash64("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
-            sizes, runs, kept = [], [], []
-            for text, marks in zip(batch.column(1), batch.column(2).to_pylist()):
-                data = text.as_buffer().to_pybytes()
-                merged: list = []
-                for m in sorted((m["first"], m["stop"]) for m in marks or ()):
-                    if merged and m[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], m[1])
-                    else:
-                        merged.append(list(m))
-                at, parts = 0, []
-                for a, b in merged:
-                    parts.append(data[at:a])
-                    at = b
-                sizes.append(len(data))
-                runs.append([{"first": a, "stop": b} for a, b in merged])
-                kept.append(b"".join([*parts, data[at:]]))
-            kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(runs, kind), pa.array(kept, pa.binary())],
+            texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
+            runs = [_merged(marks) for marks in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([[{"first": a, "stop": b} for a, b in r] for r in runs], kind),
+                pa.array([_without(t, r) for t, r in zip(texts, runs)], pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"])
 
-    rows = docs.join(found, "text_key", "left").select("doc_id", "text", "spans")
+    rows = _marked(docs, docs.select("text_key", "text"), length).select("doc_id", "text", "spans")
     return map_arrow(rows, run, f"doc_id {id_type}, n_bytes long, spans array<struct<first:bigint,stop:bigint>>, kept binary")
 
 
+def without_repeats(df: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
+    """``df`` with the repeated strings taken out of its texts (null stays
+    null); a character that a string covers in part stays whole."""
+    text = F.coalesce(col(text_col), F.lit(""))
+    docs = df.select(F.struct(*[col(c) for c in df.columns]).alias("row"), text.alias("text"),
+                     F.xxhash64(text).alias("text_key"))
+    kind = docs.schema["row"].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for text, marks in zip(batch.column(1), batch.column(2).to_pylist()):
+                data = text.as_buffer().to_pybytes()
+                out.append(_without(data, _whole_characters(data, _merged(marks))).decode() if marks else text.as_py())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "text"])
+
+    rows = _marked(docs, docs.select("text_key", "text"), length).select("row", "text", "spans")
+    cleaned = map_arrow(rows, run, f"row {kind}, text string")
+    old = F.col("row").getField(text_col)
+    return cleaned.select(*[F.when(old.isNotNull(), F.col("text")).alias(c) if c == text_col
+                            else F.col("row").getField(c).alias(c) for c in df.columns])
+
+
 def cut_digest(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
