@@ -125,13 +125,17 @@ def _short_hits(docs: DataFrame, items: DataFrame, window: int, broadcast_rows:
     if not lengths:
         return None
     small = short.count() <= broadcast_rows
-    at = F.explode(F.concat(*[
-        F.when(F.size("words") >= n, F.transform(
+    spot = "array<struct<n:int,place:int,hash:bigint>>"
+
+    def runs(n: int) -> Column:
+        """Every run of ``n`` words of a document."""
+        return F.when(F.size("words") >= n, F.transform(
             F.sequence(F.lit(1), F.greatest(F.size("words") - (n - 1), F.lit(1))),
-            lambda i, n=n: F.struct(F.lit(n).alias("n"), (i - 1).alias("place"),
-                                    F.xxhash64(F.slice("words", i, n)).alias("hash"))))
-        .otherwise(F.array().cast("array<struct<n:int,place:int,hash:bigint>>"))
-        for n in lengths]))
+            lambda i: F.struct(F.lit(n).alias("n"), (i - 1).alias("place"),
+                               F.xxhash64(F.slice("words", i, n)).alias("hash")))
+        ).otherwise(F.array().cast(spot))
+
+    at = F.explode(F.concat(*[runs(n) for n in lengths]))
     places = docs.select("doc_id", "text_key", "words", at.alias("at")).select(
         "doc_id", "text_key", "words", "at.n", "at.place", "at.hash")
     cut = F.slice(F.col("words"), F.col("place") + 1, F.col("n")).alias("doc_near")
