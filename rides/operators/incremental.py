@@ -13,12 +13,15 @@ again are replaced (delete + insert). Semantics kept from the source rule:
   than the SQL outcome of loading nothing.
 
 ``IncrementalTable`` persists the result as Parquet partitioned by trip
-month and rewrites only the months a batch touches.
+month and rewrites only the months a batch touches. A load that stops half
+way is finished by the next one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,52 +43,35 @@ def new_rows(batch: DataFrame, mark, mark_col: str = "start_ts",
     return batch.where(F.col(mark_col) > F.lit(cutoff).cast(batch.schema[mark_col].dataType))
 
 
-# Largest number of batch keys sent to every task instead of shuffling the
-# target (about 20 bytes a key, so well under a gigabyte).
-BROADCAST_MAX_KEYS = 20_000_000
-
-
-def batch_keys(new: DataFrame, key: str, n_keys: int | None) -> DataFrame:
-    """The key column of the new rows, broadcast only when its counted size
-    is under ``BROADCAST_MAX_KEYS``; otherwise the join shuffles both sides
-    (AQE may still split skewed partitions)."""
-    keys = new.select(key)
-    if n_keys is not None and n_keys <= BROADCAST_MAX_KEYS:
-        return F.broadcast(keys)
-    return keys
+def replaced(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key does not arrive again, plus the new rows. The
+    anti join needs only the new keys; adaptive execution broadcasts them
+    where their measured size allows it."""
+    return target.join(new.select(key), on=key, how="left_anti").unionByName(new)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "ride_id", mark_col: str = "start_ts",
-           lookback: dt.timedelta | None = None, mark=None,
-           n_new: int | None = None) -> DataFrame:
-    """Target rows not replaced, plus the new rows of the batch.
-
-    The anti join needs only the batch keys. Pass ``n_new`` (a count of the
-    new rows) to let it broadcast them when that count is small; without a
-    count the keys are not broadcast by hint and AQE decides from measured
-    sizes.
-    """
+           lookback: dt.timedelta | None = None, mark=None) -> DataFrame:
+    """Target rows not replaced, plus the batch rows past the mark."""
     if mark is None:
         mark = high_water_mark(target, mark_col)
-    new = new_rows(batch, mark, mark_col, lookback)
-    kept = target.join(batch_keys(new, key, n_new), on=key, how="left_anti")
-    return kept.unionByName(new)
+    return replaced(target, new_rows(batch, mark, mark_col, lookback), key)
 
 
 class IncrementalTable:
     """Month-partitioned Parquet table maintained by ``upsert``.
 
-    ``path`` must be on storage every executor can read and write (the
-    cluster's shared folder). Work files go to ``work_dir`` (defaults to the
-    shared checkpoint folder).
+    ``path`` must be on storage every executor can read and write. Beside it,
+    in ``<path>.state``, stand the high-water mark (written after the rows it
+    covers) and, during a load, a note of what is being put in place together
+    with its staged rows: a load that was stopped is completed from them before
+    the next one starts, so no row is lost and no month is left half replaced.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "ride_id",
-                 mark_col: str = "start_ts", work_dir: str | None = None):
-        from rides.session import shared_dir
-
+                 mark_col: str = "start_ts"):
         self.spark, self.path, self.key, self.mark_col = spark, path, key, mark_col
-        self.work_dir = work_dir or shared_dir(spark, "incremental-work", unique=True)
+        self.state = path.rstrip("/") + ".state"
 
     def exists(self) -> bool:
         return PQ.path_exists(self.path)
@@ -93,49 +79,83 @@ class IncrementalTable:
     def read(self, schema) -> DataFrame:
         return PQ.read_trips_by_month(self.spark, self.path, schema)
 
-    def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` to a fresh work folder and read it back: the rows are
-        fixed (a non-deterministic column such as a load timestamp no longer
-        changes between uses) and the lineage is cut."""
-        import uuid
+    def _stage(self, df: DataFrame, name: str) -> tuple[str, DataFrame]:
+        """Write ``df`` to a fresh folder of the state and read it back: the
+        rows are fixed (a load timestamp no longer changes between uses) and
+        the lineage is cut."""
+        p = f"{self.state}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(p)
+        return p, self.spark.read.schema(df.schema).parquet(p)
+
+    def _note(self) -> dict | None:
+        text = PQ.read_text(f"{self.state}/pending.json")
+        return json.loads(text) if text else None
+
+    def mark(self, schema):
+        """The stored mark; for a table without one, from its newest month
+        (by folder name), whose start column alone is scanned."""
+        stored = PQ.read_text(f"{self.state}/mark.json")
+        if stored:
+            value = json.loads(stored)["mark"]
+            return dt.datetime.fromisoformat(value) if value else None
+        months = [m for m in PQ.partition_values(self.path) if m != "__HIVE_DEFAULT_PARTITION__"]
+        if not months:
+            return None
+        return high_water_mark(self.read(schema).where(F.col(PQ.MONTH_COL) == months[-1]), self.mark_col)
+
+    def _commit(self, mark, staged: list[str]) -> None:
+        PQ.write_text(f"{self.state}/mark.json", json.dumps({"mark": mark}))
+        PQ.delete_path(f"{self.state}/pending.json")
+        for p in staged:
+            PQ.delete_dir(p)
+
+    def _put(self, note: dict, schema) -> None:
+        """Replace the noted months by the staged rows; may be repeated."""
+        staged = self.spark.read.schema(schema).parquet(note["rows"])
+        if note["present"]:
+            PQ.write_trips_by_month(staged, self.path, mode="overwrite", source_col=self.mark_col)
+        for m in note["emptied"]:
+            PQ.delete_dir(f"{self.path}/{PQ.MONTH_COL}={m}")
+        self._commit(note["mark"], note["staged"])
 
-        p = f"{self.work_dir}/{name}-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(p)
-        return self.spark.read.schema(df.schema).parquet(p)
+    def _full(self, batch: DataFrame) -> dict:
+        PQ.write_text(f"{self.state}/pending.json", json.dumps({"mode": "full"}))
+        PQ.write_trips_by_month(batch, self.path, mode="overwrite", source_col=self.mark_col,
+                                replace_all=True)
+        PQ.delete_path(f"{self.state}/mark.json")
+        found = self.mark(batch.schema)
+        self._commit(found.isoformat() if found else None, [])
+        return {"mode": "full", "mark": None}
 
     def load(self, batch: DataFrame, full_refresh: bool = False,
-             lookback: dt.timedelta | None = None) -> dict:
-        """Apply one staged batch (``stg_trips`` columns). Returns a summary."""
-        if full_refresh or not self.exists():
-            PQ.write_trips_by_month(batch, self.path, mode="overwrite", replace_all=True)
-            return {"mode": "full", "mark": None}
+             lookback: dt.timedelta | None = None, every_row: bool = False) -> dict:
+        """Apply one staged batch (``stg_trips`` columns). Returns a summary.
+        ``every_row`` upserts rows at or before the mark too, for callers that
+        hand over each row once."""
+        note = self._note()
+        if full_refresh or not self.exists() or (note and note["mode"] == "full"):
+            return self._full(batch)
+        if note:
+            self._put(note, batch.schema)
         target = self.read(batch.schema)
-        # The newest start lies in the newest month (read from folder names):
-        # only that month's start column is scanned for the mark.
-        months = [m for m in PQ.partition_values(self.path) if m != "__HIVE_DEFAULT_PARTITION__"]
-        mark = (high_water_mark(target.where(F.col(PQ.MONTH_COL) == months[-1]), self.mark_col)
-                if months else None)
-        new = self._stage(new_rows(batch, mark, self.mark_col, lookback), "new")
-        n_new = new.count()                      # cheap: the staged files' row counts
-        keys = batch_keys(new, self.key, n_new)
+        mark = self.mark(batch.schema)
+        rows = batch if every_row else new_rows(batch, mark, self.mark_col, lookback)
+        new_path, new = self._stage(rows, "new")
+        newest = high_water_mark(new, self.mark_col)
         new_months = {r[0] for r in new.select(PQ.month_key(self.mark_col)).distinct().collect()}
         hit_months = {r[0] for r in target.select(self.key, PQ.MONTH_COL)
-                                          .join(keys, self.key, "left_semi")
+                                          .join(new.select(self.key), self.key, "left_semi")
                                           .select(PQ.MONTH_COL).distinct().collect()}
         touched = sorted(new_months | hit_months)
         if not touched:
+            PQ.delete_dir(new_path)
             return {"mode": "incremental", "mark": mark, "months": []}
-        rewritten = (target.where(F.col(PQ.MONTH_COL).isin(touched)).drop(PQ.MONTH_COL)
-                           .join(keys, self.key, "left_anti")
-                           .unionByName(new))
-        staged = self._stage(rewritten.withColumn(PQ.MONTH_COL, PQ.month_key(self.mark_col)),
-                             "rewrite")
-        present = {r[0] for r in staged.select(PQ.MONTH_COL).distinct().collect()}
-        # Months whose every row moved to a later month are removed first:
-        # if the load stops before the overwrite below, the mark has not
-        # advanced and rerunning the same batch writes the moved rows again.
-        for m in set(touched) - present:
-            PQ.delete_dir(f"{self.path}/{PQ.MONTH_COL}={m}")
-        PQ.write_trips_by_month(staged.drop(PQ.MONTH_COL), self.path, mode="overwrite",
-                                source_col=self.mark_col)
+        kept = target.where(F.col(PQ.MONTH_COL).isin(touched)).drop(PQ.MONTH_COL)
+        path, staged = self._stage(replaced(kept, new, self.key), "rewrite")
+        present = {r[0] for r in staged.select(PQ.month_key(self.mark_col)).distinct().collect()}
+        newest = max(x for x in (mark, newest) if x is not None)
+        note = {"mode": "months", "rows": path, "staged": [new_path, path], "present": len(present),
+                "emptied": sorted(set(touched) - present), "mark": newest.isoformat()}
+        PQ.write_text(f"{self.state}/pending.json", json.dumps(note))
+        self._put(note, batch.schema)
         return {"mode": "incremental", "mark": mark, "months": touched}

@@ -74,7 +74,7 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     from rides.operators.incremental import IncrementalTable
     from rides.session import shared_dir
     from rides.sources import tables as TB
-    from rides.sources.parquet import MONTH_COL, month_key, with_month_field
+    from rides.sources.parquet import MONTH_COL, by_month, with_month_field
 
     root = root or shared_dir(spark, "warehouse", database)
     TB.create_schema(spark, database, location=f"{root}/_db")
@@ -83,7 +83,7 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     summary = stg_table.load(staged, full_refresh=full_refresh, lookback=lookback)
     stg = TB.register_parquet(spark, f"{database}.stg_trips", f"{root}/stg_trips",
                               schema=with_month_field(staged.schema))
-    it = int_trips(stg.drop(MONTH_COL)).withColumn(MONTH_COL, month_key("start_ts"))
+    it = by_month(int_trips(stg.drop(MONTH_COL)))
     TB.save_table(it, f"{database}.int_trips", f"{root}/int_trips", partition_by=[MONTH_COL])
     if with_stats:
         TB.analyze(spark, f"{database}.stg_trips", columns=False)

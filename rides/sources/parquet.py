@@ -18,19 +18,12 @@ def write_trips_by_month(df: DataFrame, path: str, mode: str = "overwrite",
     """One partitioned write (never one write per input file, which would let
     the last file of a month replace the others).
 
-    No shuffle: a month can hold a large share of all rows, and hashing by
-    month would send it to a single task. Each task sorts its own rows by
-    month and writes one file per month it holds (``maxRecordsPerFile``
-    caps file size). Only an input with fewer partitions than the cluster
-    has cores (a small input) is first spread by month over the cores, so
-    its months are written in parallel rather than by one task. An
-    overwrite replaces only the months present in ``df`` unless
-    ``replace_all`` (a full refresh) is set."""
-    out = df.withColumn(MONTH_COL, month_key(source_col))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores, MONTH_COL)
-    (out.sortWithinPartitions(MONTH_COL)
+    The rows are rebalanced by month: adaptive execution gives small months
+    to one task together and splits a large month over several, from measured
+    sizes, so neither a hot month nor many tiny files come out.
+    ``maxRecordsPerFile`` caps file size. An overwrite replaces only the
+    months present in ``df`` unless ``replace_all`` (a full refresh) is set."""
+    (by_month(df, source_col)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -38,6 +31,11 @@ def write_trips_by_month(df: DataFrame, path: str, mode: str = "overwrite",
         .parquet(path))
 
 
+def by_month(df: DataFrame, source_col: str = "start_ts") -> DataFrame:
+    """``df`` with its trip month, rebalanced by it for a partitioned write."""
+    return df.withColumn(MONTH_COL, month_key(source_col)).hint("rebalance", F.col(MONTH_COL))
+
+
 def with_month_field(schema: T.StructType) -> T.StructType:
     if MONTH_COL in schema.fieldNames():
         return schema
@@ -72,11 +70,42 @@ def path_exists(path: str) -> bool:
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
-def delete_dir(path: str) -> None:
+def delete_path(path: str) -> None:
+    """Delete a file or a folder, if it is there."""
     import pyarrow.fs as pafs
 
     from rides.sources.files import filesystem
 
     fs, p = filesystem(path)
-    if fs.get_file_info(p).type != pafs.FileType.NotFound:
+    kind = fs.get_file_info(p).type
+    if kind == pafs.FileType.Directory:
         fs.delete_dir(p)
+    elif kind != pafs.FileType.NotFound:
+        fs.delete_file(p)
+
+
+delete_dir = delete_path
+
+
+def read_text(path: str) -> str | None:
+    """Content of a small state file, None where there is none."""
+    import pyarrow.fs as pafs
+
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(path)
+    if fs.get_file_info(p).type != pafs.FileType.File:
+        return None
+    with fs.open_input_file(p) as f:
+        return f.read().decode()
+
+
+def write_text(path: str, text: str) -> None:
+    """Write a small state file under a temporary name, then move it."""
+    from rides.sources.files import filesystem
+
+    fs, p = filesystem(path)
+    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(p + ".tmp") as f:
+        f.write(text.encode())
+    fs.move(p + ".tmp", p)

@@ -18,8 +18,10 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
 
 def save_table(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None,
                mode: str = "overwrite") -> None:
-    """Create-table-as-select at ``path`` and register it as ``name``."""
-    w = df.write.mode(mode).format("parquet").option("path", path)
+    """Create-table-as-select at ``path`` and register it as ``name``. An
+    overwrite replaces the whole table: partitions that ``df`` lacks go."""
+    w = (df.write.mode(mode).format("parquet").option("path", path)
+           .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)

@@ -5,15 +5,17 @@ A file-source stream over the landing folder yields the *paths* of new files
 the stream itself). Each micro-batch then reads its files by column name
 (``rides.sources.csv``), stages them and applies ``IncrementalTable.load``.
 
-Exactly-once effect: the stream checkpoint records which files were
-consumed; if a micro-batch is replayed after a failure, the upsert on
-``ride_id`` with the high-water mark turns the replay into a no-op.
-``maxFilesPerTrigger`` bounds how many paths one micro-batch collects.
+The stream checkpoint hands over each file once, so every row is taken, late
+ones too, and upserted by ``ride_id``: a ride that arrives again replaces the
+earlier one, in the order of file modification time, then path. The outcome
+does not depend on how files fall into micro-batches, and a batch that is
+replayed after a failure changes nothing. ``maxFilesPerTrigger`` bounds how
+many paths one micro-batch collects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rides.operators.incremental import IncrementalTable
@@ -24,6 +26,16 @@ from rides.sources.files import Admission
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def last_arrivals(trips: DataFrame, files: list[str], key: str = "ride_id") -> DataFrame:
+    """The rows of each ride from the last of ``files`` that holds it."""
+    order = trips.sparkSession.createDataFrame(
+        [(f, i) for i, f in enumerate(files)], "source_file string, _order int")
+    last = Window.partitionBy(key).orderBy(F.desc("_order"))
+    return (trips.join(F.broadcast(order), "source_file", "left")
+                 .withColumn("_rank", F.rank().over(last)).where("_rank = 1")
+                 .select(*trips.columns))
+
+
 def start_trip_stream(spark: SparkSession, landing_dir: str, table_path: str,
                       checkpoint_location: str, max_files_per_trigger: int = 1000,
                       available_now: bool = False,
@@ -34,16 +46,17 @@ def start_trip_stream(spark: SparkSession, landing_dir: str, table_path: str,
                   .option("recursiveFileLookup", "true")
                   .option("maxFilesPerTrigger", max_files_per_trigger)
                   .load(landing_dir)
-                  .select("path", "length"))
+                  .select("path", "length", "modificationTime"))
 
     def load_batch(batch_df, epoch_id):
         rows = batch_df.where(F.col("length") > 0).collect()   # <= maxFilesPerTrigger paths
-        adm = Admission(admitted=[(r["path"], r["length"]) for r in rows
-                                  if not r["path"].rsplit("/", 1)[-1].startswith("._")])
-        if not adm.admitted:
+        rows = sorted((r for r in rows if not r["path"].rsplit("/", 1)[-1].startswith("._")),
+                      key=lambda r: (r["modificationTime"], r["path"]))
+        if not rows:
             return
+        adm = Admission(admitted=[(r["path"], r["length"]) for r in rows])
         raw = read_trips_csv(spark, adm.paths, admission=adm)
-        table.load(stg_trips(raw))
+        table.load(last_arrivals(stg_trips(raw), adm.paths), every_row=True)
 
     writer = (files.writeStream.foreachBatch(load_batch)
                    .option("checkpointLocation", checkpoint_location))

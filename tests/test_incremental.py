@@ -57,7 +57,7 @@ def test_duplicates_within_a_batch_are_kept(spark, raw_df):
 
 def test_table_rewrites_touched_months_only(spark, raw_df, tmp_path):
     path = str(tmp_path / "stg")
-    table = IncrementalTable(spark, path, work_dir=str(tmp_path / "work"))
+    table = IncrementalTable(spark, path)
     first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00"),
                          trip("c", "2023-04-01 08:00:00")])
     assert table.load(first)["mode"] == "full"
@@ -80,25 +80,59 @@ def test_table_rewrites_touched_months_only(spark, raw_df, tmp_path):
     assert sorted(r.ride_id for r in table.read(schema).collect()) == ["a", "b", "c"]
 
 
-def test_rerun_after_failure_before_overwrite_recovers(spark, raw_df, tmp_path, monkeypatch):
+@pytest.mark.parametrize("stop_at", ["write_trips_by_month", "after_one_month", "delete_dir", "mark"])
+def test_load_stopped_half_way_is_completed(spark, raw_df, tmp_path, monkeypatch, stop_at):
+    """Stop the load before, within or after the overwrite; the next load
+    finishes it, and every ride is there."""
     from rides.sources import parquet as PQ
 
-    path = str(tmp_path / "stg")
-    table = IncrementalTable(spark, path, work_dir=str(tmp_path / "work"))
-    first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00")])
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00"),
+                         trip("c", "2023-06-02 08:00:00")])
     table.load(first)
-    schema = first.schema
-    batch = stg(raw_df, [trip("a", "2023-07-01 08:00:00", member="casual")])
-    real_write = PQ.write_trips_by_month
+    batch = stg(raw_df, [trip("a", "2023-07-01 08:00:00", member="casual"),
+                         trip("june", "2023-06-20 08:00:00"), trip("late", "2023-06-01 09:00:00")])
+    real = {n: getattr(PQ, n) for n in ("write_trips_by_month", "delete_dir", "write_text")}
 
-    def failing_write(*args, **kwargs):
+    def stopped(*args, **kwargs):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(PQ, "write_trips_by_month", failing_write)
+    if stop_at == "after_one_month":
+        def some(df, *args, **kwargs):      # only the newest month gets written
+            real["write_trips_by_month"](df.where("start_ts >= '2023-07-01'"), *args, **kwargs)
+            stopped()
+        monkeypatch.setattr(PQ, "write_trips_by_month", some)
+    elif stop_at == "mark":
+        monkeypatch.setattr(PQ, "write_text", lambda p, t: stopped() if "mark" in p.rsplit("/", 1)[-1] else real["write_text"](p, t))
+    else:
+        monkeypatch.setattr(PQ, stop_at, stopped)
     with pytest.raises(RuntimeError):
         table.load(batch)
-    monkeypatch.setattr(PQ, "write_trips_by_month", real_write)
+    for n, fn in real.items():
+        monkeypatch.setattr(PQ, n, fn)
     table.load(batch)                                   # same batch again
-    rows = {r.ride_id: r for r in table.read(schema).collect()}
-    assert sorted(rows) == ["a", "b"] and rows["a"].member_casual == "casual"
-    assert table.read(schema).count() == 2
+    rows = {r.ride_id: r for r in table.read(first.schema).collect()}
+    assert sorted(rows) == ["a", "b", "c", "june"] and rows["a"].member_casual == "casual"
+    assert table.read(first.schema).count() == 4
+    assert table.load(batch)["months"] == []
+    left = {p.name for p in (tmp_path / "stg.state").iterdir() if not p.name.startswith(".")}
+    assert left == {"mark.json"}
+
+
+def test_stopped_full_load_is_not_taken_for_a_table(spark, raw_df, tmp_path, monkeypatch):
+    from rides.sources import parquet as PQ
+
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00")])
+    real = PQ.write_trips_by_month
+
+    def some(df, *args, **kwargs):
+        real(df.where("ride_id = 'b'"), *args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(PQ, "write_trips_by_month", some)
+    with pytest.raises(RuntimeError):
+        table.load(first)
+    monkeypatch.setattr(PQ, "write_trips_by_month", real)
+    table.load(first)
+    assert sorted(r.ride_id for r in table.read(first.schema).collect()) == ["a", "b"]

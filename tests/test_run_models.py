@@ -31,3 +31,17 @@ def test_run_models_twice_is_incremental(spark, raw_df, tmp_path):
     out = run_models(spark, second, database="rides_t", root=str(tmp_path / "wh"),
                      full_refresh=True)
     assert spark.table("rides_t.int_trips").count() == 4
+
+
+def test_rebuilt_tables_hold_no_dead_months(spark, raw_df, tmp_path):
+    """A ride that changes month, and a month that a full refresh drops."""
+    from rides.plans.build import run_models
+
+    root, db = str(tmp_path / "wh"), "rides_moved"
+    per_month = lambda: {r.trip_month: r["count"] for r in spark.table(f"{db}.int_trips").groupBy("trip_month").count().collect()}
+    run_models(spark, raw_df([trip("a", "2023-05-01 08:00:00"), trip("b", "2023-06-02 17:00:00")]), database=db, root=root)
+    run_models(spark, raw_df([trip("a", "2023-07-01 08:00:00")]), database=db, root=root)
+    assert per_month() == {"2023-06": 1, "2023-07": 1}
+    out = run_models(spark, raw_df([trip("z", "2023-04-01 08:00:00")]), database=db, root=root, full_refresh=True)
+    assert per_month() == {"2023-04": 1}
+    assert [r.month.month for r in out["rpt_monthly_trends"].collect()] == [4]

@@ -35,8 +35,34 @@ def test_waves_late_rows_replacements_and_restart(spark, tmp_path):
     start_trip_stream(spark, str(landing), table, ckpt, available_now=True).awaitTermination()
     schema = stg_trips(spark.createDataFrame([], RAW_WITH_FILE)).schema
     got = {r.ride_id: r for r in read_trips_by_month(spark, table, schema).collect()}
-    assert sorted(got) == ["a", "b", "c"]
+    assert sorted(got) == ["a", "b", "c", "late"]
     assert got["a"].member_casual == "casual" and str(got["a"].start_ts) == "2023-07-01 08:00:00"
     # a restart on the same checkpoint sees no new files and changes nothing
     start_trip_stream(spark, str(landing), table, ckpt, available_now=True).awaitTermination()
-    assert read_trips_by_month(spark, table, schema).count() == 3
+    assert read_trips_by_month(spark, table, schema).count() == 4
+
+
+def test_outcome_does_not_depend_on_the_batches(spark, tmp_path):
+    """Newest trips first, a ride in two files: one file a trigger gives what
+    one trigger for all gives."""
+    import os
+
+    from rides.plans.staging import stg_trips
+    from rides.schema import RAW_WITH_FILE
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i, month in enumerate((9, 8, 7, 6)):
+        rows = [(f"m{month}", f"2023-0{month}-05 08:00:00", f"2023-0{month}-05 08:10:00", "member"),
+                ("again", f"2023-0{month}-06 08:00:00", f"2023-0{month}-06 08:10:00", "casual")]
+        (landing / f"f{i}.csv").write_text(_csv(rows))
+        os.utime(landing / f"f{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    schema = stg_trips(spark.createDataFrame([], RAW_WITH_FILE)).schema
+    seen = []
+    for n in (1, 2, 1000):
+        table = str(tmp_path / f"table{n}")
+        start_trip_stream(spark, str(landing), table, str(tmp_path / f"ckpt{n}"), max_files_per_trigger=n,
+                          available_now=True).awaitTermination()
+        seen.append(sorted((r.ride_id, str(r.start_ts)) for r in read_trips_by_month(spark, table, schema).collect()))
+    assert seen[0] == seen[1] == seen[2]
+    assert [r for r, _ in seen[0]] == ["again", "m6", "m7", "m8", "m9"] and seen[0][0][1] == "2023-06-06 08:00:00"
