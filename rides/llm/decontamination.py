@@ -42,22 +42,41 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(plain, " "), "")
 
 
-def winnowed(words: Column, window: int, gram: int) -> Column:
-    """Kept grams of an array of words, in order; none below a window."""
-    run = window - gram + 1
+def _paired(a: Column, b: Column, shift: int, both) -> Column:
+    """``both(a[i], b[i + shift])`` for every i that has both; ``b`` is not
+    longer than ``a`` and ends ``shift`` places or less before it."""
+    return let(F.size(b) - shift, lambda n: F.zip_with(
+        F.slice(a, 1, n), F.slice(b, shift + 1, n), both))
+
+
+def _spread(values: Column, width: int, both, twice: bool) -> Column:
+    """``both`` folded over every ``width`` consecutive values, by doubling.
+    ``twice``: a value may enter more than once, as with a minimum."""
+    def grow(done: Column, have: int) -> Column:
+        if have == width:
+            return done
+        step = min(have, width - have)
+        if step == have:
+            return let(_paired(done, done, have, both), lambda x: grow(x, 2 * have))
+        if twice:
+            return _paired(done, done, step, both)
+        return let(_spread(values, step, both, twice), lambda r: _paired(done, r, have, both))
 
-    def grams(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - (gram - 1)), lambda i: F.shiftleft(
-            F.xxhash64(F.slice(w, i, gram)).bitwiseAND(F.lit(HASH_MASK)), PLACE_BITS)
-            .bitwiseOR((i - 1).cast("long")))
+    return grow(values, 1)
 
-    def kept(g: Column) -> Column:
-        return let(F.transform(F.sequence(F.lit(1), F.size(g) - (run - 1)),
-                               lambda i: F.array_min(F.slice(g, i, run))),
-                   lambda m: F.filter(m, lambda x, i: F.coalesce(F.get(m, i - 1) != x, F.lit(True))))
 
-    return let(words, lambda w: F.when(F.size(w) >= window, let(grams(w), kept))
-               .otherwise(F.array().cast("array<bigint>")))
+def winnowed(words: Column, window: int, gram: int) -> Column:
+    """Kept grams of an array of words, in order; none below a window. A
+    minimum holds its place, so its windows are neighbours and one stays."""
+    def kept(w: Column) -> Column:
+        grams = _spread(w, gram, lambda x, y: F.xxhash64(x, y), False)
+        placed = F.transform(grams, lambda h, i: F.shiftleft(
+            h.bitwiseAND(F.lit(HASH_MASK)), PLACE_BITS).bitwiseOR(i.cast("long")))
+        return F.array_distinct(let(placed, lambda g: _spread(
+            g, window - gram + 1, lambda x, y: F.least(x, y), True)))
+
+    return let(words, lambda w: F.when(F.size(w) >= window, let(
+        F.transform(w, lambda x: F.xxhash64(x)), kept)).otherwise(F.array().cast("array<bigint>")))
 
 
 def _place(pick: Column) -> Column:
@@ -88,7 +107,7 @@ def _long_hits(docs: DataFrame, items: DataFrame, window: int, gram: int,
     reach = window - gram          # words of a window beside its gram
     span = 2 * reach + gram
     grams = (items.where(F.size("words") >= window)
-             .select("item_id", "words", F.explode(winnowed(F.col("words"), window, gram)).alias("pick"))
+             .select("item_id", "words", F.explode_outer(winnowed(F.col("words"), window, gram)).alias("pick"))
              .select("item_id", F.shiftright("pick", PLACE_BITS).alias("hash"),
                      _around(F.col("words"), _place(F.col("pick")), reach, span).alias("near")))
     grams = saved(grams.distinct(), "benchmark-grams")
@@ -96,7 +115,7 @@ def _long_hits(docs: DataFrame, items: DataFrame, window: int, gram: int,
     near = _around(F.col("words"), F.col("place"), reach, span).alias("doc_near")
     picks = (docs.select("doc_id", "text_key", "words",
                          winnowed(F.col("words"), window, gram).alias("picks"))
-             .select("doc_id", "text_key", "words", F.explode("picks").alias("pick"))
+             .select("doc_id", "text_key", "words", F.explode_outer("picks").alias("pick"))
              .select("doc_id", "text_key", "words", F.shiftright("pick", PLACE_BITS).alias("hash"),
                      _place(F.col("pick")).alias("place")))
     if small:
@@ -109,11 +128,12 @@ def _long_hits(docs: DataFrame, items: DataFrame, window: int, gram: int,
     same = F.slice("near", reach + 1, gram) == F.slice("doc_near", reach + 1, gram)
     left = _equal_run(F.col("near"), F.col("doc_near"), reach - 1, -1, reach)
     right = _equal_run(F.col("near"), F.col("doc_near"), reach + gram, 1, reach)
-    return (found.where(same)
-            .select("doc_id", "text_key", "item_id", "place", left.alias("l"), right.alias("r"))
-            .where(F.col("l") + F.col("r") + gram >= window)
-            .select("doc_id", "text_key", "item_id", (F.col("place") - F.col("l")).alias("first"),
-                    (F.col("place") + gram + F.col("r")).alias("stop")))
+    # Through an array of one, so that the comparison stays behind the join.
+    seen = F.explode(F.array(F.struct(same.alias("same"), left.alias("l"), right.alias("r"))))
+    return (found.select("doc_id", "text_key", "item_id", "place", seen.alias("s"))
+            .where(F.col("s.same") & (F.col("s.l") + F.col("s.r") + gram >= window))
+            .select("doc_id", "text_key", "item_id", (F.col("place") - F.col("s.l")).alias("first"),
+                    (F.col("place") + gram + F.col("s.r")).alias("stop")))
 
 
 def _short_hits(docs: DataFrame, items: DataFrame, window: int, broadcast_rows: int) -> DataFrame:
