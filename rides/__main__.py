@@ -1,12 +1,13 @@
 """Command line: load trip files, run the models, run the data tests.
 
-    python -m rides load  --input DIR_OR_ZIP --raw PATH
+    python -m rides load  --input DIR_OR_ZIP --raw PATH [--mode replace|append]
     python -m rides run   --raw PATH [--database rides] [--root PATH] [--full-refresh]
     python -m rides test  [--database rides] [--as-of TIMESTAMP]
-    python -m rides show  REPORT [--database rides]
+    python -m rides show  REPORT [--database rides] [--rows N]
 
-``load`` appends CSV files (or zip archives, when the input ends in .zip or
-holds .zip files) to a month-partitioned raw Parquet table; ``run`` loads
+``load`` writes the CSV files and the zip archives of the input to a
+month-partitioned raw Parquet table, which it replaces (loading twice is the
+same as once) or appends to; ``run`` loads
 staging incrementally and rebuilds the dimension and fact tables; ``test``
 prints every check and exits with status 1 when any check fails.
 """
@@ -24,6 +25,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("load")
     p.add_argument("--input", required=True)
     p.add_argument("--raw", required=True)
+    p.add_argument("--mode", choices=["replace", "append"], default="replace")
     p.add_argument("--lenient", action="store_true", help="unparsable values become NULL")
     p = sub.add_parser("run")
     p.add_argument("--raw", required=True)
@@ -37,7 +39,7 @@ def main(argv=None) -> int:
     p = sub.add_parser("show")
     p.add_argument("report")
     p.add_argument("--database", default="rides")
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--rows", type=int, help="show only the first rows")
     args = ap.parse_args(argv)
 
     from rides.session import get_session
@@ -62,22 +64,27 @@ def main(argv=None) -> int:
 
 
 def _load(spark, args) -> int:
-    if args.input.endswith(".zip") or _has(args.input, "*.zip"):
-        from rides.sources.archive import ingest_archives
-
-        report = ingest_archives(spark, args.input, args.raw, strict=not args.lenient)
-        print(json.dumps(report, default=str))
-        return 0
+    from rides.sources.archive import ingest_archives
     from rides.sources.csv import ingest
-
-    report = ingest(spark, args.input, args.raw, strict=not args.lenient)
-    print(json.dumps(report, default=str))
+    from rides.sources.files import NoUsableFiles
+
+    kinds = [fn for fn, glob in ((ingest, "*.csv"), (ingest_archives, "*.zip"))
+             if _has(args.input, glob)]
+    if not kinds:
+        raise NoUsableFiles(f"no CSV files or archives under {args.input!r}")
+    mode = args.mode
+    for fn in kinds:
+        report = fn(spark, args.input, args.raw, strict=not args.lenient, mode=mode)
+        print(json.dumps(report, default=str))
+        mode = "append"     # the second kind joins the first
     return 0
 
 
 def _has(path: str, glob: str) -> bool:
     from rides.sources.files import NoUsableFiles, admit
 
+    if path.endswith((".csv", ".zip")) and not path.endswith(glob[1:]):
+        return False
     try:
         return bool(admit(None, path, glob).admitted)
     except NoUsableFiles:
@@ -129,7 +136,8 @@ def _show(spark, args) -> int:
     if args.report not in builders:
         print("reports: " + ", ".join(builders), file=sys.stderr)
         return 2
-    builders[args.report]().show(args.rows, truncate=False)
+    report = builders[args.report]()
+    report.show(report.count() if args.rows is None else args.rows, truncate=False)
     return 0
 
 

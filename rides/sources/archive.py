@@ -1,13 +1,13 @@
 """Zipped trip CSVs read in parallel by a Spark Python data source.
 
 Archives may hold CSV members directly or inner zips of CSVs (one level of
-nesting, as the monthly trip archives do). The driver only lists archives
-and reads each outer zip's central directory; it then plans one input
-partition per inner zip or direct CSV member. Each task opens its member
-from shared storage, streams the CSVs through pyarrow's incremental reader
-and yields Arrow record batches whose columns are picked *by header name*
-(text; Spark casts them to the declared types JVM-side). Names starting with
-'._', anything under '__MACOSX/' and empty members are skipped.
+nesting, as the monthly trip archives do). Planning reads only the central
+directories, several archives at a time, and makes one input partition per
+CSV member. Each task opens its member from shared storage, streams it
+through pyarrow's incremental reader and yields Arrow record batches whose
+columns are picked *by header name* (text; Spark casts them to the declared
+types JVM-side). Names starting with '._', anything under '__MACOSX/', empty
+members and members that are no CSV are skipped and reported.
 """
 
 from __future__ import annotations
@@ -25,67 +25,101 @@ FORMAT = "rides_zip"
 TEXT_SCHEMA = ", ".join(f"{n} string" for n in RAW_NAMES) + ", filename string"
 
 
-def skip_member(name: str) -> bool:
+def skip_reason(name: str, size: int) -> str | None:
+    """Why a member is not loaded, None for one that is."""
     base = name.rsplit("/", 1)[-1]
-    return base.startswith("._") or "__MACOSX/" in name or name.endswith("/")
+    if "__MACOSX/" in name:
+        return "hidden folder"
+    if base.startswith("._"):
+        return "resource fork"
+    if not name.endswith((".csv", ".zip")):
+        return "not a csv"
+    return "empty" if size == 0 else None
 
 
 @dataclass
 class MemberPartition(InputPartition):
     archive: str
-    member: str          # inner zip or CSV inside the archive
-    nested: bool         # True when ``member`` is a zip of CSVs
-
-
-def _list_archives(path: str) -> list[str]:
-    """Archives under ``path`` (a zip or a folder), as URIs."""
-    import pyarrow.fs as pafs
-
-    from rides.sources.files import filesystem, to_uri
-
-    uri = to_uri(path)
-    fs, p = filesystem(path)
-    scheme = uri[: uri.index("://") + 3]
-    host = uri[len(scheme):].split("/", 1)[0]
-    base = scheme + host + ("" if p.startswith("/") else "/")
-    info = fs.get_file_info(p)
-    if info.type == pafs.FileType.File:
-        return [uri]
-    out = []
-    for f in fs.get_file_info(pafs.FileSelector(p, recursive=True)):
-        rel = f.path[len(p):]
-        hidden = any(seg.startswith((".", "_")) for seg in rel.split("/") if seg)
-        if f.type == pafs.FileType.File and f.base_name.endswith(".zip") and f.size > 0 \
-                and not hidden:
-            out.append(base + f.path)
-    return sorted(out)
+    member: str          # CSV, or inner zip, inside the archive
+    inner: str           # CSV inside the inner zip, or ''
+    size: int = 0
+
+    @property
+    def label(self) -> str:
+        return "/".join(x for x in (self.archive, self.member, self.inner) if x)
+
+
+def _members(archive: str) -> tuple[list[MemberPartition], list[tuple[str, int, str]]]:
+    """(CSV members, skipped members) of one archive, from its directories."""
+    from rides.sources.files import open_path
+
+    found, skipped = [], []
+
+    def take(z: zipfile.ZipFile, outer: str) -> None:
+        for info in z.infolist():
+            name = info.filename
+            if name.endswith("/"):
+                continue
+            why = skip_reason(name, info.file_size)
+            if why is None and name.endswith(".zip") and outer:
+                why = "nested too deep"
+            if why:
+                skipped.append(("/".join(x for x in (archive, outer, name) if x), info.file_size, why))
+            elif name.endswith(".zip"):
+                with z.open(info) as raw, zipfile.ZipFile(raw) as inner:
+                    take(inner, name)
+            else:
+                found.append(MemberPartition(archive, outer or name, name if outer else "", info.file_size))
+
+    with open_path(archive) as f, zipfile.ZipFile(f) as z:
+        take(z, "")
+    return found, skipped
+
+
+def plan_members(path: str) -> tuple[list[MemberPartition], list[tuple[str, int, str]]]:
+    """Every CSV member under ``path`` (a zip or a folder), and what is
+    skipped with its reason. Fails when nothing usable is left."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from rides.sources.files import NoUsableFiles, admit
+
+    adm = admit(None, path, "*.zip")
+    with ThreadPoolExecutor(16) as pool:
+        each = list(pool.map(_members, adm.paths))
+    found = [m for members, _ in each for m in members]
+    skipped = adm.skipped + [s for _, more in each for s in more]
+    if not found:
+        raise NoUsableFiles(f"no usable members under {path!r} (skipped {len(skipped)})")
+    return found, skipped
 
 
 def _csv_batches(stream, label: str, block_size: int):
     """Record batches of RAW columns (text) from one CSV stream, by name.
 
-    The header is read from the stream's buffer without consuming it; only
-    declared columns present in the file are parsed (all as text, so no type
-    is inferred), and declared columns the file lacks become NULL."""
+    Only declared columns present in the file are parsed (all as text, so no
+    type is inferred), and declared columns the file lacks become NULL. As in
+    the CSV reader only an empty field is NULL, and quotes are doubled."""
     import csv
     import pyarrow as pa
     import pyarrow.csv as pacsv
 
-    head = stream.peek(1 << 16)
-    if not head:
+    first = stream.readline().decode("utf-8-sig").rstrip("\r\n")
+    if not first or not stream.peek(1):
         return
-    first = head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-    header = [c.strip() for c in next(csv.reader([first]))]
-    present = [c for c in RAW_NAMES if c in header]
+    names = next(csv.reader([first]))
+    place = {c.strip(): i for i, c in reversed(list(enumerate(names)))}
+    present = {c: f"c{place[c]}" for c in RAW_NAMES if c in place}
+    wanted = list(present.values()) or ["c0"]
     reader = pacsv.open_csv(
         stream,
-        read_options=pacsv.ReadOptions(block_size=block_size, encoding="utf-8"),
+        read_options=pacsv.ReadOptions(block_size=block_size, encoding="utf-8",
+                                       column_names=[f"c{i}" for i in range(len(names))]),
         convert_options=pacsv.ConvertOptions(
-            column_types={n: pa.string() for n in present}, strings_can_be_null=True,
-            include_columns=present))
+            column_types={n: pa.string() for n in wanted}, null_values=[""],
+            strings_can_be_null=True, quoted_strings_can_be_null=False, include_columns=wanted))
     for batch in reader:
         n = batch.num_rows
-        cols = [batch.column(batch.schema.get_field_index(c)) if c in present
+        cols = [batch.column(batch.schema.get_field_index(present[c])) if c in present
                 else pa.nulls(n, pa.string()) for c in RAW_NAMES]
         cols.append(pa.array([label] * n, pa.string()))
         yield pa.RecordBatch.from_arrays(cols, names=RAW_NAMES + ["filename"])
@@ -97,41 +131,17 @@ class ZipTripsReader(DataSourceReader):
         self.block_size = int(options.get("blockSize", str(1 << 22)))
 
     def partitions(self):
-        from rides.sources.files import open_path
-
-        parts = []
-        for archive in _list_archives(self.path):
-            with open_path(archive) as f, zipfile.ZipFile(f) as z:
-                for info in z.infolist():
-                    name = info.filename
-                    if skip_member(name) or info.file_size == 0:
-                        continue
-                    if name.endswith(".zip"):
-                        parts.append(MemberPartition(archive, name, True))
-                    elif name.endswith(".csv"):
-                        parts.append(MemberPartition(archive, name, False))
-        return parts or [MemberPartition("", "", False)]
+        return plan_members(self.path)[0]
 
     def read(self, part: MemberPartition):
         from rides.sources.files import open_path
 
-        if not part.archive:
-            return
-        with open_path(part.archive) as f, zipfile.ZipFile(f) as outer:
-            if not part.nested:
-                with outer.open(part.member) as s:
-                    yield from _csv_batches(io.BufferedReader(s, 1 << 16),
-                                            f"{part.archive}/{part.member}", self.block_size)
+        with open_path(part.archive) as f, zipfile.ZipFile(f) as outer, outer.open(part.member) as s:
+            if not part.inner:
+                yield from _csv_batches(io.BufferedReader(s, 1 << 16), part.label, self.block_size)
                 return
-            with outer.open(part.member) as inner_raw, zipfile.ZipFile(inner_raw) as inner:
-                for info in inner.infolist():
-                    if skip_member(info.filename) or not info.filename.endswith(".csv") \
-                            or info.file_size == 0:
-                        continue
-                    label = f"{part.archive}/{part.member}/{info.filename}"
-                    with inner.open(info) as s:
-                        yield from _csv_batches(io.BufferedReader(s, 1 << 16), label,
-                                                self.block_size)
+            with zipfile.ZipFile(s) as inner, inner.open(part.inner) as t:
+                yield from _csv_batches(io.BufferedReader(t, 1 << 16), part.label, self.block_size)
 
 
 class ZipTripsSource(DataSource):
@@ -211,39 +221,26 @@ def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
 
 
 def ingest_archives(spark: SparkSession, path: str, target_path: str, strict: bool = True,
-                    max_observed: int = 256) -> dict:
-    """Append every trip in the archives under ``path`` to a month-partitioned
-    raw table in one parallel write, and report rows per member (inner zip or
-    direct CSV), archive MB, seconds and MB/s.
-
-    Members are planned from the central directories only; their row counts
-    are observed during the write (one ``count_if`` per member, up to
-    ``max_observed`` members; beyond that only the total is reported)."""
+                    mode: str = "append") -> dict:
+    """Write every trip in the archives under ``path`` to a month-partitioned
+    raw table in one parallel write, and report rows per CSV member, skipped
+    members, archive MB, seconds and MB/s. Rows are counted from what was
+    written, member by member."""
     import time
 
-    from pyspark.sql import Observation
-
-    from rides.sources.files import filesystem
-    from rides.sources.parquet import write_trips_by_month
+    from rides.sources.csv import ingest_stats, write_load
+    from rides.sources.files import Admission, filesystem
 
     t0 = time.perf_counter()
-    parts = [p for p in ZipTripsReader({"path": path}).partitions() if p.archive]
-    labels = [f"{p.archive}/{p.member}" for p in parts]
-    raw = read_trips_zip(spark, path, strict=strict)
-    obs = Observation("archive-ingest")
-    per_member = labels if len(labels) <= max_observed else []
-    raw = raw.observe(obs, F.count(F.lit(1)).alias("rows"),
-                      *[F.count_if(F.col("filename").startswith(label)).alias(f"m{i}")
-                        for i, label in enumerate(per_member)])
-    write_trips_by_month(raw, target_path, mode="append", source_col="started_at")
-    got = obs.get
-    sizes = {}
-    for a in {p.archive for p in parts}:
+    found, skipped = plan_members(path)
+    written = write_load(read_trips_zip(spark, path, strict=strict), target_path, mode)
+    adm = Admission(admitted=[(m.label, m.size) for m in found])
+    members = [{"member": r["file"], "rows_added": r["rows_added"], "bytes_mb": r["bytes_mb"]}
+               for r in ingest_stats(written, adm).orderBy("file").collect()]
+    mb = 0.0
+    for a in {m.archive for m in found}:
         fs, p = filesystem(a)
-        sizes[a] = fs.get_file_info(p).size
+        mb += fs.get_file_info(p).size / 1e6
     secs = time.perf_counter() - t0
-    mb = sum(sizes.values()) / 1e6
-    return {"members": [{"member": label, "rows_added": int(got[f"m{i}"])}
-                        for i, label in enumerate(per_member)],
-            "rows": int(got["rows"]), "mb": mb, "seconds": secs,
-            "mb_per_s": mb / secs if secs else None}
+    return {"members": members, "skipped": skipped, "rows": sum(m["rows_added"] for m in members),
+            "mb": mb, "seconds": secs, "mb_per_s": mb / secs if secs else None}

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rides.schema import RAW_SCHEMA
-from rides.sources.files import Admission, admit, open_path
+from rides.sources.files import Admission, admit, no_glob, open_path, plain_file_path
 
 
 def _first_line(path: str, chunk: int = 1 << 16) -> str:
@@ -42,12 +42,13 @@ def _first_lines(batches):
         yield pd.DataFrame({"path": pdf["path"], "header": heads})
 
 
-def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """header -> files that have it."""
     files = spark.createDataFrame([(p,) for p in paths], "path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    out = (files.repartition(n).mapInPandas(_first_lines, "path string, header string")
-                .collect())
-    return {r["path"]: r["header"] for r in out}
+    heads = files.repartition(n).mapInPandas(_first_lines, "path string, header string")
+    return {r["header"]: sorted(r["paths"]) for r in
+            heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()}
 
 
 def split_header(line: str, sep: str = ",") -> list[str]:
@@ -64,7 +65,9 @@ def read_group(spark: SparkSession, files: list[str], names: list[str],
     """Read files sharing one header, select ``schema`` columns by name."""
     text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     df = (spark.read.schema(text).option("header", True).option("sep", sep)
-               .option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(files))
+               .option("quote", '"').option("escape", '"')
+               .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+               .csv([no_glob(f) for f in files]))
     present = set(names)
     cols = []
     for f in schema.fields:
@@ -74,7 +77,7 @@ def read_group(spark: SparkSession, files: list[str], names: list[str],
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols, F.col("_metadata.file_path").alias("filename"))
+    return df.select(*cols, plain_file_path().alias("filename"))
 
 
 def read_trips_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType = RAW_SCHEMA,
@@ -86,10 +89,9 @@ def read_trips_csv(spark: SparkSession, paths: str | list[str], schema: T.Struct
     load); ``strict=False`` turns unparsable values into NULL instead.
     """
     adm = admission or admit(spark, paths, glob)
-    headers = read_headers(spark, adm.paths)
     groups: dict[tuple, list[str]] = {}
-    for p in adm.paths:
-        groups.setdefault(tuple(split_header(headers[p])), []).append(p)
+    for header, files in read_headers(spark, adm.paths).items():
+        groups.setdefault(tuple(split_header(header)), []).extend(files)
     parts = [read_group(spark, files, list(names), schema, strict)
              for names, files in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -106,40 +108,37 @@ def ingest_stats(raw: DataFrame, admission: Admission) -> DataFrame:
                          (F.col("bytes") / F.lit(1e6)).alias("bytes_mb")))
 
 
-# Up to this many files, per-file row counts are gathered while writing.
-OBSERVE_MAX_FILES = 256
+LOAD_ID = "load_id"
 
 
-def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
-           strict: bool = True) -> dict:
-    """Read admitted CSVs by name and append them to a month-partitioned raw
-    table in one parallel write. Returns files, skipped files, rows, MB,
-    seconds and MB/s.
-
-    Per-file row counts are observed during the write itself (one
-    ``count_if`` per file, so the CSVs are read once); with more files than
-    ``OBSERVE_MAX_FILES`` they are counted afterwards from the written rows
-    of these files only."""
-    from pyspark.sql import Observation
+def write_load(raw: DataFrame, target_path: str, mode: str) -> DataFrame:
+    """Write one load into the month-partitioned raw table (``append``, or
+    ``replace`` for the whole table) and return its rows as written. Every row
+    carries the id of its load, so reports count this load alone."""
+    import uuid
 
     from rides.sources.parquet import write_trips_by_month
 
+    load_id = uuid.uuid4().hex
+    stamped = raw.withColumn(LOAD_ID, F.lit(load_id))
+    if mode not in ("append", "replace"):
+        raise ValueError(f"mode must be append or replace, not {mode!r}")
+    write_trips_by_month(stamped, target_path, mode="append" if mode == "append" else "overwrite",
+                         source_col="started_at", replace_all=mode == "replace")
+    written = raw.sparkSession.read.schema(stamped.schema).parquet(target_path)
+    return written.where(F.col(LOAD_ID) == load_id)
+
+
+def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
+           strict: bool = True) -> dict:
+    """Read admitted CSVs by name and write them to a month-partitioned raw
+    table in one parallel write. Returns files, skipped files, rows, MB,
+    seconds and MB/s; rows per file are counted from what was written."""
     t0 = time.perf_counter()
     adm = admit(spark, paths)
     raw = read_trips_csv(spark, paths, strict=strict, admission=adm)
-    sizes = dict(adm.admitted)
-    if len(adm.paths) <= OBSERVE_MAX_FILES:
-        obs = Observation("ingest")
-        raw = raw.observe(obs, *[F.count_if(F.col("filename") == p).alias(f"f{i}")
-                                 for i, p in enumerate(adm.paths)])
-        write_trips_by_month(raw, target_path, mode=mode, source_col="started_at")
-        got = obs.get
-        per_file = [{"file": p, "rows_added": int(got[f"f{i}"]), "bytes_mb": sizes[p] / 1e6}
-                    for i, p in enumerate(adm.paths)]
-    else:
-        write_trips_by_month(raw, target_path, mode=mode, source_col="started_at")
-        written = spark.read.parquet(target_path).where(F.col("filename").isin(adm.paths))
-        per_file = [r.asDict() for r in ingest_stats(written, adm).orderBy("file").collect()]
+    written = write_load(raw, target_path, mode)
+    per_file = [r.asDict() for r in ingest_stats(written, adm).orderBy("file").collect()]
     secs = time.perf_counter() - t0
     total_mb = sum(b for _, b in adm.admitted) / 1e6
     return {"files": per_file, "skipped": adm.skipped,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 
 class NoUsableFiles(ValueError):
@@ -27,39 +27,25 @@ class Admission:
         return [p for p, _ in self.admitted]
 
 
-def list_files(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """(path, length, modificationTime) of matching files under ``paths`` as
-    Spark sees them (hidden and zero-byte files already left out); the
-    binary-file source is used without its ``content`` column, so no file
-    body is read."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.format("binaryFile")
-                 .option("pathGlobFilter", glob)
-                 .option("recursiveFileLookup", "true")
-                 .load(paths)
-                 .select("path", "length", "modificationTime"))
-
-
 def _walk(path: str, glob: str):
-    """(uri, size, hidden) for every file matching ``glob`` under ``path``:
+    """(path, size, hidden) for every file matching ``glob`` under ``path``:
     a metadata-only listing through pyarrow's filesystem layer."""
     import fnmatch
 
     import pyarrow.fs as pafs
 
-    uri = to_uri(path)
     fs, root = filesystem(path)
-    prefix = uri[: len(uri) - len(root)] if uri.endswith(root) else "file://"
+    prefix = _prefix(path, root)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
-        yield spark_path(uri), info.size, False
+        yield prefix + root, info.size, False
         return
     for f in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
         if f.type != pafs.FileType.File or not fnmatch.fnmatch(f.base_name, glob):
             continue
         rel = [seg for seg in f.path[len(root):].split("/") if seg]
         hidden = any(seg.startswith(("_", ".")) for seg in rel[:-1])
-        yield spark_path(prefix + f.path), f.size, hidden
+        yield prefix + f.path, f.size, hidden
 
 
 def admit(spark: SparkSession | None, paths: str | list[str], glob: str = "*.csv") -> Admission:
@@ -86,29 +72,43 @@ def admit(spark: SparkSession | None, paths: str | list[str], glob: str = "*.csv
     return adm
 
 
-def spark_path(uri: str) -> str:
-    """The spelling Spark uses in ``_metadata.file_path`` ('file:/a/b')."""
-    if uri.startswith("file://"):
-        return "file:/" + uri[len("file://"):].lstrip("/")
-    return uri
+def _prefix(path: str, root: str) -> str:
+    """What stands before a filesystem's own path in Spark's spelling."""
+    if "://" not in path or path.startswith("file:"):
+        return "file:"
+    scheme, rest = path.split("://", 1)
+    authority = rest.split("/", 1)[0]
+    return f"{scheme}://" + ("" if root.split("/", 1)[0] == authority else authority)
 
 
-def to_uri(path: str) -> str:
-    """Spark lists local files as 'file:/a/b'; pyarrow wants 'file:///a/b'."""
-    if path.startswith("file:"):
-        return "file:///" + path[5:].lstrip("/")
-    if "://" in path:
-        return path
+def filesystem(path: str):
+    """(pyarrow filesystem, path inside it) for local, HDFS, S3 or GCS paths.
+    Paths are plain text: a blank or a percent sign stands for itself."""
     import os
+    from urllib.parse import quote
 
-    return "file://" + os.path.abspath(path)
+    import pyarrow.fs as pafs
 
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    scheme, rest = path.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{scheme}://{quote(rest, safe='/:@')}")
+
+
+def plain_file_path():
+    """``_metadata.file_path`` (percent-encoded by Spark) as plain text, with
+    local files as 'file:/a/b'."""
+    path = F.col("_metadata.file_path")
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
-def filesystem(path: str):
-    """(pyarrow filesystem, path inside it) for local, HDFS, S3 or GCS paths."""
-    import pyarrow.fs as pafs
 
-    return pafs.FileSystem.from_uri(to_uri(path))
+def no_glob(path: str) -> str:
+    """``path`` with the characters that Spark's readers take for patterns
+    escaped."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
 
 
 def open_path(path: str):

@@ -21,6 +21,8 @@ def test_load_run_test_show(spark, tmp_path, capsys):
         ("neg", "2023-06-02 17:30:00", "2023-06-02 17:20:00", "2", "casual")]))
     raw = str(tmp_path / "raw")
     assert main(["load", "--input", str(src), "--raw", raw]) == 0
+    assert main(["load", "--input", str(src), "--raw", raw]) == 0       # the same again
+    assert spark.read.parquet(raw).count() == 3
     db = "rides_cli"
     assert main(["run", "--raw", raw, "--database", db, "--root", str(tmp_path / "wh")]) == 0
     assert spark.table(f"{db}.stg_trips").count() == 2
@@ -28,3 +30,16 @@ def test_load_run_test_show(spark, tmp_path, capsys):
     assert "FAIL" not in capsys.readouterr().out
     assert main(["show", "rush_hour_gap", "--database", db]) == 0
     assert "Rush Hour" in capsys.readouterr().out
+
+
+def test_load_takes_csvs_and_archives(spark, tmp_path, capsys):
+    import zipfile
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(_csv([("a", "2023-06-01 08:00:00", "2023-06-01 08:10:00", "1", "member")]))
+    with zipfile.ZipFile(src / "b.zip", "w") as z:
+        z.writestr("b.csv", _csv([("b", "2023-07-01 08:00:00", "2023-07-01 08:10:00", "1", "member")]))
+    raw = str(tmp_path / "raw")
+    assert main(["load", "--input", str(src), "--raw", raw]) == 0
+    assert sorted(r.ride_id for r in spark.read.parquet(raw).collect()) == ["a", "b"]

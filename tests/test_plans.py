@@ -10,7 +10,7 @@ from rides.plans import facts as FCT
 from rides.plans.aggregates import daily_station_counts, duration_histogram
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
-from rides.sources.parquet import MONTH_COL, month_key, read_trips_by_month, write_trips_by_month
+from rides.sources.parquet import MONTH_COL, read_trips_by_month, write_trips_by_month
 
 
 def plan(df, mode="formatted") -> str:
@@ -55,12 +55,6 @@ def test_time_dimension_is_broadcast(spark, raw_df, tmp_path):
     assert "BroadcastHashJoin" in p and "ObjectHashAggregate" in p
 
 
-def test_month_write_does_not_shuffle(spark, raw_df):
-    raw = raw_df([("a", "2023-06-01 08:00:00", "2023-06-01 08:10:00", "1", "A", "member")])
-    out = raw.withColumn(MONTH_COL, month_key("started_at")).sortWithinPartitions(MONTH_COL)
-    assert "Exchange" not in plan(out)
-
-
 def test_partition_and_pushed_filters(spark, raw_df, tmp_path):
     t = _parquet_trips(spark, raw_df, tmp_path)
     p = plan(t.where((F.col(MONTH_COL) == "2023-06") & (F.col("start_station_id") == "3")))
