@@ -5,10 +5,13 @@ its smallest and its largest, so half the permutations are evaluated. Bands of
 ``ROWS`` values, from different permutations, name buckets. Documents with equal sets are one
 node from the start. Links are confirmed on the full sets, in three rounds that
 only test pairs not yet joined: each bucket's members with its smallest node;
-those of buckets that still hold several components with its largest node; then
-every remaining pair of different components of such a bucket. So a group of
-copies costs its size, not its square, and no pair that shares a bucket is left
-out.
+those of buckets that still hold several components with its largest node; then,
+in buckets that even then hold several, all remaining pairs of different
+components, compared inside tasks, block against block. Before that go the
+documents that cannot have a link to another component because too few of their
+shingles occur in any, such as those that only share a passage. So a group of
+copies costs its size; only a group of documents that are almost, but not quite,
+near duplicates of each other costs comparisons of all with all.
 
 A pair of similarity s shares no bucket with probability
 ``(1 - s ** ROWS) ** BANDS``: 1.1e-6 at 0.8, less above.
@@ -38,6 +41,9 @@ PERMUTATIONS = ROWS * BANDS // 2
 NO_ID = (1 << 63) - 1 - (1 << 48)
 # Pairs up to this many (two longs each) are broadcast to the table of sets.
 BROADCAST_PAIRS = 200_000
+# Documents of a block, and shingles of a matrix, when all are compared.
+BLOCK = 512
+COLUMNS = 4096
 
 
 def signatures(hashes, offsets):
@@ -158,36 +164,125 @@ def _star(members: DataFrame, centre) -> DataFrame:
         F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
-def _every(members: DataFrame, percent: int) -> DataFrame:
-    other = members.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"),
-                           F.col("n").alias("m"))
-    n, m = F.col("n"), F.col("m")
-    near = (100 * n >= percent * m) & (100 * m >= percent * n)
-    return members.withColumnRenamed("node", "a").join(other, "bucket").where(
-        (F.col("a") > F.col("b")) & (F.col("component") != F.col("c")) & near).select("a", "b").distinct()
+def _shared(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The (node, component) rows of which at least ``percent`` hundredths of
+    the shingles occur in other components of these rows. A link needs as much
+    of both its sets. Linear in the shingles, whatever a shingle's frequency."""
+    def run(rows: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in rows:
+            sizes = np.array([len(x.as_buffer()) // 8 for x in batch.column(2)], np.int64)
+            raw = b"".join(x.as_buffer().to_pybytes() for x in batch.column(2))
+            node, component = (np.repeat(np.asarray(batch.column(i)), sizes) for i in range(2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(component), pa.array(np.repeat(sizes, sizes)),
+                 pa.array(np.frombuffer(raw, np.int64))], ["node", "component", "n", "shingle"])
+
+    each = map_arrow(sets.join(nodes, "node").select("node", "component", "shingles"), run,
+                     "node long, component long, n long, shingle long")
+    across = each.groupBy("shingle").agg(
+        F.min("component").alias("u"), F.max("component").alias("v")).where("u < v").select("shingle")
+    enough = each.join(across, "shingle").groupBy("node", "component").agg(
+        F.count(F.lit(1)).alias("c"), F.max("n").alias("n")).where(100 * F.col("c") >= percent * F.col("n"))
+    return saved(enough.select("node", "component"), "minhash-shared")
+
+
+def _linked(raw: list, component, percent: int) -> list[tuple[int, int]]:
+    """Links between components among the sets ``raw``, as a forest: (i, j)
+    that join what is not joined yet. Intersections are counted as a product
+    of incidence matrices, over the shingles that two sets or more hold."""
+    import numpy as np
+
+    sizes = np.array([len(x) for x in raw])
+    every, place, holders = np.unique(np.concatenate(raw), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(raw)), sizes)
+    keep = holders[place] > 1
+    rank = np.cumsum(holders > 1) - 1
+    owner, place = owner[keep], rank[place[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    both = np.zeros((len(raw), len(raw)), np.float32)
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        a, b = np.searchsorted(place, (low, low + COLUMNS))
+        part = np.zeros((len(raw), COLUMNS), np.float32)
+        part[owner[a:b], place[a:b] - low] = 1
+        both += part @ part.T
+    like = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    like &= component[:, None] != component[None, :]
+    forest, seen = [], np.zeros(len(raw), bool)
+    for i in range(len(raw)):
+        todo = [] if seen[i] else [i]
+        seen[i] = True
+        while todo:
+            u = todo.pop()
+            for v in np.flatnonzero(like[u] & ~seen).tolist():
+                seen[v] = True
+                forest.append((u, v))
+                todo.append(v)
+    return forest
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): confirmed links between components of (bucket, node, component)
+    rows, enough to join what belongs together. Documents that buckets connect
+    form a cluster; a cluster is compared in blocks of about BLOCK documents, so
+    a task holds two blocks, a set travels once for each block of its cluster,
+    and pairs that are no link never become rows."""
+    open_ = members.select("node", "component").distinct()
+    for _ in range(2):      # what goes may have been what another shared
+        open_ = _shared(sets, open_, percent)
+    left = _mixed(members.join(open_.select("node"), "node"))
+    hub = left.groupBy("bucket").agg(F.min("node").alias("b"))
+    cluster = saved(components(left.join(hub, "bucket").select(F.col("node").alias("a"), "b")), "minhash-clusters") \
+        .withColumnRenamed("component", "cluster")
+    counts = cluster.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = (cluster.join(counts, "cluster").join(open_, "node")
+              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("node", "component", "cluster", F.least("block", "other").alias("i"),
+                      F.greatest("block", "other").alias("j")))
+
+    def run(group):
+        import numpy as np
+        import pyarrow as pa
+
+        node = np.asarray(group["node"])
+        raw = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["shingles"]]
+        forest = _linked(raw, np.asarray(group["component"]), percent)
+        return pa.table({"a": pa.array([int(node[i]) for i, _ in forest], pa.int64()),
+                         "b": pa.array([int(node[j]) for _, j in forest], pa.int64())})
+
+    return placed.join(sets, "node").groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    several = members.groupBy("bucket").agg(
+        F.min("component").alias("u"), F.max("component").alias("v")).where("u < v")
+    return members.join(several.select("bucket"), "bucket")
 
 
 def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of the linked nodes, or None without any link."""
     links = tested = joined = None
-    rounds = (lambda m: _star(m, F.min), lambda m: _star(m, F.max), lambda m: _every(m, percent))
-    for pick in rounds:
+    for centre in (F.min, F.max, None):
         if joined is None:
             now = members.withColumn("component", F.col("node"))
         else:
-            now = members.join(joined, "node", "left").withColumn(
-                "component", F.coalesce("component", "node"))
-            mixed = now.groupBy("bucket").agg(
-                F.min("component").alias("u"), F.max("component").alias("v")).where("u < v")
-            now = now.join(mixed.select("bucket"), "bucket")
-        pairs = pick(now)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "minhash-pairs")
-        if pairs.isEmpty():
+            now = _mixed(members.join(joined, "node", "left").withColumn(
+                "component", F.coalesce("component", "node")))
+        if centre is None:
+            found = saved(_rest(now, sets, percent), "minhash-links")
+        else:
+            pairs = _star(now, centre)
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            tested = saved(pairs, "minhash-pairs")
+            found = saved(_confirmed(tested, sets, percent), "minhash-links")
+        if found.isEmpty():
             continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = saved(_confirmed(pairs, sets, percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
         joined = saved(components(links), "minhash-components")
     return joined

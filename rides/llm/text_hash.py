@@ -89,7 +89,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.
 def runs(word: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each position on (k - 1 fewer entries)."""
     n = max(len(word) - k + 1, 0)
-    h = np.full(n, np.uint64(k) * _STEPS[-1], np.uint64)
+    h = np.full(n, (k * int(_STEPS[-1])) % 2**64, np.uint64)
     for j in range(k):
         h += word[j:j + n] * _STEPS[j]
     return mixed(h)

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from rides.llm import minhash, text_hash
 from rides.llm.graph import components
@@ -57,7 +58,10 @@ def test_documents_equal_all_pairs(spark):
     assert answer(docs, words=4) == want
 
 
-def test_chains_and_edits_equal_all_pairs(spark):
+@pytest.mark.parametrize("block,columns", [(512, 4096), (5, 64)])
+def test_chains_and_edits_equal_all_pairs(spark, monkeypatch, block, columns):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "COLUMNS", columns)
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(500)]
     rows, doc = [], 0
