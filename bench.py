@@ -24,7 +24,8 @@ HEADLINE = [
     "stg_trips", "int_trips", "fct_popular_stations_by_weekday", "fct_trip_duration_by_hour",
     "fct_daily_trip_trends", "rpt_top_station_by_weekday", "rpt_daily_rolling",
     "rpt_hourly_duration", "rpt_monthly_trends", "rpt_rush_hour_gap", "stg_trips_incremental",
-    "dq_not_null", "dq_unique", "full_build",
+    "dq_not_null", "dq_unique", "raw_row_count", "csv_by_name_roundtrip", "archive_ingest",
+    "stream_incremental", "run_models_incremental", "full_build",
 ]
 
 

@@ -42,9 +42,16 @@ def main(argv=None) -> int:
     p.add_argument("--rows", type=int, help="show only the first rows")
     args = ap.parse_args(argv)
 
-    from rides.session import get_session
+    from rides.session import cleanup_scratch, get_session
 
     spark = get_session()
+    try:
+        return _run(spark, args)
+    finally:
+        cleanup_scratch(spark)      # written aggregates and staged rows of this application
+
+
+def _run(spark, args) -> int:
     if args.cmd == "load":
         return _load(spark, args)
     if args.cmd == "run":

@@ -45,6 +45,17 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     return _rows("unique", table, {column: "count(1)"}, dup)
 
 
+def unique_with_key(df: DataFrame, table: str, key: str, column: str) -> DataFrame:
+    """``unique`` of both ``key`` and ``column`` where ``key`` is made from
+    ``column``: equal columns have equal keys, so one shuffle on the key brings
+    the rows of either together."""
+    each = (df.select(key, column).repartition(F.col(key)).groupBy(key, column)
+              .agg(F.expr("count(1) as n")))
+    per_key = each.where(f"{key} is not null").groupBy(key).agg(
+        F.expr("sum(n) as n"), F.expr(f"count_if({column} is not null and n > 1) as again"))
+    return _rows("unique", table, {key: "count_if(n > 1)", column: "coalesce(sum(again), 0)"}, per_key)
+
+
 def accepted_values(df: DataFrame, table: str, column: str, values: list) -> DataFrame:
     """Number of distinct non-NULL values outside the accepted list."""
     bad = df.where(_outside(column, values)).select(column).distinct()

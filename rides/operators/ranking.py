@@ -12,10 +12,3 @@ def rank_within(df: DataFrame, partition_cols: list[str], order_col: str,
     part = ", ".join(partition_cols)
     return df.selectExpr("*", f"cast(rank() over (partition by {part} order by {order}) as bigint)"
                               f" as {name}")
-
-
-def top_ranked(df: DataFrame, partition_cols: list[str], order_col: str,
-               name: str = "rank", descending: bool = True, keep: int = 1) -> DataFrame:
-    """Rows whose rank is <= ``keep`` (ties kept). Written as rank + filter in
-    one plan so Spark can insert a per-partition group limit before the shuffle."""
-    return rank_within(df, partition_cols, order_col, name, descending).where(f"{name} <= {keep}")

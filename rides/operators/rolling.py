@@ -40,7 +40,3 @@ def zscore_flag_sql(value, mean, sd, threshold: float = 3.0) -> str:
     v, m, s = as_sql(value), as_sql(mean), as_sql(sd)
     return (f"case when ({s}) > 0 and try_divide(abs(({v}) - ({m})), {s}) > {threshold!r} "
             f"then 1 else 0 end")
-
-
-def zscore_flag(value, mean, sd, threshold: float = 3.0) -> Column:
-    return expr(zscore_flag_sql(value, mean, sd, threshold))

@@ -68,15 +68,15 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     three facts): the two trip-sized tables get size statistics from file
     metadata (no scan), the small facts full column statistics.
 
-    Tables are external, under ``root`` (default: the shared folder). Returns
+    Tables are external, under ``root`` (default: a folder of the database in
+    the session's warehouse). Returns
     the staging load summary and a DataFrame per table and report.
     """
     from rides.operators.incremental import IncrementalTable
-    from rides.session import shared_dir
     from rides.sources import tables as TB
     from rides.sources.parquet import MONTH_COL, by_month, with_month_field
 
-    root = root or shared_dir(spark, "warehouse", database)
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{database}.rides"
     TB.create_schema(spark, database, location=f"{root}/_db")
     staged = stg_trips(raw)
     stg_table = IncrementalTable(spark, f"{root}/stg_trips")

@@ -51,12 +51,29 @@ NONNEGATIVE = [
 ]
 
 
+SMALL = [t for t in NOT_NULL if t.startswith(("dim_", "fct_"))]
+
+
+def with_small_models_written(m: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``m`` with each dimension and fact written once in the shared folder,
+    so that several checks of one do not compute it again."""
+    from rides.plans.aggregates import materialize
+
+    return m | {t: materialize(m[t], t) for t in SMALL}
+
+
 def dq_not_null(m: dict[str, DataFrame]) -> DataFrame:
     return Q.union_all([Q.not_null(m[t], t, cols) for t, cols in NOT_NULL.items()])
 
 
 def dq_unique(m: dict[str, DataFrame]) -> DataFrame:
-    return Q.union_all([Q.unique(m[t], t, c) for t, c in UNIQUE])
+    """The trip tables take one shuffle on ``trip_sk`` for all their checks
+    (``trip_sk`` is made from ``ride_id``; where the intermediate trips are a
+    projection of staging, both read the same exchange)."""
+    trips = [Q.unique_with_key(m[t], t, "trip_sk", "ride_id") for t in ("stg_trips", "int_trips")]
+    wanted = " or ".join(f"table_name = '{t}' and column_name = '{c}'" for t, c in UNIQUE)
+    rest = [Q.unique(m[t], t, c) for t, c in UNIQUE if t not in ("stg_trips", "int_trips")]
+    return Q.union_all([t.where(wanted) for t in trips] + rest)
 
 
 def dq_accepted_values(m: dict[str, DataFrame]) -> DataFrame:
@@ -80,5 +97,6 @@ def dq_freshness(raw: DataFrame, as_of) -> DataFrame:
 
 def run_all(m: dict[str, DataFrame]) -> DataFrame:
     """Every model check as one DataFrame (freshness is reported separately)."""
+    m = with_small_models_written(m)
     return Q.union_all([dq_not_null(m), dq_unique(m), dq_accepted_values(m),
                         dq_relationships(m), dq_nonnegative(m)])

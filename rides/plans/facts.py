@@ -49,13 +49,9 @@ def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
     dates = dates if dates is not None else dim_date_from_dates(counts)
     stations = stations if stations is not None else dim_stations_from(counts)
     day = dates.selectExpr("ride_date as trip_date", "weekday")
-    # One row per (station, weekday): bounded by the number of stations, not
-    # trips. The rank window would use at most 7 tasks (one per weekday), so
-    # the rows are put in one partition once and the ranking adds no shuffle.
     swc = (counts.join(day, "trip_date")
                  .groupBy("start_station_id", "weekday")
-                 .agg(F.expr("cast(sum(trips) as bigint) as total_trips"))
-                 .coalesce(1))
+                 .agg(F.expr("cast(sum(trips) as bigint) as total_trips")))
     joined = (swc.join(stations.withColumnRenamed("station_id", "start_station_id"),
                        "start_station_id")
                  .selectExpr("start_station_id as station_id", "station_name", "weekday",
@@ -84,12 +80,13 @@ def fct_trip_duration_by_hour(trips: DataFrame | None = None, times: DataFrame |
 
 def daily_counts(trips: DataFrame | None = None, dates: DataFrame | None = None,
                  counts: DataFrame | None = None) -> DataFrame:
-    """ride_date -> daily_trips, for dates present in the date dimension."""
+    """ride_date -> daily_trips, for dates present in the date dimension. A
+    dimension made from the same counts holds every date, so the join is only
+    needed when ``dates`` is given."""
     counts = _counts(trips, counts)
-    per_day = (counts.groupBy(F.expr("trip_date as ride_date"))
+    per_day = (counts.where("trip_date is not null").groupBy(F.expr("trip_date as ride_date"))
                      .agg(F.expr("cast(sum(trips) as bigint) as daily_trips")))
-    dates = dates if dates is not None else dim_date_from_dates(counts)
-    return per_day.join(dates.select("ride_date"), "ride_date")
+    return per_day if dates is None else per_day.join(dates.select("ride_date"), "ride_date")
 
 
 def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | None = None,
@@ -104,9 +101,9 @@ def fct_daily_trip_trends(trips: DataFrame | None = None, dates: DataFrame | Non
     counts = _counts(trips, counts)
     dates = dates if dates is not None else dim_date_from_dates(counts)
     # One row per date: the rolling and LAG windows need the whole series in
-    # one partition anyway, so it is put there once; the month aggregate, the
-    # windows and the joins between them then need no further shuffles.
-    per_day = daily_counts(dates=dates, counts=counts).coalesce(1)
+    # one partition anyway, so the finished counts are put there once; the
+    # month aggregate, the windows and the joins then need no further shuffles.
+    per_day = daily_counts(dates=dates, counts=counts).repartition(1)
     rolling = rolling_stats(per_day, "ride_date", "daily_trips",
                             {"avg_7d_trips": SHORT_FRAME_ROWS, "avg_30d_trips": LONG_FRAME_ROWS},
                             {"stddev_30d_trips": LONG_FRAME_ROWS})

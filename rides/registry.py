@@ -224,7 +224,7 @@ def q_op_rank(spark, sf):
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf):
-    return C.dq_not_null(_models(spark, sf))
+    return C.dq_not_null(C.with_small_models_written(_models(spark, sf)))
 
 
 @register("dq_unique")
@@ -302,14 +302,143 @@ def q_csv_by_name_roundtrip(spark, sf):
 
 @register("ingest_stats")
 def q_ingest_stats(spark, sf):
+    """Rows that the load reports per file, summed by the folder they are in."""
     from rides.session import shared_dir
-    from rides.sources.csv import ingest_stats, read_trips_csv
-    from rides.sources.files import admit
+    from rides.sources.csv import ingest
 
     path = shared_dir(spark, "csv_ingest", unique=True)
     _write_two_layouts(_raw(spark, sf), path)
+    report = ingest(spark, path, shared_dir(spark, "raw_ingest", unique=True), mode="replace")
+    files = spark.createDataFrame([(f["file"], f["rows_added"]) for f in report["files"]],
+                                  "file string, rows_added long")
+    return files.groupBy(F.regexp_extract("file", "(layout_[ab])", 1).alias("layout")).agg(
+        F.sum("rows_added").alias("rows_added"))
+
+
+@register("archive_ingest_stats")
+def q_archive_ingest_stats(spark, sf):
+    """A load of over 300 archive members: the rows it reports, as a total and
+    member by member, and the rows written."""
+    from rides.session import shared_dir
+    from rides.sources.archive import ingest_archives, write_trips_zip
+
+    path, target = (shared_dir(spark, n, unique=True) for n in ("zip_many", "raw_many"))
+    write_trips_zip(_raw(spark, sf).repartition(320, "ride_id"), path)
+    report = ingest_archives(spark, path, target, mode="replace")
+    return spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows_written")).select(
+        F.lit(report["rows"]).cast("long").alias("rows_reported"),
+        F.lit(sum(m["rows_added"] for m in report["members"])).cast("long").alias("rows_of_members"),
+        "rows_written")
+
+
+def _odd_names(spark, sf) -> DataFrame:
+    from rides.oracle import DIALECT_NAME
+
+    return _raw(spark, sf).withColumn("start_station_name", F.expr(DIALECT_NAME))
+
+
+def _by_name(raw: DataFrame) -> DataFrame:
+    return raw.groupBy(F.col("start_station_name").alias("station_name")).agg(
+        F.count(F.lit(1)).alias("trips"))
+
+
+@register("csv_dialect")
+def q_csv_dialect(spark, sf):
+    """Null words, doubled quotes and commas in names, under a path with
+    blanks and a percent sign."""
+    from rides.schema import RAW_NAMES
+    from rides.session import shared_dir
+    from rides.sources.csv import read_trips_csv
+
+    path = shared_dir(spark, "csv_dialect", unique=True) + "/a b%20c"
+    (_odd_names(spark, sf).select(*RAW_NAMES).write
+     .options(header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path))
+    return _by_name(read_trips_csv(spark, path))
+
+
+@register("archive_dialect")
+def q_archive_dialect(spark, sf):
+    from rides.session import shared_dir
+    from rides.sources.archive import read_trips_zip, write_trips_zip
+
+    path = shared_dir(spark, "zip_dialect", unique=True) + "/a b%20c"
+    write_trips_zip(_odd_names(spark, sf), path)
+    return _by_name(read_trips_zip(spark, path))
+
+
+@register("raw_two_appends")
+def q_raw_two_appends(spark, sf):
+    """Two loads appended to one raw table, counted by the month in the file
+    name."""
+    from rides.session import shared_dir
+    from rides.sources.csv import month_from_file_name, write_load
+
+    raw = _raw(spark, sf).withColumn("filename", F.concat(
+        F.lit("file:/trips/"), F.date_format("started_at", "yyyyMM"), F.lit("-trips_1.csv")))
+    target = shared_dir(spark, "raw_appends", unique=True)
+    odd = F.col("ride_id").cast("long") % 2 == 1
+    for part in (raw.where(odd), raw.where(~odd)):
+        write_load(part, target, "append")
+    back = spark.read.schema(raw.schema).parquet(target)
+    return back.groupBy(month_from_file_name().alias("file_month")).agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register("file_admission")
+def q_file_admission(spark, sf):
+    """Rows of the admitted files, and what is skipped beside them."""
+    from rides.session import shared_dir
+    from rides.sources.csv import read_trips_csv
+    from rides.sources.files import admit
+    from rides.sources.parquet import write_text
+
+    path = shared_dir(spark, "admission", unique=True)
+    _write_two_layouts(_raw(spark, sf), path)
+    for name, text in (("empty.csv", ""), ("._trips.csv", "x"), ("__MACOSX/trips.csv", "x")):
+        write_text(f"{path}/{name}", text)
     adm = admit(spark, path)
-    return ingest_stats(read_trips_csv(spark, path, admission=adm), adm)
+    rows = read_trips_csv(spark, path, admission=adm).agg(F.count(F.lit(1)).alias("n"))
+    skipped = spark.createDataFrame([(why,) for _, _, why in adm.skipped], "what string")
+    return rows.select(F.lit("rows loaded").alias("what"), "n").unionByName(
+        skipped.groupBy("what").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("view_sink")
+def q_view_sink(spark, sf):
+    from rides.sources.tables import create_view
+
+    create_view(_int(spark, sf), "int_trips_view")
+    return spark.sql("select member_casual, count(*) as trips from int_trips_view group by member_casual")
+
+
+def _saved_dim_date(spark, sf) -> str:
+    import uuid
+
+    from rides.session import shared_dir
+    from rides.sources.tables import create_schema, save_table
+
+    db, root = f"rides_{uuid.uuid4().hex[:8]}", shared_dir(spark, "warehouse", unique=True)
+    create_schema(spark, db, location=f"{root}/_db")
+    save_table(D.dim_date(_int(spark, sf)), f"{db}.dim_date", f"{root}/dim_date")
+    return f"{db}.dim_date"
+
+
+@register("table_statistics")
+def q_table_statistics(spark, sf):
+    """The row count that ANALYZE leaves in the catalog."""
+    from rides.sources.tables import analyze
+
+    name = _saved_dim_date(spark, sf)
+    analyze(spark, name)
+    return spark.sql(f"describe table extended {name}").where("col_name = 'Statistics'").select(
+        F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("row_count"))
+
+
+@register("table_columns")
+def q_table_columns(spark, sf):
+    from rides.sources.tables import columns
+
+    name = _saved_dim_date(spark, sf)
+    return spark.createDataFrame(list(enumerate(columns(spark, name))), "ordinal long, name string")
 
 
 @register("archive_ingest")
@@ -365,3 +494,57 @@ def q_run_models_incremental(spark, sf):
                root=root, with_stats=False)
     out = run_models(spark, raw, database=db, root=root)
     return r6(out["fct_daily_trip_trends"], "avg_7d_trips", "avg_30d_trips", "mom_percent_change")
+
+
+def _models_run_twice(spark, first: DataFrame, second: DataFrame, **options) -> DataFrame:
+    """int_trips counted per month after two model runs."""
+    import uuid
+
+    from rides.plans.build import run_models
+    from rides.session import shared_dir
+
+    db = f"rides_{uuid.uuid4().hex[:8]}"
+    root = shared_dir(spark, "warehouse", unique=True)
+    run_models(spark, first, database=db, root=root, with_stats=False)
+    run_models(spark, second, database=db, root=root, with_stats=False, **options)
+    return spark.table(f"{db}.int_trips").groupBy("trip_month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register("run_models_moved_key")
+def q_run_models_moved_key(spark, sf):
+    """Rides that arrive again in a later month leave the earlier one."""
+    early = _raw(spark, sf).where(F.col("started_at") < _ts(INCREMENTAL_MARK))
+    later = early.where("cast(ride_id as bigint) % 10 = 0").withColumns(
+        {c: F.expr(f"{c} + interval 7 years") for c in ("started_at", "ended_at")})
+    return _models_run_twice(spark, early, early.unionByName(later))
+
+
+@register("run_models_full_refresh")
+def q_run_models_full_refresh(spark, sf):
+    """A full refresh with late trips only: no early month stays."""
+    raw = _raw(spark, sf)
+    return _models_run_twice(spark, raw, raw.where(F.col("started_at") >= _ts(INCREMENTAL_MARK)),
+                             full_refresh=True)
+
+
+@register("stream_out_of_order")
+def q_stream_out_of_order(spark, sf):
+    """Files that land newest trips first, one file a trigger: no trip is lost."""
+    import time
+
+    from rides.schema import RAW_NAMES
+    from rides.session import shared_dir
+    from rides.sources.parquet import read_trips_by_month
+    from rides.streaming import start_trip_stream
+
+    base = shared_dir(spark, "stream", unique=True)
+    raw = _raw(spark, sf)
+    late = F.col("started_at") >= _ts(INCREMENTAL_MARK)
+    for i, part in enumerate((raw.where(late), raw.where(~late))):
+        part.select(*RAW_NAMES).coalesce(2).write.options(
+            header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(f"{base}/landing/wave{i}")
+        time.sleep(0.01)
+    start_trip_stream(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint",
+                      max_files_per_trigger=1, available_now=True).awaitTermination()
+    return read_trips_by_month(spark, f"{base}/table", stg_trips(raw).schema).select(
+        *[c for c in STG_OUT if c != "source_file"])

@@ -25,19 +25,3 @@ RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_COLUMNS])
 RAW_WITH_FILE = T.StructType(RAW_SCHEMA.fields + [T.StructField("filename", T.StringType(), True)])
 
 RAW_NAMES = [n for n, _ in RAW_COLUMNS]
-
-STG_COLUMNS = [
-    "trip_sk", "ride_id", "rideable_type", "start_ts", "end_ts",
-    "start_station_name", "start_station_id", "end_station_name", "end_station_id",
-    "start_lat", "start_lng", "end_lat", "end_lng", "member_casual",
-    "ingestion_ts", "source_file",
-]
-
-INT_COLUMNS = [
-    "trip_sk", "ride_id", "rideable_type", "start_ts", "end_ts",
-    "trip_date", "start_hour", "weekday_num", "weekday_type",
-    "start_station_id", "start_station_name", "start_lat", "start_lng",
-    "end_station_id", "end_station_name", "end_lat", "end_lng",
-    "member_casual", "trip_distance_km", "duration_minutes",
-    "ingestion_ts", "source_file",
-]

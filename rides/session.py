@@ -66,7 +66,7 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out_dir = shared_dir(spark, "pyfiles", unique=True)
+    out_dir = shared_dir(spark, "pyfiles", sc.applicationId)    # outlives the scratch folder
     target = f"{out_dir}/rides.zip"
     from rides.sources.files import filesystem
 

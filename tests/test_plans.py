@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from rides.operators.ranking import top_ranked
+from rides.operators.ranking import rank_within
 from rides.plans import facts as FCT
 from rides.plans.aggregates import daily_station_counts, duration_histogram
 from rides.plans.intermediate import int_trips
@@ -49,12 +49,6 @@ def assert_partial_before_exchange(p: str):
     assert "partial_count" in p
 
 
-def test_time_dimension_is_broadcast(spark, raw_df, tmp_path):
-    it = int_trips(stg_trips(_parquet_trips(spark, raw_df, tmp_path)))
-    p = plan(FCT.fct_trip_duration_by_hour(it))
-    assert "BroadcastHashJoin" in p and "ObjectHashAggregate" in p
-
-
 def test_partition_and_pushed_filters(spark, raw_df, tmp_path):
     t = _parquet_trips(spark, raw_df, tmp_path)
     p = plan(t.where((F.col(MONTH_COL) == "2023-06") & (F.col("start_station_id") == "3")))
@@ -64,7 +58,7 @@ def test_partition_and_pushed_filters(spark, raw_df, tmp_path):
 
 def test_rank_filter_limits_before_shuffle(spark):
     df = spark.createDataFrame([("d", str(i), i) for i in range(50)], "w string, s string, n long")
-    p = plan(top_ranked(df, ["w"], "n", name="r"))
+    p = plan(rank_within(df, ["w"], "n", name="r").where("r <= 1"))
     assert "WindowGroupLimit" in p
 
 
@@ -83,12 +77,30 @@ def test_build_aggregates_scan_trips_once(spark, raw_df, tmp_path):
     assert hist.count() == duration_histogram(it).count()
 
 
-def test_ranking_never_shuffles_unreduced_rows(spark, raw_df, tmp_path):
-    """The station ranking either gets its rows in one partition (no shuffle
-    by weekday at all) or limits each group before such a shuffle."""
+def test_ranking_limits_groups_before_the_shuffle(spark, raw_df, tmp_path):
     from rides.plans.reports import rpt_top_station_by_weekday
 
     it = int_trips(stg_trips(_parquet_trips(spark, raw_df, tmp_path)))
     p = plan(rpt_top_station_by_weekday(FCT.fct_popular_stations_by_weekday(it)), mode="simple")
-    shuffled_by_weekday = "Exchange hashpartitioning(weekday" in p
-    assert not shuffled_by_weekday or ("WindowGroupLimit" in p and "Partial" in p)
+    lines = [ln.strip(" :+-") for ln in p.splitlines()]
+    at = next(i for i, ln in enumerate(lines) if ln.startswith("Exchange hashpartitioning(weekday"))
+    assert lines[at + 1].startswith("WindowGroupLimit") and "Partial" in lines[at + 1]
+    assert "Coalesce 1" not in p
+
+
+def test_unique_checks_shuffle_trips_once(spark, raw_df, tmp_path):
+    from rides.plans import checks as C
+    from rides.plans.build import build
+
+    m = build(_parquet_trips(spark, raw_df, tmp_path))
+    df = C.dq_unique(m)
+    assert {(r.table_name, r.column_name): r.violations for r in df.collect()} == {k: 0 for k in C.UNIQUE}
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    own = [ln for ln in p.splitlines() if "Exchange hashpartitioning(trip_sk" in ln and "Reused" not in ln]
+    assert len(own) == 1 and "ReusedExchange" in p and "hashpartitioning(ride_id" not in p
+
+
+def test_percentiles_hold_no_map_of_a_group(spark, raw_df, tmp_path):
+    it = int_trips(stg_trips(_parquet_trips(spark, raw_df, tmp_path)))
+    p = plan(FCT.fct_trip_duration_by_hour(it))
+    assert "ObjectHashAggregate" not in p and "BroadcastHashJoin" in p

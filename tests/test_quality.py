@@ -9,7 +9,7 @@ from rides.plans.build import build
 
 def test_quality_checks_each_find_one_violation(spark):
     df = spark.createDataFrame(
-        [(1, "a", "member", 5, 1), (2, "a", "casual", -1, 0), (None, "b", "other", 3, 1),
+        [(1, "a", "member", 5, 1), (2, "a", "casual", -1, 2), (None, "b", "other", 3, 1),
          (4, None, None, 2, None)],
         "id int, k string, rider string, n int, flag int")
     parent = spark.createDataFrame([("a",)], "k string")
@@ -24,7 +24,7 @@ def test_quality_checks_each_find_one_violation(spark):
     assert sorted((r.check_name, r.column_name, r.violations) for r in got) == [
         ("accepted_values", "rider", 1), ("nonnegative", "n", 1), ("not_null", "id", 1),
         ("not_null", "k", 1), ("relationships", "k", 1), ("unique", "k", 1),
-        ("values_in_set", "flag", 0)]
+        ("values_in_set", "flag", 1)]
 
 
 def test_freshness_levels(spark):
@@ -47,3 +47,12 @@ def test_declared_suite_counts_and_clean_models(spark, raw_df):
     assert kinds == {"not_null": 31, "unique": 6, "accepted_values": 3, "values_in_set": 2,
                      "relationships": 2, "nonnegative": 2}
     assert all(r.violations == 0 for r in out)
+
+
+def test_unique_with_key_counts_both(spark):
+    df = spark.createDataFrame([("k1", "a"), ("k1", "a"), ("k2", "b"), ("k3", None), ("k3", None), (None, None), (None, None)],
+                               "trip_sk string, ride_id string")
+    got = {r.column_name: r.violations for r in Q.unique_with_key(df, "t", "trip_sk", "ride_id").collect()}
+    assert got == {"trip_sk": 2, "ride_id": 1}
+    got = {r.column_name: r.violations for r in Q.unique_with_key(df.limit(0), "t", "trip_sk", "ride_id").collect()}
+    assert got == {"trip_sk": 0, "ride_id": 0}
