@@ -10,9 +10,9 @@ bounded by the calendar span, never by the number of trips.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
-from rides.functions._util import as_sql, expr
+from rides.functions._util import as_sql
 
 
 def trailing_sql(order_col: str, rows: int, partition_cols: list[str] | None = None) -> str:
