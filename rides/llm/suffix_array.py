@@ -188,6 +188,14 @@ def _sorted_blocks(rows: list, length: int) -> list:
     return spans
 
 
+def _joined(spans: list) -> list:
+    """(text_key, first, stop) with the spans of a text merged."""
+    by_text = defaultdict(list)
+    for key, first, stop in spans:
+        by_text[key].append((first, stop))
+    return [(key, a, b) for key, marks in by_text.items() for a, b in _merged(marks)]
+
+
 def _batch(rows: list, schema: str):
     import pyarrow as pa
 
@@ -248,12 +256,14 @@ def _blocks(texts: DataFrame, length: int) -> DataFrame:
                                           place[some].tolist(), gram[some].tolist()):
                         what = (g, p - a, data[a:b + length])
                         classes.setdefault(what, {})[key, a] = None
-                rows = []
+                rows, found = [], []
                 for (g, lead, block), members in classes.items():
                     if len(members) > 1:
-                        rows += [(g, k, a, a + len(block), None, None) for k, a in members]
+                        found += [(k, a, a + len(block)) for k, a in members]
                     k, a = next(iter(members))
                     rows.append((g, k, a, a + len(block), lead, block))
+                # Spans have no gram to meet at: any even key will do.
+                rows += [(k, k, a, b, None, None) for k, a, b in _joined(found)]
                 if rows:
                     yield _batch(rows, BLOCK)
 
@@ -276,9 +286,9 @@ def _spans_of(blocks: DataFrame, length: int) -> DataFrame:
                 held.append((g, key, first, lead, block))
                 size, gram = size + len(block), g
             if spans:
-                yield _batch(spans, SPAN)
+                yield _batch(_joined(spans), SPAN)
         if held:
-            yield _batch(_sorted_blocks(held, length), SPAN)
+            yield _batch(_joined(_sorted_blocks(held, length)), SPAN)
 
     return map_arrow(blocks, run, SPAN)
 
@@ -305,8 +315,9 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _merged(marks: list) -> list[list[int]]:
+    """Maximal runs of (first, stop) pairs."""
     out: list[list[int]] = []
-    for first, stop in sorted((m["first"], m["stop"]) for m in marks or ()):
+    for first, stop in sorted(marks):
         if out and first <= out[-1][1]:
             out[-1][1] = max(out[-1][1], stop)
         else:
@@ -355,7 +366,7 @@ def cut(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: s
         kind = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
-            runs = [_merged(marks) for marks in batch.column(2).to_pylist()]
+            runs = [_merged((m["first"], m["stop"]) for m in marks or ()) for marks in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([[{"first": a, "stop": b} for a, b in r] for r in runs], kind),
@@ -381,7 +392,8 @@ def without_repeats(df: DataFrame, length: int = LENGTH, text_col: str = "text")
             out = []
             for text, marks in zip(batch.column(1), batch.column(2).to_pylist()):
                 data = text.as_buffer().to_pybytes()
-                out.append(_without(data, _whole_characters(data, _merged(marks))).decode() if marks else text.as_py())
+                runs = _merged((m["first"], m["stop"]) for m in marks or ())
+                out.append(_without(data, _whole_characters(data, runs)).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "text"])
 
     rows = _marked(docs, docs.select("text_key", "text"), length).select("row", "text", "spans")
