@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from rides.llm.common import saved
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
-                           F.min("b")).collect()[0])
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one centre, and no centre hangs on another."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("below").alias("n"), F.max("above").alias("centre")).where(
+        (F.col("n") > 1) | ((F.col("n") > 0) & (F.col("centre") > 0))).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,12 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     longest path; each is written to the shared folder."""
     now = saved(edges.where("a != b").select(F.greatest("a", "b").alias("a"),
                                              F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = _mark(now)
-    while mark[0]:
+    while not _stars(now):
         now = saved(_small_star(_large_star(now)).distinct(), "edges")
-        before, mark = mark, _mark(now)
-        if before == mark:
-            break
     own = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         own.select("node", F.col("node").alias("component")))

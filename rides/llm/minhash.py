@@ -3,10 +3,9 @@
 Every permutation of a document's word shingles gives two signature values,
 its smallest and its largest, so half the permutations are evaluated. Bands of
 ``ROWS`` values, from different permutations, name buckets. Documents with equal sets are one
-node from the start. Links are confirmed on the full sets, in three rounds that
-only test pairs not yet joined: each bucket's members with its smallest node;
-those of buckets that still hold several components with its largest node; then,
-in buckets that even then hold several, all remaining pairs of different
+node from the start. Links are confirmed on the full sets, in two rounds: each
+bucket's members with its smallest and with its largest node; then, for what is
+in buckets that still hold several components, all remaining pairs of different
 components, compared inside tasks, block against block. Before that go the
 documents that cannot have a link to another component because too few of their
 shingles occur in any, such as those that only share a passage. So a group of
@@ -266,26 +265,17 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of the linked nodes, or None without any link."""
-    links = tested = joined = None
-    for centre in (F.min, F.max, None):
-        if joined is None:
-            now = members.withColumn("component", F.col("node"))
-        else:
-            now = _mixed(members.join(joined, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")))
-        if centre is None:
-            found = saved(_rest(now, sets, percent), "minhash-links")
-        else:
-            pairs = _star(now, centre)
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            tested = saved(pairs, "minhash-pairs")
-            found = saved(_confirmed(tested, sets, percent), "minhash-links")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
+    own = members.withColumn("component", F.col("node"))
+    pairs = saved(_star(own, F.min).union(_star(own, F.max)).distinct(), "minhash-pairs")
+    links = saved(_confirmed(pairs, sets, percent), "minhash-links")
+    joined = saved(components(links), "minhash-components")
+    now = _mixed(members.join(joined, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")))
+    more = saved(_rest(now, sets, percent), "minhash-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
         joined = saved(components(links), "minhash-components")
-    return joined
+    return None if links.isEmpty() else joined
 
 
 def near_duplicates(df: DataFrame, words: int = WORDS, percent: int = PERCENT,
