@@ -383,6 +383,15 @@ def q_raw_two_appends(spark, sf):
     return back.groupBy(month_from_file_name().alias("file_month")).agg(F.count(F.lit(1)).alias("trips"))
 
 
+@register("empty_raw_append")
+def q_empty_raw_append(spark, sf):
+    """The schema-only raw table with one load appended to it."""
+    from rides.sources.csv import empty_raw
+
+    both = empty_raw(spark).unionByName(_raw(spark, sf))
+    return both.groupBy("rideable_type").agg(F.count(F.lit(1)).alias("trips"))
+
+
 @register("file_admission")
 def q_file_admission(spark, sf):
     """Rows of the admitted files, and what is skipped beside them."""

@@ -42,7 +42,7 @@ FAST_KEYS = ["raw_row_count", "stg_trips", "int_trips", "stg_trips_incremental",
              "op_rank", "dq_not_null", "dq_unique", "dq_accepted_values", "dq_relationships",
              "dq_nonnegative", "dq_freshness", "parquet_roundtrip", "csv_by_name_roundtrip",
              "archive_ingest", "ingest_stats", "archive_ingest_stats", "csv_dialect",
-             "archive_dialect", "raw_two_appends", "file_admission", "view_sink", "table_statistics",
+             "archive_dialect", "raw_two_appends", "empty_raw_append", "file_admission", "view_sink", "table_statistics",
              "table_columns"]
 
 
@@ -62,3 +62,12 @@ def test_spark_matches_sql_oracle(spark):
                 or _digest(s) != _digest(d):
             bad.append(k)
     assert not bad
+
+
+def test_report_order_of_stations_and_rush_hours(spark):
+    from __spark_entry__ import queries
+
+    stations = [(r.weekday, r.station_rank) for r in queries()["rpt_all_stations_by_weekday"](spark, SF).collect()]
+    assert stations == sorted(stations) and len({d for d, _ in stations}) == 7
+    hours = [r.start_hour for r in queries()["rpt_rush_hour_gap"](spark, SF).collect()]
+    assert hours == sorted(hours) and len(hours) > 1
