@@ -111,7 +111,9 @@ class Encoder:
         for c in chunks:
             tail = c[-1]
             core = c[:-1] if tail in ".," else c
-            low = core.lower()
+            # The library lowers each character by itself; str.lower() turns a
+            # word's last capital sigma into the final form.
+            low = "".join(map(str.lower, core)) if "\u03a3" in core else core.lower()
             if self.words is not None and low.isalpha() and (
                     low.isascii() or unicodedata.is_normalized("NFC", core)):
                 if low not in table:

@@ -36,6 +36,11 @@ def test_chunk_encoding_equals_the_library(library):
     assert tokens.encode_documents(texts, tokens.default_tokenizer()) == [raw(library(t)) for t in texts]
 
 
+def test_capital_sigma_at_the_end_of_a_word(library):
+    texts = ["ΟΔΟΣ ΕΛΛΑΣ", "ΟΔΟΣ, ΕΛΛΑΣ.", "Σ ΑΣ. σΣ ΣΣΣ", "οδοσ οδος ΟΔΟς", "ΟΔΟΣ's ΈΛΛΑΣ"]
+    assert tokens.encode_documents(texts, tokens.default_tokenizer()) == [raw(library(t)) for t in texts]
+
+
 def test_chunk_table_restart(library, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNKS", 3)
     enc = tokens.Encoder(tokens.default_tokenizer())
