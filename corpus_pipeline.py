@@ -19,9 +19,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates:
-    five-word shingles, similarity 0.8."""
-    return minhash.deduplicated(docs)
+    """One row, with the smallest id, of each group of near duplicates, rows
+    without an id included: five-word shingles, similarity 0.8."""
+    return minhash.deduplicated(docs, judge_null_ids=True)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

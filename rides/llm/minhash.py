@@ -16,9 +16,10 @@ A pair of similarity s shares no bucket with probability
 ``(1 - s ** ROWS) ** BANDS``: 1.1e-6 at 0.8, less above.
 
 Defined cases: null and empty texts have no shingles and are linked with
-nothing; rows that repeat an id are judged by their own texts; documents
-without an id take part, named by their texts, and a component of only such
-ones has a null id; an empty table gives no rows; other columns are not read.
+nothing; rows that repeat an id are judged by their own texts, and an id with
+several texts does not link them; documents without an id take part, named by
+their texts, and a component of only such ones has a null id; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ PERCENT = 80
 ROWS = 4
 BANDS = 26
 PERMUTATIONS = ROWS * BANDS // 2
-# Nodes without an id are numbered above every id in use.
+# Documents without an id are numbered above every id in use.
 NO_ID = (1 << 63) - 1 - (1 << 48)
 # Pairs up to this many (two longs each) are broadcast to the table of sets.
 BROADCAST_PAIRS = 200_000
@@ -84,11 +85,17 @@ def bands(low, high):
     return out
 
 
+def _set_keys(hashes, at) -> list:
+    import hashlib
+
+    return [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def _features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (16 bytes, null without shingles), bands."""
+    """doc_id, text_key, n_shingles, set_key (16 bytes, null without shingles),
+    bands of (doc_id, text, text_key) rows."""
     def run(rows: Iterator) -> Iterator:
-        import hashlib
-
         import numpy as np
         import pyarrow as pa
 
@@ -98,20 +105,19 @@ def _features(docs: DataFrame, k: int) -> DataFrame:
             for batch in t.batches(whole, 1):
                 hashes, at = t.shingle_sets(*t.words(*t.arrow_bytes(batch.column(1))), k)
                 sizes = np.diff(at)
-                keys = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
-                        for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                keys = _set_keys(hashes, at)
                 named = bands(*signatures(hashes, at)).astype(np.int64, copy=False).view(np.int64)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sizes) + 1) * BANDS, pa.int32()), pa.array(named.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes), pa.array(keys, pa.binary()), lists],
-                    ["doc_id", "n_shingles", "set_key", "bands"])
+                    [batch.column(0), batch.column(2), pa.array(sizes), pa.array(keys, pa.binary()), lists],
+                    ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
 
-    return map_arrow(docs, run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return map_arrow(docs, run, "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>")
 
 
-def _sets(nodes: DataFrame, k: int) -> DataFrame:
-    """node, shingles (sorted unsigned 64-bit hashes) of (node, text) rows."""
+def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """node, shingles (sorted unsigned 64-bit hashes) of (doc_id, text) rows."""
     def run(rows: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -122,9 +128,11 @@ def _sets(nodes: DataFrame, k: int) -> DataFrame:
                 hashes, at = t.shingle_sets(*t.words(*t.arrow_bytes(batch.column(1))), k)
                 raw = [hashes[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(raw, pa.binary())], ["node", "shingles"])
+                    [pa.array(_set_keys(hashes, at), pa.binary()), pa.array(raw, pa.binary())],
+                    ["set_key", "shingles"])
 
-    return map_arrow(nodes, run, "node long, shingles binary")
+    return map_arrow(docs, run, "set_key binary, shingles binary").where("set_key is not null").select(
+        F.xxhash64("set_key").alias("node"), "shingles")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,45 +286,75 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
     return None if links.isEmpty() else joined
 
 
-def near_duplicates(df: DataFrame, words: int = WORDS, percent: int = PERCENT,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``df``. Two
-    documents are linked if their shingle sets' intersection has at least
-    ``percent`` hundredths of their union (80 or more, as the bands assume)."""
+def _named(df: DataFrame, id_col: str, text_col: str) -> tuple:
+    """A row's id, or the number of its text without one, and its text's key."""
     without = F.lit(NO_ID) + F.pmod(F.xxhash64(col(text_col)), F.lit(1 << 48))
-    docs = df.select(F.coalesce(col(id_col).cast("long"), without).alias("doc_id"),
-                     col(text_col).alias("text"))
+    return F.coalesce(col(id_col).cast("long"), without), F.xxhash64(col(text_col))
+
+
+def _judged(df: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key, n_shingles, first of every row of ``df``: ``first`` is
+    the smallest (doc_id, text_key) of the row's component, null without
+    shingles. A node is a set, not an id, which may come with several."""
+    number, key = _named(df, id_col, text_col)
+    docs = df.select(number.alias("doc_id"), col(text_col).alias("text"), key.alias("text_key"))
     features = saved(_features(docs, words), "minhash-features")
     nodes = saved(features.where("n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
-        F.first("bands").alias("bands")), "minhash-nodes")
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n_shingles").alias("n"),
+        F.first("bands").alias("bands")).withColumn("node", F.xxhash64("set_key")), "minhash-nodes")
     rows = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u < v")
     members = saved(rows.join(shared.select("bucket"), "bucket"), "minhash-members")
-    wanted = members.select("node").distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("first.*")
+    texts = docs.join(wanted, ["doc_id", "text_key"], "left_semi").select("doc_id", "text")
     sets = saved(_sets(texts, words), "minhash-sets")
     joined = _joined(members, sets, percent)
-    named = nodes.select("set_key", "node")
+    named = nodes.select("set_key", "first")
     if joined is not None:
-        named = named.join(joined, "node", "left").select(
-            "set_key", F.coalesce("component", "node").alias("component"))
-    else:
-        named = named.withColumnRenamed("node", "component")
-    out = features.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.coalesce("component", "doc_id")
+        linked = nodes.select("set_key", "node", "first").join(joined, "node")
+        least = linked.groupBy("component").agg(F.min("first").alias("least"))
+        linked = saved(linked.join(least, "component").select("set_key", "least"), "minhash-linked")
+        named = named.join(linked, "set_key", "left").select(
+            "set_key", F.coalesce("least", "first").alias("first"))
+    return features.select("doc_id", "text_key", "n_shingles", "set_key").join(
+        named, "set_key", "left").drop("set_key")
 
-    def real(c):
-        return F.when(c < NO_ID, c)
 
-    return out.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles",
-                      real(component).alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+def near_duplicates(df: DataFrame, words: int = WORDS, percent: int = PERCENT,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``df``. Two
+    documents are linked if their shingle sets' intersection has at least
+    ``percent`` hundredths of their union (80 or more, as the bands assume)."""
+    component = F.coalesce("first.doc_id", "doc_id")
 
+    def real(c):
+        return F.when(c < NO_ID, c)
 
-def deduplicated(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` whose document stays. Repeated rows of one id stay
-    or go together."""
-    gone = near_duplicates(df, id_col=id_col, **options).where("not kept and doc_id is not null")
-    gone = saved(gone.select(F.col("doc_id").alias("_gone")).distinct(), "minhash-gone")
-    return df.join(gone, col(id_col) == F.col("_gone"), "left_anti")
+    return _judged(df, words, percent, id_col, text_col).select(
+        real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"),
+        (F.col("doc_id") == component).alias("kept"))
+
+
+def deduplicated(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
+                 text_col: str = "text", judge_null_ids: bool = False) -> DataFrame:
+    """One row of ``df`` for each component: of the smallest id, then of the
+    smallest hash of the text, then of the row. Rows without shingles all stay,
+    and so do rows without an id unless ``judge_null_ids``."""
+    rows = _judged(df, words, percent, id_col, text_col).where("n_shingles > 0")
+    if not judge_null_ids:
+        rows = rows.where(F.col("doc_id") < NO_ID)
+    rows = saved(rows.groupBy("doc_id", "text_key").agg(
+        F.first("first").alias("first"), F.count(F.lit(1)).alias("n")).select(
+            F.col("doc_id").alias("_judged_id"), F.col("text_key").alias("_judged_key"), "n",
+            (F.struct("doc_id", "text_key") != F.col("first")).alias("gone")).where("gone or n > 1"),
+        "minhash-gone")
+    number, key = _named(df, id_col, text_col)
+    same = (number == F.col("_judged_id")) & key.eqNullSafe(F.col("_judged_key"))
+    names = ["_judged_id", "_judged_key"]
+    left = df.join(rows.select(*names), same, "left_anti")
+    repeated = rows.where("not gone").select(*names)
+    if repeated.isEmpty():
+        return left
+    row = F.struct(*[col(c) for c in df.columns])
+    one = df.join(repeated, same).groupBy(*names).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+    return left.unionByName(one.select("row.*"))

@@ -96,6 +96,26 @@ def test_defined_cases(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 6, None, None, 8, 10, 11]))
 
 
+def test_one_row_of_each_component(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    rows = [(2, a, 0), (5, a, 1), (5, b, 2),            # id 5: a copy of 2, and a text of its own
+            (1, c, 3), (1, c, 4), (1, c, 4), (9, c, 5),     # a repeated row with the smallest id
+            (7, d, 6), (7, d + " d30", 7),              # near duplicates that share their id
+            (None, a, 8), (None, e, 9), (None, e, 10), (None, e + " e30", 11),
+            (4, None, 12), (4, None, 13), (None, "", 14)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    judged = minhash.near_duplicates(df.where("n < 3")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in judged) == [
+        (2, 2, True), (5, 2, False), (5, 5, True)]
+    got = [(r["doc_id"], r["text"], r["n"]) for r in minhash.deduplicated(df, judge_null_ids=True).collect()]
+    assert set(got) <= set(rows)
+    n = sorted(r[2] for r in got)
+    assert {0, 2, 12, 13, 14} <= set(n) and len(n) == len(set(n)) == 8
+    assert [len(set(n) & x) for x in ({0, 1, 8}, {3, 4, 5}, {6, 7}, {9, 10, 11})] == [1, 1, 1, 1] and 5 not in n
+    named = sorted(r["n"] for r in minhash.deduplicated(df).collect())
+    assert set(named) - {3, 4, 6, 7} == {0, 2, 8, 9, 10, 11, 12, 13, 14} and len(named) == 11
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5)]
     rng = random.Random(1)
