@@ -101,6 +101,27 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
                        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
 
 
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.merkle import build_manifest, document_leaves, proofs, proofs_digest
+
+    prepare(spark)
+    leaves = document_leaves(table(spark, sf, "documents"))
+    return proofs_digest(proofs(build_manifest(leaves, "lang", "doc_id")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.periodic_runs import periodic_runs, planted, runs_digest
+
+    return runs_digest(periodic_runs(planted(table(spark, sf, "documents"))))
+
+
+def op13_bit_sliced(spark: SparkSession, sf: str) -> DataFrame:
+    from rides.llm.bit_sliced import top_k
+
+    prepare(spark)
+    return top_k(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_orc": op2_token_orc,
@@ -112,4 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_suffix_array": op9_suffix_array,
     "op10_sharding": op10_sharding,
+    "op11_merkle": op11_merkle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_bit_sliced": op13_bit_sliced,
 }
