@@ -7,25 +7,29 @@ again are replaced (delete + insert). Semantics kept from the source rule:
 * the comparison is strict, so rows at the mark or earlier (late rows) are
   skipped; ``lookback`` widens the window to re-read late rows, which the key
   match makes idempotent;
-* rows repeated inside one batch are all inserted (the unique check reports
-  them);
+* rows repeated inside one batch are all inserted by ``upsert`` (the unique
+  check reports them) unless ``repeated="last"`` asks for the last writer;
+  ``IncrementalTable.load`` takes the last writer, so that its key is unique;
+* rows without a key never match and are never taken for one another;
 * an empty target has no mark; it is treated as "load everything" rather
   than the SQL outcome of loading nothing.
 
-``IncrementalTable`` persists the result as Parquet partitioned by trip
-month and rewrites only the months a batch touches. A load that stops half
-way is finished by the next one.
+``IncrementalTable`` persists the result as versions of a Parquet table
+partitioned by trip month (``rides.sources.versions``) and writes only the
+months a batch touches. Bloom filters of each month's keys
+(``rides.operators.key_filter``) tell which other months can hold a key that
+arrives again, so no other month is read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rides.sources import parquet as PQ
+from rides.operators import key_filter as KF
+from rides.sources import parquet as PQ, versions as V
 
 
 def high_water_mark(target: DataFrame, mark_col: str):
@@ -50,112 +54,161 @@ def replaced(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return target.join(new.select(key), on=key, how="left_anti").unionByName(new)
 
 
+def last_writer(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row of each key: the greatest by ``order``, ties by the values of the
+    whole row. Rows without a key all stay. The maximum is taken before the
+    shuffle too, so a key repeated very often does not meet in one task."""
+    names = [c for c in rows.columns if c != key]
+    keyed = (rows.where(F.col(key).isNotNull()).groupBy(key)
+                 .agg(F.max(F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate(order)),
+                                     F.struct(*names).alias("row"))).alias("last"))
+                 .select(*(F.col("last.row")[c].alias(c) if c != key else F.col(key) for c in rows.columns)))
+    return keyed.unionByName(rows.where(F.col(key).isNull()))
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str = "ride_id", mark_col: str = "start_ts",
-           lookback: dt.timedelta | None = None, mark=None) -> DataFrame:
-    """Target rows not replaced, plus the batch rows past the mark."""
+           lookback: dt.timedelta | None = None, mark=None, repeated: str = "all",
+           order: list[str] | None = None) -> DataFrame:
+    """Target rows not replaced, plus the batch rows past the mark: all of them,
+    or with ``repeated="last"`` the last writer of each key by ``order``
+    (default: the mark column)."""
+    if repeated not in ("all", "last"):
+        raise ValueError(f"repeated must be all or last, not {repeated!r}")
     if mark is None:
         mark = high_water_mark(target, mark_col)
-    return replaced(target, new_rows(batch, mark, mark_col, lookback), key)
+    new = new_rows(batch, mark, mark_col, lookback)
+    if repeated == "last":
+        new = last_writer(new, key, order or [mark_col])
+    return replaced(target, new, key)
 
 
 class IncrementalTable:
-    """Month-partitioned Parquet table maintained by ``upsert``.
-
-    ``path`` must be on storage every executor can read and write. Beside it,
-    in ``<path>.state``, stand the high-water mark (written after the rows it
-    covers) and, during a load, a note of what is being put in place together
-    with its staged rows: a load that was stopped is completed from them before
-    the next one starts, so no row is lost and no month is left half replaced.
+    """Month-partitioned, versioned Parquet table maintained by an upsert.
+
+    ``path`` must be on storage every executor can read and write. A load
+    writes its rows once to a staging folder (they are then fixed), the new
+    content of the months it touches to a snapshot folder, the key filters of
+    these months beside it, and puts the next version in force. Stopped
+    anywhere before that, it has changed nothing; the next load starts from
+    the version in force.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "ride_id",
                  mark_col: str = "start_ts"):
-        self.spark, self.path, self.key, self.mark_col = spark, path, key, mark_col
-        self.state = path.rstrip("/") + ".state"
+        self.spark, self.path, self.key, self.mark_col = spark, path.rstrip("/"), key, mark_col
+        self.filters = f"{self.path}/_filters"
+
+    def version(self) -> dict | None:
+        return V.current(self.path)
 
     def exists(self) -> bool:
-        return PQ.path_exists(self.path)
-
-    def read(self, schema) -> DataFrame:
-        return PQ.read_trips_by_month(self.spark, self.path, schema)
-
-    def _stage(self, df: DataFrame, name: str) -> tuple[str, DataFrame]:
-        """Write ``df`` to a fresh folder of the state and read it back: the
-        rows are fixed (a load timestamp no longer changes between uses) and
-        the lineage is cut."""
-        p = f"{self.state}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(p)
-        return p, self.spark.read.schema(df.schema).parquet(p)
-
-    def _note(self) -> dict | None:
-        text = PQ.read_text(f"{self.state}/pending.json")
-        return json.loads(text) if text else None
-
-    def mark(self, schema):
-        """The stored mark; for a table without one, from its newest month
-        (by folder name), whose start column alone is scanned."""
-        stored = PQ.read_text(f"{self.state}/mark.json")
-        if stored:
-            value = json.loads(stored)["mark"]
-            return dt.datetime.fromisoformat(value) if value else None
-        months = [m for m in PQ.partition_values(self.path) if m != "__HIVE_DEFAULT_PARTITION__"]
-        if not months:
-            return None
-        return high_water_mark(self.read(schema).where(F.col(PQ.MONTH_COL) == months[-1]), self.mark_col)
-
-    def _commit(self, mark, staged: list[str]) -> None:
-        PQ.write_text(f"{self.state}/mark.json", json.dumps({"mark": mark}))
-        PQ.delete_path(f"{self.state}/pending.json")
-        for p in staged:
-            PQ.delete_dir(p)
-
-    def _put(self, note: dict, schema) -> None:
-        """Replace the noted months by the staged rows; may be repeated."""
-        staged = self.spark.read.schema(schema).parquet(note["rows"])
-        if note["present"]:
-            PQ.write_trips_by_month(staged, self.path, mode="overwrite", source_col=self.mark_col)
-        for m in note["emptied"]:
-            PQ.delete_dir(f"{self.path}/{PQ.MONTH_COL}={m}")
-        self._commit(note["mark"], note["staged"])
-
-    def _full(self, batch: DataFrame) -> dict:
-        PQ.write_text(f"{self.state}/pending.json", json.dumps({"mode": "full"}))
-        PQ.write_trips_by_month(batch, self.path, mode="overwrite", source_col=self.mark_col,
-                                replace_all=True)
-        PQ.delete_path(f"{self.state}/mark.json")
-        found = self.mark(batch.schema)
-        self._commit(found.isoformat() if found else None, [])
-        return {"mode": "full", "mark": None}
+        return self.version() is not None
+
+    def read(self, schema, months: list[str] | None = None) -> DataFrame:
+        """The version in force; the DataFrame stays on it whatever is loaded."""
+        version = self.version()
+        if version is None:
+            return self.spark.createDataFrame([], PQ.with_month_field(schema))
+        return V.read(self.spark, self.path, schema, version, months)
+
+    def mark(self, schema=None):
+        """The high-water mark of the version in force."""
+        version = self.version()
+        return dt.datetime.fromisoformat(version["mark"]) if version and version["mark"] else None
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the files that none of the ``keep`` newest versions reads."""
+        gone = V.vacuum(self.path, keep)
+        for snap in gone:
+            PQ.delete_dir(f"{self.filters}/{V.SNAP_COL}={snap}")
+        return gone
+
+    def _write(self, rows: DataFrame, schema, before: dict, touched: list[str], facts: dict) -> dict:
+        """Write a snapshot of ``rows`` and its filters; publish the version in
+        which it takes the place of the ``touched`` months."""
+        snap = V.new_snapshot()
+        folder = f"{self.path}/{V.SNAP_COL}={snap}"
+        PQ.write_trips_by_month(rows, folder, source_col=self.mark_col)
+        months = {m: snap for m in PQ.partition_values(folder)} if PQ.path_exists(folder) else {}
+        written = V.read(self.spark, self.path, schema, {"months": months})
+        counts = {r[PQ.MONTH_COL]: r["n"] for r in
+                  written.groupBy(PQ.MONTH_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if counts:
+            (KF.build_filters(written.select(self.key, PQ.MONTH_COL), self.key, counts)
+               .write.partitionBy(PQ.MONTH_COL).parquet(f"{self.filters}/{V.SNAP_COL}={snap}"))
+        blocks = {m: KF.blocks_for(n) for m, n in counts.items() if m is not None}
+        null = "__HIVE_DEFAULT_PARTITION__"
+        rows_of = {m if m is not None else null: n for m, n in counts.items()}
+
+        def merged(name, new):
+            kept = {m: v for m, v in before.get(name, {}).items() if m not in touched}
+            return {**kept, **new}
+
+        return V.publish(self.path, {"months": merged("months", months), "rows": merged("rows", rows_of),
+                                     "blocks": merged("blocks", blocks), **facts})
+
+    def _months_hit(self, new: DataFrame, version: dict, schema, others: set[str]) -> tuple[set, list[str]]:
+        """Months among ``others`` that hold a key of ``new``, and the months
+        whose key column had to be read to tell."""
+        asked = {m: s for m, s in version["months"].items() if m in others and m in version["blocks"]}
+        folders = [f"{self.filters}/{V.SNAP_COL}={s}/{PQ.MONTH_COL}={m}" for m, s in asked.items()]
+        folders = [f for f in folders if PQ.path_exists(f)]         # none for a month without keys
+        if not folders:
+            return set(), []
+        filters = (self.spark.read.schema(f"{KF.FILTER}, {V.SNAP_COL} string, {PQ.MONTH_COL} string")
+                       .option("basePath", self.filters).parquet(*folders))
+        keys = new.select(self.key).distinct()
+        may = KF.months_that_may_hold(keys, self.key, filters, sorted({version["blocks"][m] for m in asked}))
+        if not may:
+            return set(), []
+        held = (V.read(self.spark, self.path, schema, version, may).select(self.key, PQ.MONTH_COL)
+                 .join(keys, self.key, "left_semi").select(PQ.MONTH_COL).distinct())
+        return {r[0] for r in held.collect()}, may
 
     def load(self, batch: DataFrame, full_refresh: bool = False,
-             lookback: dt.timedelta | None = None, every_row: bool = False) -> dict:
-        """Apply one staged batch (``stg_trips`` columns). Returns a summary.
-        ``every_row`` upserts rows at or before the mark too, for callers that
-        hand over each row once."""
-        note = self._note()
-        if full_refresh or not self.exists() or (note and note["mode"] == "full"):
-            return self._full(batch)
-        if note:
-            self._put(note, batch.schema)
-        target = self.read(batch.schema)
-        mark = self.mark(batch.schema)
-        rows = batch if every_row else new_rows(batch, mark, self.mark_col, lookback)
-        new_path, new = self._stage(rows, "new")
-        newest = high_water_mark(new, self.mark_col)
-        new_months = {r[0] for r in new.select(PQ.month_key(self.mark_col)).distinct().collect()}
-        hit_months = {r[0] for r in target.select(self.key, PQ.MONTH_COL)
-                                          .join(new.select(self.key), self.key, "left_semi")
-                                          .select(PQ.MONTH_COL).distinct().collect()}
-        touched = sorted(new_months | hit_months)
-        if not touched:
-            PQ.delete_dir(new_path)
-            return {"mode": "incremental", "mark": mark, "months": []}
-        kept = target.where(F.col(PQ.MONTH_COL).isin(touched)).drop(PQ.MONTH_COL)
-        path, staged = self._stage(replaced(kept, new, self.key), "rewrite")
-        present = {r[0] for r in staged.select(PQ.month_key(self.mark_col)).distinct().collect()}
-        newest = max(x for x in (mark, newest) if x is not None)
-        note = {"mode": "months", "rows": path, "staged": [new_path, path], "present": len(present),
-                "emptied": sorted(set(touched) - present), "mark": newest.isoformat()}
-        PQ.write_text(f"{self.state}/pending.json", json.dumps(note))
-        self._put(note, batch.schema)
-        return {"mode": "incremental", "mark": mark, "months": touched}
+             lookback: dt.timedelta | None = None, every_row: bool = False,
+             order: list[str] | None = None, epoch: tuple[str, int] | None = None) -> dict:
+        """Apply one staged batch (``stg_trips`` columns). Returns a summary:
+        mode, the mark before, the months written, and ``months_read``, those
+        that were read only to look for keys.
+
+        Of rows that repeat a key the last by ``order`` (default: the mark
+        column; columns that begin with an underscore are not stored) is taken.
+        ``every_row`` upserts rows at or before the mark too. ``epoch`` (source,
+        number) makes a batch that was applied already a no-op."""
+        version = None if full_refresh else self.version()
+        epochs = dict((version or {}).get("epochs", {}))
+        if epoch:
+            if version and epochs.get(epoch[0], -1) >= epoch[1]:
+                return {"mode": "replayed", "mark": self.mark(), "months": [], "months_read": []}
+            epochs[epoch[0]] = epoch[1]
+        mark = dt.datetime.fromisoformat(version["mark"]) if version and version["mark"] else None
+        extra = [c for c in order or [] if c.startswith("_")]
+        rows = batch if every_row or version is None else new_rows(batch, mark, self.mark_col, lookback)
+        rows = last_writer(rows, self.key, order or [self.mark_col]).drop(*extra)
+        schema = rows.schema
+        staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        rows.write.parquet(staging)
+        try:
+            new = self.spark.read.schema(schema).parquet(staging)
+            return self._apply(new, schema, version, mark, epochs)
+        finally:
+            PQ.delete_dir(staging)
+
+    def _apply(self, new: DataFrame, schema, version: dict | None, mark, epochs: dict) -> dict:
+        found = new.groupBy(PQ.month_key(self.mark_col).alias("month")).agg(
+            F.max(self.mark_col).alias("newest")).collect()             # one row a month
+        null = "__HIVE_DEFAULT_PARTITION__"
+        new_months = {r["month"] if r["month"] is not None else null for r in found}
+        newest = max((x for x in (mark, *(r["newest"] for r in found)) if x is not None), default=None)
+        facts = {"mark": newest.isoformat() if newest else None, "epochs": epochs}
+        if version is None:
+            self._write(new, schema, {}, [], facts)
+            return {"mode": "full", "mark": None, "months": sorted(new_months), "months_read": []}
+        if not found:
+            return {"mode": "incremental", "mark": mark, "months": [], "months_read": []}
+        hit, looked = self._months_hit(new, version, schema, set(version["months"]) - new_months)
+        touched = sorted(new_months | hit)
+        kept = V.read(self.spark, self.path, schema, version, touched).drop(PQ.MONTH_COL)
+        self._write(replaced(kept, new, self.key), schema, version, touched, facts)
+        return {"mode": "incremental", "mark": mark, "months": touched, "months_read": looked}

@@ -52,28 +52,46 @@ COUNT_KEYS = ["trip_date", "start_station_id", "start_station_name"]
 DURATION_KEYS = ["start_hour", "rider_type", "duration_us"]
 
 
+# grouping_id() sets a bit for every key column NOT in the set (first key = highest bit)
+COUNTS_ID = (1 << len(DURATION_KEYS)) - 1
+HISTOGRAM_ID = ((1 << len(COUNT_KEYS)) - 1) << len(DURATION_KEYS)
+
+
+def both_aggregates(trips: DataFrame, per: list[str] | None = None) -> DataFrame:
+    """Both aggregates as one GROUPING SETS aggregation of a single scan, told
+    apart by ``grouping_set``; with ``per``, for each value of these columns."""
+    per = per or []
+    keys = COUNT_KEYS + DURATION_KEYS
+    cols = trips.selectExpr(*per, *COUNT_KEYS, "start_hour", "member_casual as rider_type",
+                            f"{duration_micros_sql('start_ts', 'end_ts')} as duration_us")
+    return (cols.groupingSets([per + COUNT_KEYS, per + DURATION_KEYS], *per, *keys)
+                .agg(F.expr("count(1) as trips"), F.expr("grouping_id() as grouping_set")))
+
+
+def combined(partials: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both aggregates from partial ones (``both_aggregates`` of parts of the
+    trips, say of each month): their counts add up."""
+    def of(grouping_set, keys):
+        return (partials.where(F.col("grouping_set") == grouping_set).groupBy(*keys)
+                        .agg(F.expr("cast(sum(trips) as bigint) as trips")))
+
+    return (materialize(of(COUNTS_ID, COUNT_KEYS), "counts"),
+            materialize(of(HISTOGRAM_ID, DURATION_KEYS), "durations"))
+
+
 def trip_aggregates(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both aggregates from ONE scan of the trips, written once.
 
-    A GROUPING SETS aggregation over the union of the needed columns
-    computes (date, station) counts and the duration histogram together
-    (each row is expanded once per set before the map-side partial
-    aggregation). The result is written once, partitioned by grouping id,
-    and read back as two small tables.
+    Each row is expanded once per grouping set before the map-side partial
+    aggregation. The result is written once, partitioned by grouping id, and
+    read back as two small tables.
     """
-    cols = trips.selectExpr(*COUNT_KEYS, "start_hour", "member_casual as rider_type",
-                            f"{duration_micros_sql('start_ts', 'end_ts')} as duration_us")
-    keys = COUNT_KEYS + DURATION_KEYS
-    both = (cols.groupingSets([COUNT_KEYS, DURATION_KEYS], *keys)
-                .agg(F.expr("count(1) as trips"), F.expr("grouping_id() as grouping_set")))
     from rides.session import shared_dir
 
+    both = both_aggregates(trips)
     path = shared_dir(trips.sparkSession, "materialized", "trip_aggregates", unique=True)
     both.write.mode("overwrite").partitionBy("grouping_set").parquet(path)
     back = trips.sparkSession.read.schema(both.schema).parquet(path)
-    # grouping_id() sets a bit for every key column NOT in the set (first key = highest bit)
-    counts_id = (1 << len(DURATION_KEYS)) - 1
-    hist_id = ((1 << len(COUNT_KEYS)) - 1) << len(DURATION_KEYS)
-    counts = back.where(f"grouping_set = {counts_id}").select(*COUNT_KEYS, "trips")
-    hist = back.where(f"grouping_set = {hist_id}").select(*DURATION_KEYS, "trips")
+    counts = back.where(f"grouping_set = {COUNTS_ID}").select(*COUNT_KEYS, "trips")
+    hist = back.where(f"grouping_set = {HISTOGRAM_ID}").select(*DURATION_KEYS, "trips")
     return counts, hist

@@ -12,20 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
-from rides.plans.aggregates import trip_aggregates
+from rides.plans.aggregates import both_aggregates, combined, trip_aggregates
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
+from rides.sources.parquet import month_key
 
 
 def build(raw: DataFrame, include_ingestion_ts: bool = True) -> dict[str, DataFrame]:
     return build_from_stg(stg_trips(raw, include_ingestion_ts=include_ingestion_ts))
 
 
-def build_from_stg(stg: DataFrame, it: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every model and report from the staging table (and, when given, an
-    already written intermediate table)."""
+def build_from_stg(stg: DataFrame, it: DataFrame | None = None,
+                   aggregates: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Every model and report from the staging table and, where given, an
+    already written intermediate table and the two aggregates of its trips."""
     it = it if it is not None else int_trips(stg)
-    counts, hist = trip_aggregates(it)
+    counts, hist = aggregates or trip_aggregates(it)
     dim_date = D.dim_date_from_dates(counts)
     dim_stations = D.dim_stations_from(counts)
     dim_time = D.dim_time_from_hours(hist)
@@ -58,39 +60,60 @@ MODEL_TABLES = ["dim_date", "dim_stations", "dim_time", "fct_popular_stations_by
 def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
                root: str | None = None, full_refresh: bool = False,
                lookback=None, with_stats: bool = True) -> dict:
-    """Load and rebuild every model as a table, like a scheduled model run.
+    """Load every model as a table, like a scheduled model run.
 
     * staging: incremental high-water-mark upsert (``full_refresh`` rebuilds);
-    * intermediate: rebuilt, partitioned by trip month;
-    * dimensions and facts: rebuilt as tables.
+    * intermediate and the partial aggregates of each month: made anew for the
+      months that the load changed, and for no others;
+    * dimensions and facts: rebuilt from the aggregates.
 
-    Statistics follow the source project (staging, intermediate and the
-    three facts): the two trip-sized tables get size statistics from file
-    metadata (no scan), the small facts full column statistics.
+    Each table is published by one step at its end: a reader, or a run that
+    stops, never meets a table half written. Statistics follow the source
+    project (staging, intermediate and the three facts): the two trip-sized
+    tables get size and row count (footers only), the small facts full column
+    statistics.
 
     Tables are external, under ``root`` (default: a folder of the database in
     the session's warehouse). Returns
-    the staging load summary and a DataFrame per table and report.
+    the staging load summary, ``refreshed`` (the months made anew, by table)
+    and a DataFrame per table and report.
     """
+    from rides.operators import derived
     from rides.operators.incremental import IncrementalTable
     from rides.sources import tables as TB
-    from rides.sources.parquet import MONTH_COL, by_month, with_month_field
+    from rides.sources.parquet import MONTH_COL
 
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{database}.rides"
     TB.create_schema(spark, database, location=f"{root}/_db")
     staged = stg_trips(raw)
     stg_table = IncrementalTable(spark, f"{root}/stg_trips")
     summary = stg_table.load(staged, full_refresh=full_refresh, lookback=lookback)
-    stg = TB.register_parquet(spark, f"{database}.stg_trips", f"{root}/stg_trips",
-                              schema=with_month_field(staged.schema))
-    it = by_month(int_trips(stg.drop(MONTH_COL)))
-    TB.save_table(it, f"{database}.int_trips", f"{root}/int_trips", partition_by=[MONTH_COL])
-    if with_stats:
-        TB.analyze(spark, f"{database}.stg_trips", columns=False)
-        TB.analyze(spark, f"{database}.int_trips", columns=False)
-    it = spark.table(f"{database}.int_trips").drop(MONTH_COL)
-    models = build_from_stg(stg.drop(MONTH_COL), it)
-    out = {"stg_load": summary}
+    version = stg_table.version()
+
+    def derive(name, source, read, transform):
+        path = f"{root}/{name}"
+        schema = transform(read([])).drop(MONTH_COL).schema
+        manifest = derived.refresh(spark, path, source, read, transform)
+        return manifest, lambda months=None: derived.read(spark, path, schema, months)
+
+    def read_stg(months):
+        return stg_table.read(staged.schema, months)
+
+    def with_month(rows):
+        return int_trips(rows).withColumn(MONTH_COL, month_key())
+
+    int_version, read_int = derive("int_trips", version, read_stg, with_month)
+    agg_version, read_agg = derive("agg_trips", int_version, read_int,
+                                   lambda rows: both_aggregates(rows, per=[MONTH_COL]))
+    for name, path_schema, manifest in (("stg_trips", staged.schema, version),
+                                        ("int_trips", read_int().drop(MONTH_COL).schema, int_version)):
+        TB.publish_months(spark, f"{database}.{name}", f"{root}/{name}", path_schema, manifest)
+        if with_stats:
+            TB.analyze(spark, f"{database}.{name}", columns=False)
+    stg, it = (spark.table(f"{database}.{n}").drop(MONTH_COL) for n in ("stg_trips", "int_trips"))
+    models = build_from_stg(stg, it, combined(read_agg()))
+    out = {"stg_load": summary, "refreshed": {"int_trips": int_version["refreshed"],
+                                              "agg_trips": agg_version["refreshed"]}}
     for name in MODEL_TABLES:
         TB.save_table(models[name], f"{database}.{name}", f"{root}/{name}")
         if with_stats and name.startswith("fct_"):

@@ -45,7 +45,11 @@ def with_month_field(schema: T.StructType) -> T.StructType:
 def read_trips_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a month-partitioned table with a declared schema (the partition
     value stays text; nothing is inferred). Filters on ``trip_month`` prune
-    directories."""
+    directories. Of a versioned table the version in force is read."""
+    from rides.sources import versions as V
+
+    if read_text(f"{path}/_current") is not None:
+        return V.read(spark, path, schema, V.current(path))
     return spark.read.schema(with_month_field(schema)).parquet(path)
 
 

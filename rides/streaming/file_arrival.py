@@ -7,15 +7,16 @@ the stream itself). Each micro-batch then reads its files by column name
 
 The stream checkpoint hands over each file once, so every row is taken, late
 ones too, and upserted by ``ride_id``: a ride that arrives again replaces the
-earlier one, in the order of file modification time, then path. The outcome
-does not depend on how files fall into micro-batches, and a batch that is
-replayed after a failure changes nothing. ``maxFilesPerTrigger`` bounds how
-many paths one micro-batch collects.
+earlier one, in the order of file modification time, then path, then the
+values of the row. Rows without a ``ride_id`` all stay. The outcome does not
+depend on how files fall into micro-batches. The table records the number of
+the last micro-batch it took, so one that is replayed after a failure changes
+nothing. ``maxFilesPerTrigger`` bounds how many paths one micro-batch collects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rides.operators.incremental import IncrementalTable
@@ -26,14 +27,11 @@ from rides.sources.files import Admission
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def last_arrivals(trips: DataFrame, files: list[str], key: str = "ride_id") -> DataFrame:
-    """The rows of each ride from the last of ``files`` that holds it."""
+def in_arrival_order(trips: DataFrame, files: list[str]) -> DataFrame:
+    """``trips`` with ``_order``, the number of their file among ``files``."""
     order = trips.sparkSession.createDataFrame(
         [(f, i) for i, f in enumerate(files)], "source_file string, _order int")
-    last = Window.partitionBy(key).orderBy(F.desc("_order"))
-    return (trips.join(F.broadcast(order), "source_file", "left")
-                 .withColumn("_rank", F.rank().over(last)).where("_rank = 1")
-                 .select(*trips.columns))
+    return trips.join(F.broadcast(order), "source_file", "left").select(*trips.columns, "_order")
 
 
 def start_trip_stream(spark: SparkSession, landing_dir: str, table_path: str,
@@ -56,7 +54,8 @@ def start_trip_stream(spark: SparkSession, landing_dir: str, table_path: str,
             return
         adm = Admission(admitted=[(r["path"], r["length"]) for r in rows])
         raw = read_trips_csv(spark, adm.paths, admission=adm)
-        table.load(last_arrivals(stg_trips(raw), adm.paths), every_row=True)
+        table.load(in_arrival_order(stg_trips(raw), adm.paths), every_row=True, order=["_order"],
+                   epoch=(checkpoint_location, epoch_id))
 
     writer = (files.writeStream.foreachBatch(load_batch)
                    .option("checkpointLocation", checkpoint_location))

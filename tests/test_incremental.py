@@ -62,16 +62,16 @@ def test_table_rewrites_touched_months_only(spark, raw_df, tmp_path):
                          trip("c", "2023-04-01 08:00:00")])
     assert table.load(first)["mode"] == "full"
     schema = first.schema
-    april_files = sorted(p.name for p in (tmp_path / "stg" / "trip_month=2023-04").iterdir())
+    april = table.version()["months"]["2023-04"]
     batch = stg(raw_df, [trip("a", "2023-07-01 08:00:00", member="casual"),
                          trip("n", "2023-06-05 08:00:00")])
     summary = table.load(batch)
     assert summary["months"] == ["2023-05", "2023-06", "2023-07"]
     back = {r.ride_id: r for r in table.read(schema).collect()}
     assert sorted(back) == ["a", "b", "c", "n"] and back["a"].member_casual == "casual"
-    # May lost its only row to July: the folder is gone; April was not rewritten
-    assert not (tmp_path / "stg" / "trip_month=2023-05").exists()
-    assert sorted(p.name for p in (tmp_path / "stg" / "trip_month=2023-04").iterdir()) == april_files
+    # May lost its only row to July and is no month of the version; April was not rewritten
+    assert sorted(table.version()["months"]) == ["2023-04", "2023-06", "2023-07"]
+    assert table.version()["months"]["2023-04"] == april
     # loading the same batch again changes nothing
     assert table.load(batch)["months"] == []
     assert table.read(schema).count() == 4
@@ -80,10 +80,13 @@ def test_table_rewrites_touched_months_only(spark, raw_df, tmp_path):
     assert sorted(r.ride_id for r in table.read(schema).collect()) == ["a", "b", "c"]
 
 
-@pytest.mark.parametrize("stop_at", ["write_trips_by_month", "after_one_month", "delete_dir", "mark"])
-def test_load_stopped_half_way_is_completed(spark, raw_df, tmp_path, monkeypatch, stop_at):
-    """Stop the load before, within or after the overwrite; the next load
-    finishes it, and every ride is there."""
+@pytest.mark.parametrize("stop_at", ["write_trips_by_month", "after_one_month", "filters", "manifest",
+                                     "pointer", "delete_dir"])
+def test_load_stopped_half_way_changes_nothing_and_is_done_by_the_next(spark, raw_df, tmp_path, monkeypatch,
+                                                                       stop_at):
+    """Stop the load before, within or after the writes: the table is whole, as
+    before or (once the pointer is written) as after; the next load finishes."""
+    from rides.operators import key_filter as KF
     from rides.sources import parquet as PQ
 
     table = IncrementalTable(spark, str(tmp_path / "stg"))
@@ -92,31 +95,37 @@ def test_load_stopped_half_way_is_completed(spark, raw_df, tmp_path, monkeypatch
     table.load(first)
     batch = stg(raw_df, [trip("a", "2023-07-01 08:00:00", member="casual"),
                          trip("june", "2023-06-20 08:00:00"), trip("late", "2023-06-01 09:00:00")])
-    real = {n: getattr(PQ, n) for n in ("write_trips_by_month", "delete_dir", "write_text")}
 
     def stopped(*args, **kwargs):
         raise RuntimeError("driver lost")
 
-    if stop_at == "after_one_month":
-        def some(df, *args, **kwargs):      # only the newest month gets written
-            real["write_trips_by_month"](df.where("start_ts >= '2023-07-01'"), *args, **kwargs)
-            stopped()
-        monkeypatch.setattr(PQ, "write_trips_by_month", some)
-    elif stop_at == "mark":
-        monkeypatch.setattr(PQ, "write_text", lambda p, t: stopped() if "mark" in p.rsplit("/", 1)[-1] else real["write_text"](p, t))
-    else:
-        monkeypatch.setattr(PQ, stop_at, stopped)
-    with pytest.raises(RuntimeError):
-        table.load(batch)
-    for n, fn in real.items():
-        monkeypatch.setattr(PQ, n, fn)
+    with monkeypatch.context() as m:
+        write, text = PQ.write_trips_by_month, PQ.write_text
+        if stop_at == "after_one_month":
+            def some(df, *args, **kwargs):      # only the newest month gets written
+                write(df.where("start_ts >= '2023-07-01'"), *args, **kwargs)
+                stopped()
+            m.setattr(PQ, "write_trips_by_month", some)
+        elif stop_at == "filters":
+            m.setattr(KF, "build_filters", stopped)
+        elif stop_at in ("manifest", "pointer"):
+            part = "_versions" if stop_at == "manifest" else "_current"
+            m.setattr(PQ, "write_text", lambda p, t: stopped() if part in p else text(p, t))
+        else:
+            m.setattr(PQ, stop_at, stopped)
+        with pytest.raises(RuntimeError):
+            table.load(batch)
+    there = sorted(r.ride_id for r in table.read(first.schema).collect())
+    assert there == (["a", "b", "c", "june"] if stop_at == "delete_dir" else ["a", "b", "c"])
     table.load(batch)                                   # same batch again
     rows = {r.ride_id: r for r in table.read(first.schema).collect()}
     assert sorted(rows) == ["a", "b", "c", "june"] and rows["a"].member_casual == "casual"
     assert table.read(first.schema).count() == 4
     assert table.load(batch)["months"] == []
-    left = {p.name for p in (tmp_path / "stg.state").iterdir() if not p.name.startswith(".")}
-    assert left == {"mark.json"}
+    table.vacuum(keep=1)
+    left = {p.name.split("=")[1] for p in (tmp_path / "stg").iterdir() if p.name.startswith("snap=")}
+    assert left == set(table.version()["months"].values())
+    assert table.read(first.schema).count() == 4
 
 
 def test_stopped_full_load_is_not_taken_for_a_table(spark, raw_df, tmp_path, monkeypatch):
@@ -136,3 +145,79 @@ def test_stopped_full_load_is_not_taken_for_a_table(spark, raw_df, tmp_path, mon
     monkeypatch.setattr(PQ, "write_trips_by_month", real)
     table.load(first)
     assert sorted(r.ride_id for r in table.read(first.schema).collect()) == ["a", "b"]
+
+
+def test_batch_of_new_keys_reads_no_old_month(spark, raw_df, tmp_path):
+    """The old months' files are spoilt: a load that opened one would fail."""
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    old = stg(raw_df, [trip(f"k{i}", f"2023-0{1 + i % 4}-10 08:00:00") for i in range(400)])
+    table.load(old)
+    files = [p for p in (tmp_path / "stg").glob("snap=*/trip_month=*/*.parquet")]
+    kept = {p: p.read_bytes() for p in files}
+    for p in files:
+        p.write_bytes(b"spoilt")
+        (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    summary = table.load(stg(raw_df, [trip(f"n{i}", "2023-06-01 08:00:00") for i in range(300)]))
+    assert summary["months"] == ["2023-06"] and summary["months_read"] == []
+    for p, data in kept.items():
+        p.write_bytes(data)
+    assert table.read(old.schema).count() == 700
+    # a key of one old month: that month alone is looked into
+    summary = table.load(stg(raw_df, [trip("k2", "2023-07-01 08:00:00")]))
+    assert summary["months"] == ["2023-03", "2023-07"] and summary["months_read"] == ["2023-03"]
+    assert table.read(old.schema).count() == 700
+    assert {r.ride_id for r in table.read(old.schema, ["2023-07"]).collect()} == {"k2"}
+
+
+def test_reader_stays_on_its_version(spark, raw_df, tmp_path):
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    first = stg(raw_df, [trip("a", "2023-05-10 08:00:00"), trip("b", "2023-06-01 08:00:00")])
+    table.load(first)
+    reader = table.read(first.schema)
+    table.load(stg(raw_df, [trip("a", "2023-07-01 08:00:00")]))
+    table.load(stg(raw_df, [trip("z", "2022-01-01 08:00:00")]), full_refresh=True)
+    assert sorted(r.ride_id for r in reader.collect()) == ["a", "b"]
+    assert [r.ride_id for r in table.read(first.schema).collect()] == ["z"]
+
+
+def test_last_writer_of_a_batch_and_rows_without_a_key(spark, raw_df, tmp_path):
+    from rides.operators.incremental import last_writer
+
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    rows = [trip("d", "2023-06-02 08:00:00"), trip("d", "2023-06-03 08:00:00"), trip("d", "2023-06-01 08:00:00"),
+            trip("tie", "2023-06-02 08:00:00", 10), trip("tie", "2023-06-02 08:00:00", 20),
+            trip(None, "2023-06-02 08:00:00"), trip(None, "2023-06-02 08:00:00"), trip("same", "2023-06-05 08:00:00"),
+            trip("same", "2023-06-05 08:00:00")]
+    batch = stg(raw_df, rows)
+    table.load(batch)
+    got = sorted((r.ride_id or "", str(r.start_ts), str(r.end_ts)) for r in table.read(batch.schema).collect())
+    assert got == [("", "2023-06-02 08:00:00", "2023-06-02 08:10:00")] * 2 + [
+        ("d", "2023-06-03 08:00:00", "2023-06-03 08:10:00"),
+        ("same", "2023-06-05 08:00:00", "2023-06-05 08:10:00"),
+        ("tie", "2023-06-02 08:00:00", "2023-06-02 08:20:00")]
+    # rows without a key never match: a second load adds its own
+    table.load(stg(raw_df, [trip(None, "2023-06-07 08:00:00"), trip("d", "2023-07-03 08:00:00")]))
+    assert table.read(batch.schema).count() == 6
+    assert upsert(batch.where("false"), batch, repeated="last").count() == 5
+    assert last_writer(batch, "ride_id", ["end_ts"]).columns == batch.columns
+
+
+def test_replayed_epoch_is_taken_once(spark, raw_df, tmp_path):
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    batch = stg(raw_df, [trip(None, "2023-06-02 08:00:00"), trip("a", "2023-06-02 08:00:00")])
+    for epoch in (0, 1, 1, 0):
+        table.load(batch, every_row=True, epoch=("q", epoch))
+    assert table.read(batch.schema).count() == 3        # two batches' rows without a key, and one of a
+
+
+def test_folder_of_an_older_release_is_not_taken_for_an_empty_table(spark, raw_df, tmp_path):
+    from rides.sources.parquet import write_trips_by_month
+    from rides.sources.versions import UnversionedTable
+
+    batch = stg(raw_df, [trip("a", "2023-06-02 08:00:00")])
+    write_trips_by_month(batch, str(tmp_path / "stg"))
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    with pytest.raises(UnversionedTable):
+        table.load(batch)
+    table.load(batch, full_refresh=True)
+    assert table.read(batch.schema).count() == 1
