@@ -27,6 +27,7 @@ def main(argv=None) -> int:
     p.add_argument("--raw", required=True)
     p.add_argument("--mode", choices=["replace", "append"], default="replace")
     p.add_argument("--lenient", action="store_true", help="unparsable values become NULL")
+    p.add_argument("--rejects", help="folder for CSV rows that do not fit the schema, with their reasons")
     p = sub.add_parser("run")
     p.add_argument("--raw", required=True)
     p.add_argument("--database", default="rides")
@@ -81,7 +82,8 @@ def _load(spark, args) -> int:
         raise NoUsableFiles(f"no CSV files or archives under {args.input!r}")
     mode = args.mode
     for fn in kinds:
-        report = fn(spark, args.input, args.raw, strict=not args.lenient, mode=mode)
+        rejects = {"rejects": args.rejects} if args.rejects and fn is ingest else {}
+        report = fn(spark, args.input, args.raw, strict=not args.lenient, mode=mode, **rejects)
         print(json.dumps(report, default=str))
         mode = "append"     # the second kind joins the first
     return 0

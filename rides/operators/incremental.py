@@ -147,7 +147,8 @@ class IncrementalTable:
         return V.publish(self.path, {"months": merged("months", months), "rows": merged("rows", rows_of),
                                      "blocks": merged("blocks", blocks), **facts})
 
-    def _months_hit(self, new: DataFrame, version: dict, schema, others: set[str]) -> tuple[set, list[str]]:
+    def _months_hit(self, new: DataFrame, n_new: int, version: dict, schema,
+                    others: set[str]) -> tuple[set, list[str]]:
         """Months among ``others`` that hold a key of ``new``, and the months
         whose key column had to be read to tell."""
         asked = {m: s for m, s in version["months"].items() if m in others and m in version["blocks"]}
@@ -157,8 +158,9 @@ class IncrementalTable:
             return set(), []
         filters = (self.spark.read.schema(f"{KF.FILTER}, {V.SNAP_COL} string, {PQ.MONTH_COL} string")
                        .option("basePath", self.filters).parquet(*folders))
-        keys = new.select(self.key).distinct()
-        may = KF.months_that_may_hold(keys, self.key, filters, sorted({version["blocks"][m] for m in asked}))
+        keys = new.select(self.key)
+        may = KF.months_that_may_hold(keys, self.key, filters, sorted({version["blocks"][m] for m in asked}),
+                                      n_new)
         if not may:
             return set(), []
         held = (V.read(self.spark, self.path, schema, version, may).select(self.key, PQ.MONTH_COL)
@@ -185,19 +187,32 @@ class IncrementalTable:
         mark = dt.datetime.fromisoformat(version["mark"]) if version and version["mark"] else None
         extra = [c for c in order or [] if c.startswith("_")]
         rows = batch if every_row or version is None else new_rows(batch, mark, self.mark_col, lookback)
-        rows = last_writer(rows, self.key, order or [self.mark_col]).drop(*extra)
-        schema = rows.schema
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        rows.write.parquet(staging)
         try:
-            new = self.spark.read.schema(schema).parquet(staging)
-            return self._apply(new, schema, version, mark, epochs)
+            staged = self._staged(rows, f"{staging}/rows")
+            new = self._one_writer(staged, order or [self.mark_col], staging).drop(*extra)
+            return self._apply(new, new.schema, version, mark, epochs)
         finally:
             PQ.delete_dir(staging)
 
+    def _staged(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _one_writer(self, rows: DataFrame, order: list[str], staging: str) -> DataFrame:
+        """``last_writer`` of staged rows. Only the keys are shuffled to find the
+        repeated ones, and whole rows only of these."""
+        repeated = self._staged(rows.where(F.col(self.key).isNotNull()).groupBy(self.key)
+                                    .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key),
+                                f"{staging}/repeated")
+        if repeated.isEmpty():
+            return rows
+        again = last_writer(rows.join(repeated, self.key, "left_semi"), self.key, order)
+        return self._staged(rows.join(repeated, self.key, "left_anti").unionByName(again), f"{staging}/last")
+
     def _apply(self, new: DataFrame, schema, version: dict | None, mark, epochs: dict) -> dict:
         found = new.groupBy(PQ.month_key(self.mark_col).alias("month")).agg(
-            F.max(self.mark_col).alias("newest")).collect()             # one row a month
+            F.max(self.mark_col).alias("newest"), F.count(F.lit(1)).alias("n")).collect()   # one row a month
         null = "__HIVE_DEFAULT_PARTITION__"
         new_months = {r["month"] if r["month"] is not None else null for r in found}
         newest = max((x for x in (mark, *(r["newest"] for r in found)) if x is not None), default=None)
@@ -207,7 +222,8 @@ class IncrementalTable:
             return {"mode": "full", "mark": None, "months": sorted(new_months), "months_read": []}
         if not found:
             return {"mode": "incremental", "mark": mark, "months": [], "months_read": []}
-        hit, looked = self._months_hit(new, version, schema, set(version["months"]) - new_months)
+        hit, looked = self._months_hit(new, sum(r["n"] for r in found), version, schema,
+                                       set(version["months"]) - new_months)
         touched = sorted(new_months | hit)
         kept = V.read(self.spark, self.path, schema, version, touched).drop(PQ.MONTH_COL)
         self._write(replaced(kept, new, self.key), schema, version, touched, facts)

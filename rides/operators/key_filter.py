@@ -64,22 +64,45 @@ def build_filters(rows: DataFrame, key: str, counts: dict[str, int]) -> DataFram
                 .applyInArrow(_set_bits, f"{MONTH_COL} string, {FILTER}"))
 
 
-def months_that_may_hold(keys: DataFrame, key: str, filters: DataFrame, sizes: list[int]) -> list[str]:
-    """Months whose filter passes at least one of ``keys``. ``sizes`` are the
-    numbers of blocks that occur among the filters (a handful)."""
+def _probe(key, keys, filters):
+    """Months whose filter of one block passes at least one of the keys."""
+    first, step = (keys.column(c).to_numpy() for c in ("first", "step"))
+    passed = []
+    for i in range(filters.num_rows):
+        bits = filters.column("bits")[i].values.to_numpy().view(np.uint64)
+        size, f, s = 64 * len(bits), first, step
+        for j in range(PROBES):
+            at = (f + j * s) % size
+            hit = bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
+            f, s = f[hit], s[hit]
+            if not len(f):
+                break
+        else:
+            passed.append(filters.column(MONTH_COL)[i].as_py())
+    return pa.table({MONTH_COL: pa.array(passed, pa.string())})
+
+
+TASK_KEYS = 1 << 18
+
+
+def months_that_may_hold(keys: DataFrame, key: str, filters: DataFrame, sizes: list[int],
+                         n_keys: int) -> list[str]:
+    """Months whose filter passes at least one of the ``keys``, about
+    ``n_keys`` of them. ``sizes`` are the numbers of blocks that occur among
+    the filters (a handful); keys of a block are dealt over several tasks where
+    they are many, each of which gets the block's filters."""
     hashed, first, step = _hashes(F.col(key))
+    shares = {b: max(-(-n_keys // (b * TASK_KEYS)), 1) for b in sizes}
     asked = (keys.where(F.col(key).isNotNull())
-                 .select(hashed.alias("_h"), first.alias("_first"), step.alias("_step"))
-                 .withColumn("blocks", F.explode(F.array(*(F.lit(n).cast("long") for n in sizes))))
-                 .withColumn("block", F.col("_h").bitwiseAND(F.col("blocks") - 1)))
-    size = F.size("bits").cast("long") * 64
-
-    def is_set(j):
-        at = (F.col("_first") + j * F.col("_step")) % size
-        return F.getbit(F.get("bits", F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
-
-    passed = F.lit(True)
-    for j in range(PROBES):
-        passed &= is_set(j)
-    found = asked.join(filters, ["blocks", "block"]).where(passed).select(MONTH_COL).distinct()
-    return sorted(r[0] for r in found.collect())
+                 .select(hashed.alias("_h"), first.alias("first"), step.alias("step"))
+                 .withColumn("size", F.explode(F.array(*(F.struct(
+                     F.lit(b).cast("long").alias("blocks"), F.lit(n).cast("long").alias("shares"))
+                     for b, n in shares.items()))))
+                 .select("size.*", "_h", "first", "step")
+                 .select("blocks", F.col("_h").bitwiseAND(F.col("blocks") - 1).alias("block"),
+                         F.pmod(F.shiftright("_h", 40), F.col("shares")).alias("share"), "first", "step"))
+    copies = F.coalesce(*(F.when(F.col("blocks") == b, F.lit(n).cast("long")) for b, n in shares.items()))
+    held = filters.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+    by = ["blocks", "block", "share"]
+    found = asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(_probe, f"{MONTH_COL} string")
+    return sorted(r[0] for r in found.distinct().collect())

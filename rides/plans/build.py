@@ -53,6 +53,15 @@ def build_from_stg(stg: DataFrame, it: DataFrame | None = None,
     }
 
 
+def stage_observed(raw: DataFrame):
+    """Staged trips, and the figures of the raw rows (all, those that staging
+    drops and why, those without an id or station) once they are written."""
+    from rides.operators.metrics import observed, raw_counts
+
+    rows, watch = observed(raw, raw_counts())
+    return stg_trips(rows), watch
+
+
 MODEL_TABLES = ["dim_date", "dim_stations", "dim_time", "fct_popular_stations_by_weekday",
                 "fct_trip_duration_by_hour", "fct_daily_trip_trends"]
 
@@ -70,8 +79,8 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     Each table is published by one step at its end: a reader, or a run that
     stops, never meets a table half written. Statistics follow the source
     project (staging, intermediate and the three facts): the two trip-sized
-    tables get size and row count (footers only), the small facts full column
-    statistics.
+    tables get size, row count and per column nulls, least and greatest value,
+    all from file footers, the small facts full column statistics.
 
     Tables are external, under ``root`` (default: a folder of the database in
     the session's warehouse). Returns
@@ -80,14 +89,16 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     """
     from rides.operators import derived
     from rides.operators.incremental import IncrementalTable
-    from rides.sources import tables as TB
+    from rides.sources import tables as TB, versions as V
+    from rides.sources.footers import column_statistics, set_in_catalog
     from rides.sources.parquet import MONTH_COL
 
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{database}.rides"
     TB.create_schema(spark, database, location=f"{root}/_db")
-    staged = stg_trips(raw)
+    staged, watch = stage_observed(raw)
     stg_table = IncrementalTable(spark, f"{root}/stg_trips")
     summary = stg_table.load(staged, full_refresh=full_refresh, lookback=lookback)
+    summary["counts"] = watch.get
     version = stg_table.version()
 
     def derive(name, source, read, transform):
@@ -110,6 +121,8 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
         TB.publish_months(spark, f"{database}.{name}", f"{root}/{name}", path_schema, manifest)
         if with_stats:
             TB.analyze(spark, f"{database}.{name}", columns=False)
+            set_in_catalog(spark, f"{database}.{name}",
+                           column_statistics(spark, {name: V.folders(f"{root}/{name}")}))
     stg, it = (spark.table(f"{database}.{n}").drop(MONTH_COL) for n in ("stg_trips", "int_trips"))
     models = build_from_stg(stg, it, combined(read_agg()))
     out = {"stg_load": summary, "refreshed": {"int_trips": int_version["refreshed"],

@@ -18,7 +18,8 @@ from rides.operators.percentiles import stats_from_histogram
 from rides.operators.ranking import rank_within
 from rides.operators.rolling import rolling_stats, zscore_flag_sql
 from rides.plans.aggregates import daily_station_counts, duration_histogram, materialize
-from rides.plans.dimensions import dim_date_from_dates, dim_stations_from, dim_time_from_hours
+from rides.plans.dimensions import (as_of, dim_date_from_dates, dim_stations_from,
+                                    dim_stations_history, dim_time_from_hours)
 
 # The reported duration percentiles, the rolling frames (rows)
 # and the anomaly rule (population z-score over the long frame).
@@ -59,6 +60,21 @@ def fct_popular_stations_by_weekday(trips: DataFrame | None = None,
     return rank_within(joined, ["weekday"], "total_trips", name="station_rank")
 
 
+def fct_popular_stations_one_name(trips: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """The popularity fact with one name for each station id: trips are counted
+    under the name that held on their day (``dim_stations_history``), so an id
+    with several names neither doubles its trips nor its rank."""
+    counts = _counts(trips, counts)
+    history = dim_stations_history(counts)
+    per_day = (counts.where("start_station_id is not null").groupBy("start_station_id", "trip_date")
+                     .agg(F.expr("sum(trips) as trips")))
+    dates = dim_date_from_dates(counts).selectExpr("ride_date as trip_date", "weekday")
+    totals = (as_of(per_day, history, "start_station_id", "trip_date").join(dates, "trip_date")
+              .groupBy(F.expr("start_station_id as station_id"), "station_name", "weekday")
+              .agg(F.expr("cast(sum(trips) as bigint) as total_trips")))
+    return rank_within(totals, ["weekday"], "total_trips", name="station_rank")
+
+
 def fct_trip_duration_by_hour(trips: DataFrame | None = None, times: DataFrame | None = None,
                               hist: DataFrame | None = None) -> DataFrame:
     """(start_hour, time_of_day_category, rider_type) -> trips_count, average,

@@ -17,7 +17,7 @@ from rides import functions as RF
 from rides.functions.calendar import minutes_from_micros_sql
 from rides.functions.numeric import round_half_away, round_half_away_sql
 from rides.operators.monthly import month_over_month
-from rides.operators.percentiles import exact_stats
+from rides.operators.percentiles import stats_from_histogram, value_histogram
 from rides.operators.ranking import rank_within
 from rides.operators.rolling import rolling_stats
 from rides.oracle import FRESHNESS_AS_OF, INCREMENTAL_MARK
@@ -186,10 +186,11 @@ def q_op_surrogate_key(spark, sf):
 def q_op_percentiles(spark, sf):
     it = _int(spark, sf).select("start_hour", F.col("member_casual").alias("rider_type"),
                                 RF.duration_micros("start_ts", "end_ts").alias("us"))
-    out = exact_stats(it, ["start_hour", "rider_type"], "us", minutes_from_micros_sql,
-                      {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
-                       "p75_duration_minutes": 0.75},
-                      count_name="trips_count", mean_name="avg_duration_minutes")
+    hist = materialize(value_histogram(it, ["start_hour", "rider_type"], "us"), "histogram")
+    out = stats_from_histogram(hist, ["start_hour", "rider_type"], "_v", "_c", minutes_from_micros_sql,
+                               {"median_duration_minutes": 0.5, "p25_duration_minutes": 0.25,
+                                "p75_duration_minutes": 0.75},
+                               count_name="trips_count", mean_name="avg_duration_minutes")
     return r6(out, *DUR_FLOATS)
 
 
@@ -224,7 +225,7 @@ def q_op_rank(spark, sf):
 
 @register("dq_not_null")
 def q_dq_not_null(spark, sf):
-    return C.dq_not_null(C.with_small_models_written(_models(spark, sf)))
+    return C.dq_not_null(_models(spark, sf))
 
 
 @register("dq_unique")
@@ -431,23 +432,67 @@ def _saved_dim_date(spark, sf) -> str:
     return f"{db}.dim_date"
 
 
+def _catalog_rows(spark, name: str) -> DataFrame:
+    """The row count that ANALYZE left in the catalog."""
+    from rides.sources.tables import current_table
+
+    return (spark.sql(f"describe table extended {current_table(spark, name)}").where("col_name = 'Statistics'")
+                 .select(F.lit(name.split(".")[1]).alias("table_name"),
+                         F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("row_count")))
+
+
 @register("table_statistics")
 def q_table_statistics(spark, sf):
-    """The row count that ANALYZE leaves in the catalog."""
+    """Row counts in the catalog after a model run, the trip tables included."""
     from rides.sources.tables import analyze
 
-    name = _saved_dim_date(spark, sf)
-    analyze(spark, name)
-    return spark.sql(f"describe table extended {name}").where("col_name = 'Statistics'").select(
-        F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("row_count"))
+    db, _ = _model_run(spark, _raw(spark, sf))
+    analyze(spark, f"{db}.dim_date")
+    counts = [_catalog_rows(spark, f"{db}.{t}") for t in ("dim_date", "stg_trips", "int_trips")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def _model_run(spark, raw) -> tuple[str, str]:
+    import uuid
+
+    from rides.plans.build import run_models
+    from rides.session import shared_dir
+
+    db, root = f"rides_{uuid.uuid4().hex[:8]}", shared_dir(spark, "warehouse", unique=True)
+    run_models(spark, raw, database=db, root=root)
+    return db, root
+
+
+@register("column_statistics")
+def q_column_statistics(spark, sf):
+    """Per column of the two trip tables, from the footers of their files:
+    rows, nulls, least and greatest value."""
+    from rides.oracle import STATISTICS_COLUMNS
+    from rides.sources import versions as V
+    from rides.sources.footers import column_statistics
+
+    db, root = _model_run(spark, _raw(spark, sf))
+    stats = column_statistics(spark, {t: V.folders(f"{root}/{t}") for t in STATISTICS_COLUMNS})
+    wanted = F.lit(False)
+    for t, names in STATISTICS_COLUMNS.items():
+        wanted |= (F.col("table_name") == t) & F.col("column_name").isin(names)
+    return r6(stats.where(wanted), "min_number", "max_number")
 
 
 @register("table_columns")
 def q_table_columns(spark, sf):
+    """Columns of a saved table with their types, and how many values each holds."""
     from rides.sources.tables import columns
 
     name = _saved_dim_date(spark, sf)
-    return spark.createDataFrame(list(enumerate(columns(spark, name))), "ordinal long, name string")
+    saved = spark.table(name)
+    names = columns(spark, name)
+    types = dict(saved.dtypes)
+    counted = saved.agg(*(F.count(n).alias(n) for n in names))
+    rows = F.explode(F.array(*(F.struct(
+        F.lit(i).cast("long").alias("ordinal"), F.lit(n).alias("name"), F.lit(types[n]).alias("type"),
+        F.col(n).alias("n_values")) for i, n in enumerate(names))))
+    return counted.select(rows.alias("r")).select("r.*")
 
 
 @register("archive_ingest")
@@ -521,11 +566,12 @@ def _models_run_twice(spark, first: DataFrame, second: DataFrame, **options) ->
 
 @register("run_models_moved_key")
 def q_run_models_moved_key(spark, sf):
-    """Rides that arrive again in a later month leave the earlier one."""
-    early = _raw(spark, sf).where(F.col("started_at") < _ts(INCREMENTAL_MARK))
-    later = early.where("cast(ride_id as bigint) % 10 = 0").withColumns(
-        {c: F.expr(f"{c} + interval 7 years") for c in ("started_at", "ended_at")})
-    return _models_run_twice(spark, early, early.unionByName(later))
+    """The early trips, then all trips with every early ride again seven years
+    later: no early ride stays in its month."""
+    raw = _raw(spark, sf)
+    early = raw.where(F.col("started_at") < _ts(INCREMENTAL_MARK))
+    later = early.withColumns({c: F.expr(f"{c} + interval 7 years") for c in ("started_at", "ended_at")})
+    return _models_run_twice(spark, early, raw.unionByName(later))
 
 
 @register("run_models_full_refresh")
@@ -557,3 +603,130 @@ def q_stream_out_of_order(spark, sf):
                       max_files_per_trigger=1, available_now=True).awaitTermination()
     return read_trips_by_month(spark, f"{base}/table", stg_trips(raw).schema).select(
         *[c for c in STG_OUT if c != "source_file"])
+
+
+# ---------------------------------------------------------------------------
+# Loads: repeated and missing keys, rejected rows, figures, versions
+
+def _shifted(raw: DataFrame, seconds: int) -> DataFrame:
+    return raw.withColumns({c: F.expr(f"{c} + interval {seconds} seconds") for c in ("started_at", "ended_at")})
+
+
+@register("upsert_repeated_keys")
+def q_upsert_repeated_keys(spark, sf):
+    """The early rides, then a batch in which every ride stands three times:
+    the last by start is the one that stays."""
+    from rides.operators.incremental import IncrementalTable
+    from rides.oracle import REPEATS
+    from rides.session import shared_dir
+
+    raw = _raw(spark, sf)
+    table = IncrementalTable(spark, shared_dir(spark, "repeated", unique=True))
+    table.load(stg_trips(raw.where(F.col("started_at") < _ts(INCREMENTAL_MARK)), include_ingestion_ts=False))
+    first, second, third = (_shifted(raw, s) for s in REPEATS)
+    batch = stg_trips(first.unionByName(second).unionByName(third), include_ingestion_ts=False)
+    table.load(batch, every_row=True)
+    return table.read(batch.schema).select(*STG_OUT)
+
+
+@register("stream_null_keys")
+def q_stream_null_keys(spark, sf):
+    """Rides of which every fifth has lost its id, through the stream with one
+    file and with all files a trigger: every one of these stays."""
+    from rides.oracle import LOST_ID
+    from rides.schema import RAW_NAMES
+    from rides.session import shared_dir
+    from rides.sources.parquet import read_trips_by_month
+    from rides.streaming import start_trip_stream
+
+    base = shared_dir(spark, "stream", unique=True)
+    raw = _raw(spark, sf).withColumn("ride_id", F.expr(LOST_ID))
+    raw.select(*RAW_NAMES).repartition(3, "started_at").write.options(
+        header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(f"{base}/landing")
+    counts = []
+    for n in (1, 1000):
+        start_trip_stream(spark, f"{base}/landing", f"{base}/table{n}", f"{base}/checkpoint{n}",
+                          max_files_per_trigger=n, available_now=True).awaitTermination()
+        counts.append(read_trips_by_month(spark, f"{base}/table{n}", stg_trips(raw).schema)
+                      .groupBy(F.lit(n).cast("long").alias("files_a_trigger"), "trip_month")
+                      .agg(F.count(F.lit(1)).alias("trips"),
+                           F.count_if(F.col("ride_id").isNull()).alias("without_id")))
+    return counts[0].unionByName(counts[1])
+
+
+@register("quarantine")
+def q_quarantine(spark, sf):
+    """Files with spoilt fields: rejected rows by reason, and the rows loaded."""
+    from rides.oracle import SPOILT
+    from rides.schema import RAW_NAMES
+    from rides.session import shared_dir
+    from rides.sources.csv import ingest
+
+    path, target, rejects = (shared_dir(spark, n, unique=True) for n in ("spoilt", "raw", "rejects"))
+    raw = _raw(spark, sf).select(*(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+                                   if c in ("started_at", "ended_at") else F.col(c).cast("string").alias(c)
+                                   for c in RAW_NAMES))
+    spoilt = raw.withColumns({c: F.expr(f"case when {rule} then '{text}' else {c} end")
+                              for c, (rule, text) in SPOILT.items()})
+    spoilt.write.options(header=True).csv(path)
+    report = ingest(spark, path, target, mode="replace", rejects=rejects)
+    by_reason = (spark.read.parquet(rejects).select(F.explode("reasons").alias("what"))
+                      .groupBy("what").agg(F.count(F.lit(1)).alias("n")))
+    loaded = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("what"), "n")
+    told = spark.createDataFrame([("rejected rows", report["counts"]["rows_rejected"]),
+                                  ("rows in the report", report["rows"])], "what string, n long")
+    return by_reason.unionByName(loaded).unionByName(told)
+
+
+@register("load_metrics")
+def q_load_metrics(spark, sf):
+    """Figures of a load, counted while its rows were written: trips of which
+    some have lost their start or their id."""
+    from rides.oracle import LOST_ID, LOST_START
+    from rides.plans.build import stage_observed
+
+    raw = _raw(spark, sf).withColumns({"started_at": F.expr(LOST_START), "ride_id": F.expr(LOST_ID)})
+    from rides.operators.incremental import IncrementalTable
+    from rides.session import shared_dir
+
+    table = IncrementalTable(spark, shared_dir(spark, "metrics", unique=True))
+    staged, watch = stage_observed(raw)
+    table.load(staged)
+    told = watch.get | {"rows_written": sum(table.version()["rows"].values())}
+    return spark.createDataFrame([(k, int(v)) for k, v in told.items()], "metric string, n long")
+
+
+@register("versions_through_the_pointer")
+def q_versions(spark, sf):
+    """Rows by month that a reader opened before a rebuild still sees, and what
+    a reader opened after it sees."""
+    import uuid
+
+    from rides.operators.incremental import IncrementalTable
+    from rides.session import shared_dir
+    from rides.sources.tables import create_schema, publish_months
+
+    root, db = shared_dir(spark, "versions", unique=True), f"rides_{uuid.uuid4().hex[:8]}"
+    create_schema(spark, db, location=f"{root}/_db")
+    stg = _stg(spark, sf)
+    table = IncrementalTable(spark, f"{root}/stg")
+    table.load(stg.where(F.col("start_ts") < _ts(INCREMENTAL_MARK)))
+    publish_months(spark, f"{db}.stg", f"{root}/stg", stg.schema, table.version())
+    opened_before = spark.table(f"{db}.stg")
+    table.load(stg, full_refresh=True)
+    publish_months(spark, f"{db}.stg", f"{root}/stg", stg.schema, table.version())
+
+    def per_month(df, label):
+        return df.groupBy(F.lit(label).alias("reader"), "trip_month").agg(F.count(F.lit(1)).alias("trips"))
+
+    return per_month(opened_before, "before").unionByName(per_month(spark.table(f"{db}.stg"), "after"))
+
+
+@register("dim_stations_history")
+def q_dim_stations_history(spark, sf):
+    return D.dim_stations_history(materialize(daily_station_counts(_int(spark, sf)), "counts"))
+
+
+@register("fct_popular_stations_one_name")
+def q_fct_popular_one_name(spark, sf):
+    return FCT.fct_popular_stations_one_name(_int(spark, sf))

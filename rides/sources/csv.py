@@ -47,8 +47,10 @@ def read_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     files = spark.createDataFrame([(p,) for p in paths], "path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     heads = files.repartition(n).mapInPandas(_first_lines, "path string, header string")
-    return {r["header"]: sorted(r["paths"]) for r in
-            heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()}
+    groups: dict[str, list[str]] = {}
+    for r in heads.collect():           # one row a file, as the admitted list has
+        groups.setdefault(r["header"], []).append(r["path"])
+    return {h: sorted(p) for h, p in groups.items()}
 
 
 def split_header(line: str, sep: str = ",") -> list[str]:
@@ -80,6 +82,34 @@ def read_group(spark: SparkSession, files: list[str], names: list[str],
     return df.select(*cols, plain_file_path().alias("filename"))
 
 
+def read_group_checked(spark: SparkSession, files: list[str], names: list[str],
+                       schema: T.StructType = RAW_SCHEMA, sep: str = ",") -> DataFrame:
+    """As ``read_group``, with the reasons against rows that do not fit
+    (``rides.operators.quarantine``)."""
+    from rides.operators.quarantine import checked
+
+    line = "_line"
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, line]])
+    df = (spark.read.schema(text).option("header", True).option("sep", sep)
+               .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", line).option("columnPruning", False)
+               .csv([no_glob(f) for f in files])
+               .withColumn("filename", plain_file_path()))
+    return checked(df, schema, ["filename"], F.col(line))
+
+
+def read_trips_csv_checked(spark: SparkSession, paths: str | list[str], schema: T.StructType = RAW_SCHEMA,
+                           glob: str = "*.csv", admission: Admission | None = None) -> DataFrame:
+    """Every row of the admitted CSVs, fit or not, with the reasons against it;
+    ``quarantine.accepted`` and ``quarantine.rejected`` tell them apart."""
+    adm = admission or admit(spark, paths, glob)
+    groups: dict[tuple, list[str]] = {}
+    for header, files in read_headers(spark, adm.paths).items():
+        groups.setdefault(tuple(split_header(header)), []).extend(files)
+    parts = [read_group_checked(spark, files, list(names), schema) for names, files in groups.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_trips_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType = RAW_SCHEMA,
                    strict: bool = True, glob: str = "*.csv",
                    admission: Admission | None = None) -> DataFrame:
@@ -98,13 +128,17 @@ def read_trips_csv(spark: SparkSession, paths: str | list[str], schema: T.Struct
 
 
 def ingest_stats(raw: DataFrame, admission: Admission) -> DataFrame:
-    """Per file: rows loaded and size in MB (files load in parallel, so time
-    is reported for the whole load by ``ingest``)."""
+    """Per file: rows loaded, those among them that staging will drop (no start
+    or end, or a negative duration) and size in MB (files load in parallel, so
+    time is reported for the whole load by ``ingest``)."""
     spark = raw.sparkSession
     sizes = spark.createDataFrame(admission.admitted, "file string, bytes long")
-    counts = raw.groupBy(F.col("filename").alias("file")).agg(F.count(F.lit(1)).alias("rows_added"))
+    fits = F.coalesce(F.col("ended_at") >= F.col("started_at"), F.lit(False))
+    counts = raw.groupBy(F.col("filename").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows_added"), F.count_if(~fits).alias("rows_unfit"))
     return (sizes.join(counts, "file", "left")
                  .select("file", F.coalesce("rows_added", F.lit(0)).alias("rows_added"),
+                         F.coalesce("rows_unfit", F.lit(0)).alias("rows_unfit"),
                          (F.col("bytes") / F.lit(1e6)).alias("bytes_mb")))
 
 
@@ -130,20 +164,39 @@ def write_load(raw: DataFrame, target_path: str, mode: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
-           strict: bool = True) -> dict:
+           strict: bool = True, rejects: str | None = None) -> dict:
     """Read admitted CSVs by name and write them to a month-partitioned raw
     table in one parallel write. Returns files, skipped files, rows, MB,
-    seconds and MB/s; rows per file are counted from what was written."""
+    seconds and MB/s; rows per file are counted from what was written, the
+    other counts while it was.
+
+    With ``rejects`` a row that does not fit the schema neither fails the load
+    nor loses its field: it goes to that folder, with file, reasons and text.
+    Only a load that has such rows reads its files again, for them alone."""
+    from rides.operators.metrics import observed, raw_counts
+    from rides.operators.quarantine import REASONS, accepted, rejected
+
     t0 = time.perf_counter()
     adm = admit(spark, paths)
-    raw = read_trips_csv(spark, paths, strict=strict, admission=adm)
-    written = write_load(raw, target_path, mode)
+    if rejects is None:
+        rows = read_trips_csv(spark, paths, strict=strict, admission=adm)
+        raw, watch = observed(rows, raw_counts())
+        written = write_load(raw, target_path, mode)
+        counts = watch.get
+    else:
+        rows = read_trips_csv_checked(spark, paths, admission=adm)
+        marked, refused = observed(rows, {"rows_rejected": F.count_if(F.size(REASONS) > 0)})
+        raw, watch = observed(accepted(marked), raw_counts())
+        written = write_load(raw, target_path, mode)
+        counts = watch.get | refused.get
+        if counts["rows_rejected"]:
+            rejected(rows, ["filename"]).write.mode("append").parquet(rejects)
     per_file = [r.asDict() for r in ingest_stats(written, adm).orderBy("file").collect()]
     secs = time.perf_counter() - t0
     total_mb = sum(b for _, b in adm.admitted) / 1e6
     return {"files": per_file, "skipped": adm.skipped,
             "rows": sum(r["rows_added"] for r in per_file), "mb": total_mb,
-            "seconds": secs, "mb_per_s": total_mb / secs if secs else None}
+            "seconds": secs, "mb_per_s": total_mb / secs if secs else None, "counts": counts}
 
 
 def empty_raw(spark: SparkSession, schema: T.StructType = RAW_SCHEMA) -> DataFrame:

@@ -77,6 +77,12 @@ def read(spark: SparkSession, path: str, schema: T.StructType, manifest: dict,
     return spark.read.schema(fields).option("basePath", path).parquet(*folders).drop(SNAP_COL)
 
 
+def folders(path: str) -> list[str]:
+    """The month folders of the version in force."""
+    return [f"{path}/{SNAP_COL}={snap}/{PQ.MONTH_COL}={month}"
+            for month, snap in sorted(current(path)["months"].items())]
+
+
 def vacuum(path: str, keep: int = 2) -> list[str]:
     """Delete snapshots and manifests that none of the ``keep`` newest versions
     names, those of stopped loads included. Returns the deleted snapshots."""
