@@ -29,9 +29,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rides.operators import key_filter as KF
+from rides.session import together
 from rides.sources import parquet as PQ, versions as V
 
 
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(month: str | None) -> str:
+    return NULL_MONTH if month is None else month
+
+
 def high_water_mark(target: DataFrame, mark_col: str):
     """Newest value of ``mark_col`` as a Python scalar (one small aggregate).
     Collected so the batch filter is a literal that Spark can push into the
@@ -123,22 +131,27 @@ class IncrementalTable:
             PQ.delete_dir(f"{self.filters}/{V.SNAP_COL}={snap}")
         return gone
 
-    def _write(self, rows: DataFrame, schema, before: dict, touched: list[str], facts: dict) -> dict:
+    def _write(self, rows: DataFrame, schema, before: dict, touched: list[str], facts: dict,
+               at_most: dict[str, int]) -> dict:
         """Write a snapshot of ``rows`` and its filters; publish the version in
-        which it takes the place of the ``touched`` months."""
+        which it takes the place of the ``touched`` months. ``at_most`` bounds
+        the rows of each month, which sizes its filter."""
         snap = V.new_snapshot()
         folder = f"{self.path}/{V.SNAP_COL}={snap}"
         PQ.write_trips_by_month(rows, folder, source_col=self.mark_col)
         months = {m: snap for m in PQ.partition_values(folder)} if PQ.path_exists(folder) else {}
         written = V.read(self.spark, self.path, schema, {"months": months})
-        counts = {r[PQ.MONTH_COL]: r["n"] for r in
-                  written.groupBy(PQ.MONTH_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
-        if counts:
-            (KF.build_filters(written.select(self.key, PQ.MONTH_COL), self.key, counts)
-               .write.partitionBy(PQ.MONTH_COL).parquet(f"{self.filters}/{V.SNAP_COL}={snap}"))
-        blocks = {m: KF.blocks_for(n) for m, n in counts.items() if m is not None}
-        null = "__HIVE_DEFAULT_PARTITION__"
-        rows_of = {m if m is not None else null: n for m, n in counts.items()}
+
+        def write_filters():
+            if sizes:
+                (KF.build_filters(written.select(self.key, PQ.MONTH_COL), self.key, sizes)
+                   .write.partitionBy(PQ.MONTH_COL).parquet(f"{self.filters}/{V.SNAP_COL}={snap}"))
+
+        sizes = {m: at_most[m] for m in months if m != NULL_MONTH}
+        counts, _ = together(
+            written.groupBy(PQ.MONTH_COL).agg(F.count(F.lit(1)).alias("n")).collect, write_filters)
+        blocks = {m: KF.blocks_for(n) for m, n in sizes.items()}
+        rows_of = {_folder(r[PQ.MONTH_COL]): r["n"] for r in counts}
 
         def merged(name, new):
             kept = {m: v for m, v in before.get(name, {}).items() if m not in touched}
@@ -190,8 +203,16 @@ class IncrementalTable:
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         try:
             staged = self._staged(rows, f"{staging}/rows")
-            new = self._one_writer(staged, order or [self.mark_col], staging).drop(*extra)
-            return self._apply(new, new.schema, version, mark, epochs)
+            repeated, found = together(lambda: self._repeated(staged, f"{staging}/repeated"),
+                                       lambda: self._months_of(staged))
+            if repeated is not None:
+                again = last_writer(staged.join(repeated, self.key, "left_semi"), self.key,
+                                    order or [self.mark_col])
+                staged = self._staged(staged.join(repeated, self.key, "left_anti").unionByName(again),
+                                      f"{staging}/last")
+                found = self._months_of(staged)
+            new = staged.drop(*extra)
+            return self._apply(new, found, new.schema, version, mark, epochs)
         finally:
             PQ.delete_dir(staging)
 
@@ -199,26 +220,25 @@ class IncrementalTable:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _one_writer(self, rows: DataFrame, order: list[str], staging: str) -> DataFrame:
-        """``last_writer`` of staged rows. Only the keys are shuffled to find the
-        repeated ones, and whole rows only of these."""
-        repeated = self._staged(rows.where(F.col(self.key).isNotNull()).groupBy(self.key)
-                                    .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key),
-                                f"{staging}/repeated")
-        if repeated.isEmpty():
-            return rows
-        again = last_writer(rows.join(repeated, self.key, "left_semi"), self.key, order)
-        return self._staged(rows.join(repeated, self.key, "left_anti").unionByName(again), f"{staging}/last")
-
-    def _apply(self, new: DataFrame, schema, version: dict | None, mark, epochs: dict) -> dict:
-        found = new.groupBy(PQ.month_key(self.mark_col).alias("month")).agg(
-            F.max(self.mark_col).alias("newest"), F.count(F.lit(1)).alias("n")).collect()   # one row a month
-        null = "__HIVE_DEFAULT_PARTITION__"
-        new_months = {r["month"] if r["month"] is not None else null for r in found}
+    def _repeated(self, rows: DataFrame, path: str) -> DataFrame | None:
+        """Keys that stand more than once among staged rows, None without any.
+        Only the keys are shuffled; whole rows are, later, of these keys alone."""
+        keys = self._staged(rows.where(F.col(self.key).isNotNull()).groupBy(self.key)
+                                .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key), path)
+        return None if keys.isEmpty() else keys
+
+    def _months_of(self, rows: DataFrame) -> list:
+        """Month, newest mark and number of ``rows``: one row a month."""
+        return rows.groupBy(PQ.month_key(self.mark_col).alias("month")).agg(
+            F.max(self.mark_col).alias("newest"), F.count(F.lit(1)).alias("n")).collect()
+
+    def _apply(self, new: DataFrame, found: list, schema, version: dict | None, mark, epochs: dict) -> dict:
+        arrived = {_folder(r["month"]): r["n"] for r in found}
+        new_months = set(arrived)
         newest = max((x for x in (mark, *(r["newest"] for r in found)) if x is not None), default=None)
         facts = {"mark": newest.isoformat() if newest else None, "epochs": epochs}
         if version is None:
-            self._write(new, schema, {}, [], facts)
+            self._write(new, schema, {}, [], facts, arrived)
             return {"mode": "full", "mark": None, "months": sorted(new_months), "months_read": []}
         if not found:
             return {"mode": "incremental", "mark": mark, "months": [], "months_read": []}
@@ -226,5 +246,6 @@ class IncrementalTable:
                                        set(version["months"]) - new_months)
         touched = sorted(new_months | hit)
         kept = V.read(self.spark, self.path, schema, version, touched).drop(PQ.MONTH_COL)
-        self._write(replaced(kept, new, self.key), schema, version, touched, facts)
+        at_most = {m: version["rows"].get(m, 0) + arrived.get(m, 0) for m in touched}
+        self._write(replaced(kept, new, self.key), schema, version, touched, facts, at_most)
         return {"mode": "incremental", "mark": mark, "months": touched, "months_read": looked}

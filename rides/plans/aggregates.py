@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rides.functions.calendar import duration_micros_sql
+from rides.session import together
 
 
 def materialize(df: DataFrame, name: str = "agg") -> DataFrame:
@@ -75,8 +76,9 @@ def combined(partials: DataFrame) -> tuple[DataFrame, DataFrame]:
         return (partials.where(F.col("grouping_set") == grouping_set).groupBy(*keys)
                         .agg(F.expr("cast(sum(trips) as bigint) as trips")))
 
-    return (materialize(of(COUNTS_ID, COUNT_KEYS), "counts"),
-            materialize(of(HISTOGRAM_ID, DURATION_KEYS), "durations"))
+    counts, hist = together(lambda: materialize(of(COUNTS_ID, COUNT_KEYS), "counts"),
+                            lambda: materialize(of(HISTOGRAM_ID, DURATION_KEYS), "durations"))
+    return counts, hist
 
 
 def trip_aggregates(trips: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,12 +9,15 @@ only the columns the aggregates need.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rides.plans import dimensions as D, facts as FCT, reports as R
 from rides.plans.aggregates import both_aggregates, combined, trip_aggregates
 from rides.plans.intermediate import int_trips
 from rides.plans.staging import stg_trips
+from rides.session import together
 from rides.sources.parquet import month_key
 
 
@@ -113,25 +116,30 @@ def run_models(spark: SparkSession, raw: DataFrame, database: str = "rides",
     def with_month(rows):
         return int_trips(rows).withColumn(MONTH_COL, month_key())
 
-    int_version, read_int = derive("int_trips", version, read_stg, with_month)
-    agg_version, read_agg = derive("agg_trips", int_version, read_int,
-                                   lambda rows: both_aggregates(rows, per=[MONTH_COL]))
-    for name, path_schema, manifest in (("stg_trips", staged.schema, version),
-                                        ("int_trips", read_int().drop(MONTH_COL).schema, int_version)):
-        TB.publish_months(spark, f"{database}.{name}", f"{root}/{name}", path_schema, manifest)
+    (int_version, read_int), (agg_version, read_agg) = together(
+        lambda: derive("int_trips", version, read_stg, with_month),
+        lambda: derive("agg_trips", version, read_stg,
+                       lambda rows: both_aggregates(with_month(rows), per=[MONTH_COL])))
+
+    def publish(name, schema, manifest):
+        TB.publish_months(spark, f"{database}.{name}", f"{root}/{name}", schema, manifest)
         if with_stats:
             TB.analyze(spark, f"{database}.{name}", columns=False)
             set_in_catalog(spark, f"{database}.{name}",
                            column_statistics(spark, {name: V.folders(f"{root}/{name}")}))
-    stg, it = (spark.table(f"{database}.{n}").drop(MONTH_COL) for n in ("stg_trips", "int_trips"))
-    models = build_from_stg(stg, it, combined(read_agg()))
-    out = {"stg_load": summary, "refreshed": {"int_trips": int_version["refreshed"],
-                                              "agg_trips": agg_version["refreshed"]}}
-    for name in MODEL_TABLES:
+
+    def save(name):
         TB.save_table(models[name], f"{database}.{name}", f"{root}/{name}")
         if with_stats and name.startswith("fct_"):
             TB.analyze(spark, f"{database}.{name}")
-        out[name] = spark.table(f"{database}.{name}")
+
+    models = build_from_stg(read_stg(None).drop(MONTH_COL), read_int().drop(MONTH_COL), combined(read_agg()))
+    together(lambda: publish("stg_trips", staged.schema, version),
+             lambda: publish("int_trips", read_int([]).drop(MONTH_COL).schema, int_version),
+             *(partial(save, name) for name in MODEL_TABLES))
+    out = {"stg_load": summary, "refreshed": {"int_trips": int_version["refreshed"],
+                                              "agg_trips": agg_version["refreshed"]}}
+    out.update({name: spark.table(f"{database}.{name}") for name in MODEL_TABLES})
     popular, durations, trends = (out["fct_popular_stations_by_weekday"],
                                   out["fct_trip_duration_by_hour"], out["fct_daily_trip_trends"])
     out.update({

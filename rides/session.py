@@ -120,3 +120,13 @@ def cleanup_scratch(spark: SparkSession) -> None:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     delete_dir(f"{base}/rides/scratch/{spark.sparkContext.applicationId}")
+
+
+def together(*jobs):
+    """Run independent actions at the same time and return their results in
+    order. Each job of a small step leaves most of a cluster idle; Spark's
+    scheduler shares it among those submitted from several threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]

@@ -6,6 +6,8 @@ shared folder, so they survive the session and any executor loss.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +61,7 @@ def _drop(spark: SparkSession, name: str, kind: str | None) -> None:
 
 
 POINTER = "rides.table"         # the property of a published view that names its table
+CONTENT = "rides.content"       # the property of a version's table that tells its months' snapshots
 
 
 def publish_months(spark: SparkSession, name: str, path: str, schema, manifest: dict, keep: int = 2) -> str:
@@ -72,9 +75,15 @@ def publish_months(spark: SparkSession, name: str, path: str, schema, manifest:
     from rides.sources.versions import SNAP_COL
 
     table = f"{name}__v{manifest['version']}"
-    _drop(spark, table, _kind(spark, table))
+    content = hashlib.sha256(json.dumps([path, manifest["months"]], sort_keys=True).encode()).hexdigest()
+    if _kind(spark, table):
+        known = spark.sql(f"SHOW TBLPROPERTIES {table} ('{CONTENT}')").first()["value"]
+        if known == content and _kind(spark, name) == "VIEW" and current_table(spark, name) == table:
+            return table                # published already
+        _drop(spark, table, "EXTERNAL")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_month_field(schema).fields)
-    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({MONTH_COL}) LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY ({MONTH_COL}) "
+              f"TBLPROPERTIES ('{CONTENT}' = '{content}') LOCATION '{path}'")
     months = sorted(manifest["months"].items())
     for at in range(0, len(months), 200):
         parts = " ".join(f"PARTITION ({MONTH_COL}={_partition(m)}) LOCATION "

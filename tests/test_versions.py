@@ -1,0 +1,77 @@
+"""Published tables, derived months and the one name of a station a day."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+
+def trip(rid, start, sid="1", name="S"):
+    s = dt.datetime.fromisoformat(start)
+    return (rid, s, s + dt.timedelta(minutes=12), sid, name, "member")
+
+
+def test_saved_table_is_swapped_at_once(spark, tmp_path, monkeypatch):
+    from rides.sources import tables as TB
+
+    TB.create_schema(spark, "rides_swap", location=str(tmp_path / "db"))
+    name, path = "rides_swap.t", str(tmp_path / "t")
+    TB.save_table(spark.range(3), name, path)
+    reader = spark.table(name)
+    TB.save_table(spark.range(10, 15), name, path)
+    assert sorted(r.id for r in reader.collect()) == [0, 1, 2]
+    assert sorted(r.id for r in spark.table(name).collect()) == [10, 11, 12, 13, 14]
+    with pytest.raises(Exception, match="raised"):          # stopped while writing: the table stays
+        TB.save_table(spark.range(2).select(F.raise_error(F.lit("raised")).cast("long").alias("id")), name, path)
+    assert spark.table(name).count() == 5
+    TB.save_table(spark.range(2).withColumn("more", F.lit("x")), name, path)      # other columns
+    assert spark.table(name).columns == ["id", "more"]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v")]) == 2
+
+
+def test_model_run_makes_only_changed_months_anew(spark, raw_df, tmp_path):
+    """The files of an unchanged month are spoilt before the second run, which
+    yields what a full build of all trips does."""
+    from rides.plans.build import build, run_models
+
+    root = tmp_path / "wh"
+    first = [trip(f"m{i}", f"2023-05-{1 + i % 28:02d} 08:00:00") for i in range(40)]
+    first += [trip(f"j{i}", f"2023-06-{1 + i % 28:02d} 09:00:00", "2") for i in range(40)]
+    out = run_models(spark, raw_df(first), database="rides_months", root=str(root), with_stats=False)
+    assert out["refreshed"] == {"int_trips": ["2023-05", "2023-06"], "agg_trips": ["2023-05", "2023-06"]}
+    for table in ("stg_trips", "int_trips"):
+        for p in root.glob(f"{table}/snap=*/trip_month=2023-05/*.parquet"):
+            p.write_bytes(b"spoilt")
+            (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    second = first + [trip("n", "2023-07-01 08:00:00", "3"), trip("j3", "2023-07-02 08:00:00", "3")]
+    out = run_models(spark, raw_df(second), database="rides_months", root=str(root), with_stats=False)
+    assert out["refreshed"]["int_trips"] == out["refreshed"]["agg_trips"] == ["2023-06", "2023-07"]
+    kept = [r for r in second if r[0] != "j3" or r[1].month == 7]
+    whole = build(raw_df(kept))
+    for name in ("fct_daily_trip_trends", "fct_popular_stations_by_weekday", "fct_trip_duration_by_hour"):
+        assert sorted(map(str, out[name].collect())) == sorted(map(str, whole[name].collect()))
+    # nothing new: nothing is made
+    out = run_models(spark, raw_df(second), database="rides_months", root=str(root), with_stats=False)
+    assert out["refreshed"] == {"int_trips": [], "agg_trips": []}
+
+
+def test_one_name_a_station_and_day(spark, raw_df):
+    from rides.plans.dimensions import dim_stations_history
+    from rides.plans.aggregates import daily_station_counts
+    from rides.plans.facts import fct_popular_stations_one_name
+    from rides.plans.intermediate import int_trips
+    from rides.plans.staging import stg_trips
+
+    rows = [trip(str(i), f"2023-06-{d:02d} 08:00:00", "7", n) for i, (d, n) in enumerate(
+        [(1, "old"), (1, "old"), (1, "new"), (2, "old"), (5, "new"), (5, "new"), (5, "old"), (6, "b"), (6, "a"),
+         (9, None), (9, "a")])] + [trip("x", "2023-06-01 08:00:00", None, None)]
+    rows.append(("y", *trip("y", "2023-06-03 08:00:00", "8")[1:4], None, "member"))
+    it = int_trips(stg_trips(raw_df(rows)))
+    history = dim_stations_history(daily_station_counts(it)).orderBy("station_id", "valid_from").collect()
+    day = lambda d: dt.date(2023, 6, d)
+    assert [tuple(r) for r in history] == [
+        ("7", "old", day(1), day(4)), ("7", "new", day(5), day(5)), ("7", "a", day(6), None), ("8", None, day(3), None)]
+    fact = fct_popular_stations_one_name(it).collect()
+    assert sum(r.total_trips for r in fact) == 12          # every trip with a station, once
+    by = {(r.station_name, r.weekday): (r.total_trips, r.station_rank) for r in fact}
+    assert by[("old", "Thursday")] == (3, 1) and by[("old", "Friday")] == (1, 2) and by[("a", "Friday")] == (2, 1)
