@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rides.llm.common import ASCII_LOWER, ASCII_UPPER, col, let, prepare, saved
+from rides.llm.common import ASCII_LOWER, ASCII_UPPER, col, free, let, prepare, saved
 
 WINDOW = 10
 GRAM = 5
@@ -211,8 +211,9 @@ def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
           text_col: str = "text", **options) -> DataFrame:
     """The rows of ``documents`` that no window of an item hits."""
     found = hits(documents, benchmark, id_col=id_col, text_col=text_col, **options)
-    keys = found.select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct()
-    own = col(id_col).eqNullSafe(F.col("_hit_id")) & (F.xxhash64(col(text_col)) == F.col("_hit_key"))
+    hit_id, hit_key = free(documents, "_hit_id"), free(documents, "_hit_key")
+    keys = found.select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key)).distinct()
+    own = col(id_col).eqNullSafe(F.col(hit_id)) & (F.xxhash64(col(text_col)) == F.col(hit_key))
     return documents.join(keys, own, "left_anti")
 
 

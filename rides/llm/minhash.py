@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rides.llm.common import col, map_arrow, saved
+from rides.llm.common import col, free, map_arrow, saved
 from rides.llm.graph import components
 
 WORDS = 5
@@ -37,8 +37,10 @@ PERCENT = 80
 ROWS = 4
 BANDS = 26
 PERMUTATIONS = ROWS * BANDS // 2
-# Documents without an id are numbered above every id in use.
-NO_ID = (1 << 63) - 1 - (1 << 48)
+# What names a row here: whether it has no id, and the id or the hash of its
+# text in place of one. Rows without an id so come after all ids, none of which
+# is set aside for them.
+NAME = "struct<no_id:boolean,number:bigint>"
 # Pairs up to this many (two longs each) are broadcast to the table of sets.
 BROADCAST_PAIRS = 200_000
 # Documents of a block, and shingles of a matrix, when all are compared.
@@ -113,7 +115,7 @@ def _features(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column(0), batch.column(2), pa.array(sizes), pa.array(keys, pa.binary()), lists],
                     ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
 
-    return map_arrow(docs, run, "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>")
+    return map_arrow(docs, run, f"doc_id {NAME}, text_key long, n_shingles long, set_key binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -287,9 +289,9 @@ def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | No
 
 
 def _named(df: DataFrame, id_col: str, text_col: str) -> tuple:
-    """A row's id, or the number of its text without one, and its text's key."""
-    without = F.lit(NO_ID) + F.pmod(F.xxhash64(col(text_col)), F.lit(1 << 48))
-    return F.coalesce(col(id_col).cast("long"), without), F.xxhash64(col(text_col))
+    """A row's ``NAME`` and its text's key."""
+    own, key = col(id_col).cast("long"), F.xxhash64(col(text_col))
+    return F.struct(own.isNull().alias("no_id"), F.coalesce(own, key).alias("number")), key
 
 
 def _judged(df: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -328,7 +330,7 @@ def near_duplicates(df: DataFrame, words: int = WORDS, percent: int = PERCENT,
     component = F.coalesce("first.doc_id", "doc_id")
 
     def real(c):
-        return F.when(c < NO_ID, c)
+        return F.when(~c["no_id"], c["number"])
 
     return _judged(df, words, percent, id_col, text_col).select(
         real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"),
@@ -342,19 +344,19 @@ def deduplicated(df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     and so do rows without an id unless ``judge_null_ids``."""
     rows = _judged(df, words, percent, id_col, text_col).where("n_shingles > 0")
     if not judge_null_ids:
-        rows = rows.where(F.col("doc_id") < NO_ID)
+        rows = rows.where(~F.col("doc_id.no_id"))
+    names = [free(df, "_judged_id"), free(df, "_judged_key")]
     rows = saved(rows.groupBy("doc_id", "text_key").agg(
         F.first("first").alias("first"), F.count(F.lit(1)).alias("n")).select(
-            F.col("doc_id").alias("_judged_id"), F.col("text_key").alias("_judged_key"), "n",
+            F.col("doc_id").alias(names[0]), F.col("text_key").alias(names[1]), "n",
             (F.struct("doc_id", "text_key") != F.col("first")).alias("gone")).where("gone or n > 1"),
         "minhash-gone")
     number, key = _named(df, id_col, text_col)
-    same = (number == F.col("_judged_id")) & key.eqNullSafe(F.col("_judged_key"))
-    names = ["_judged_id", "_judged_key"]
+    same = (number == F.col(names[0])) & key.eqNullSafe(F.col(names[1]))
     left = df.join(rows.select(*names), same, "left_anti")
     repeated = rows.where("not gone").select(*names)
     if repeated.isEmpty():
         return left
     row = F.struct(*[col(c) for c in df.columns])
     one = df.join(repeated, same).groupBy(*names).agg(F.min_by(row, F.xxhash64(row)).alias("row"))
-    return left.unionByName(one.select("row.*"))
+    return left.union(one.select("row.*"))

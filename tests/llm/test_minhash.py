@@ -116,6 +116,33 @@ def test_one_row_of_each_component(spark):
     assert set(named) - {3, 4, 6, 7} == {0, 2, 8, 9, 10, 11, 12, 13, 14} and len(named) == 11
 
 
+def test_ids_to_the_ends_of_their_range(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    top, low = 2**63 - 1, -2**63
+    rows = [(top, a), (top - 4, a), (2**63 - 2**48, b), (None, b), (low, c), (None, c), (top - 1, "own text here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(top, top - 4, False), (top - 4, top - 4, True), (2**63 - 2**48, 2**63 - 2**48, True),
+                          (None, 2**63 - 2**48, False), (low, low, True), (None, low, False),
+                          (top - 1, top - 1, True)], key=str)
+    kept = minhash.deduplicated(df, judge_null_ids=True).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted([top - 4, 2**63 - 2**48, low, top - 1])
+
+
+def test_columns_named_as_those_used_inside(spark):
+    from rides.llm import decontamination
+
+    a = " ".join(f"a{i}" for i in range(30))
+    df = spark.createDataFrame([(1, a, 7, "x", "k"), (2, a, 8, "y", "l"), (2, a, 8, "y", "l"), (3, "b", 9, "z", "m")],
+                               "doc_id long, text string, _judged_id long, _judged_key string, _hit_id string")
+    kept = minhash.deduplicated(df)
+    assert kept.columns == df.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, a, 7, "x", "k"), (3, "b", 9, "z", "m")]
+    items = spark.createDataFrame([("i", a)], "item_id string, text string")
+    left = decontamination.clean(df.withColumn("_hit_key", df["_judged_id"]), items)
+    assert [r["doc_id"] for r in left.collect()] == [3]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5)]
     rng = random.Random(1)
