@@ -27,7 +27,7 @@ def main(argv=None) -> int:
     p.add_argument("--raw", required=True)
     p.add_argument("--mode", choices=["replace", "append"], default="replace")
     p.add_argument("--lenient", action="store_true", help="unparsable values become NULL")
-    p.add_argument("--rejects", help="folder for CSV rows that do not fit the schema, with their reasons")
+    p.add_argument("--rejects", help="folder for rows that do not fit the schema, with their reasons")
     p = sub.add_parser("run")
     p.add_argument("--raw", required=True)
     p.add_argument("--database", default="rides")
@@ -82,8 +82,7 @@ def _load(spark, args) -> int:
         raise NoUsableFiles(f"no CSV files or archives under {args.input!r}")
     mode = args.mode
     for fn in kinds:
-        rejects = {"rejects": args.rejects} if args.rejects and fn is ingest else {}
-        report = fn(spark, args.input, args.raw, strict=not args.lenient, mode=mode, **rejects)
+        report = fn(spark, args.input, args.raw, strict=not args.lenient, mode=mode, rejects=args.rejects)
         print(json.dumps(report, default=str))
         mode = "append"     # the second kind joins the first
     return 0
@@ -111,9 +110,11 @@ def _test(spark, args) -> int:
     from pyspark.sql import functions as F
 
     from rides.plans import checks as C
+    from rides.sources.footers import table_files
 
     m = _models_from_catalog(spark, args.database)
-    rows = C.run_all(m).collect()
+    files = {t: table_files(spark, f"{args.database}.{t}") for t in C.NOT_NULL}
+    rows = C.run_all(m, C.dq_not_null_saved(spark, files)).collect()
     failed = 0
     for r in rows:
         status = "PASS" if r.violations == 0 else "FAIL"

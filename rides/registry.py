@@ -228,6 +228,15 @@ def q_dq_not_null(spark, sf):
     return C.dq_not_null(_models(spark, sf))
 
 
+@register("dq_not_null_saved")
+def q_dq_not_null_saved(spark, sf):
+    """The not-null checks of a model run's tables, from their file footers."""
+    from rides.sources.footers import table_files
+
+    db, _ = _model_run(spark, _raw(spark, sf))
+    return C.dq_not_null_saved(spark, {t: table_files(spark, f"{db}.{t}") for t in C.NOT_NULL})
+
+
 @register("dq_unique")
 def q_dq_unique(spark, sf):
     return C.dq_unique(_models(spark, sf))
@@ -654,22 +663,19 @@ def q_stream_null_keys(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
-@register("quarantine")
-def q_quarantine(spark, sf):
-    """Files with spoilt fields: rejected rows by reason, and the rows loaded."""
+def _spoilt(spark, sf) -> DataFrame:
+    """Raw trips as text with fields spoilt by rule."""
     from rides.oracle import SPOILT
     from rides.schema import RAW_NAMES
-    from rides.session import shared_dir
-    from rides.sources.csv import ingest
 
-    path, target, rejects = (shared_dir(spark, n, unique=True) for n in ("spoilt", "raw", "rejects"))
     raw = _raw(spark, sf).select(*(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
                                    if c in ("started_at", "ended_at") else F.col(c).cast("string").alias(c)
                                    for c in RAW_NAMES))
-    spoilt = raw.withColumns({c: F.expr(f"case when {rule} then '{text}' else {c} end")
-                              for c, (rule, text) in SPOILT.items()})
-    spoilt.write.options(header=True).csv(path)
-    report = ingest(spark, path, target, mode="replace", rejects=rejects)
+    return raw.withColumns({c: F.expr(f"case when {rule} then '{text}' else {c} end")
+                            for c, (rule, text) in SPOILT.items()})
+
+
+def _refused(spark, report: dict, target: str, rejects: str) -> DataFrame:
     by_reason = (spark.read.parquet(rejects).select(F.explode("reasons").alias("what"))
                       .groupBy("what").agg(F.count(F.lit(1)).alias("n")))
     loaded = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("what"), "n")
@@ -678,6 +684,30 @@ def q_quarantine(spark, sf):
     return by_reason.unionByName(loaded).unionByName(told)
 
 
+@register("quarantine")
+def q_quarantine(spark, sf):
+    """Files with spoilt fields: rejected rows by reason, and the rows loaded."""
+    from rides.session import shared_dir
+    from rides.sources.csv import ingest
+
+    path, target, rejects = (shared_dir(spark, n, unique=True) for n in ("spoilt", "raw", "rejects"))
+    _spoilt(spark, sf).write.options(header=True).csv(path)
+    report = ingest(spark, path, target, mode="replace", rejects=rejects)
+    return _refused(spark, report, target, rejects)
+
+
+@register("archive_quarantine")
+def q_archive_quarantine(spark, sf):
+    """Archives with spoilt fields: rejected rows by reason, and the rows loaded."""
+    from rides.session import shared_dir
+    from rides.sources.archive import ingest_archives, write_trips_zip
+
+    path, target, rejects = (shared_dir(spark, n, unique=True) for n in ("spoilt_zip", "raw", "rejects"))
+    write_trips_zip(_spoilt(spark, sf), path)
+    report = ingest_archives(spark, path, target, mode="replace", rejects=rejects)
+    return _refused(spark, report, target, rejects)
+
+
 @register("load_metrics")
 def q_load_metrics(spark, sf):
     """Figures of a load, counted while its rows were written: trips of which

@@ -171,6 +171,15 @@ def read_trips_zip(spark: SparkSession, path: str, strict: bool = True) -> DataF
     return text.select(*cols, "filename")
 
 
+def read_trips_zip_checked(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the archives, fit or not, with the reasons against it
+    (``rides.operators.quarantine``)."""
+    from rides.operators.quarantine import checked
+
+    register(spark)
+    return checked(spark.read.format(FORMAT).load(path), RAW_SCHEMA, ["filename"])
+
+
 def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
     """Write each partition of ``df`` (raw text columns) as one archive in
     ``out_dir``: an outer zip holding an inner zip holding one CSV, the same
@@ -221,19 +230,21 @@ def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
 
 
 def ingest_archives(spark: SparkSession, path: str, target_path: str, strict: bool = True,
-                    mode: str = "append") -> dict:
+                    mode: str = "append", rejects: str | None = None) -> dict:
     """Write every trip in the archives under ``path`` to a month-partitioned
     raw table in one parallel write, and report rows per CSV member, skipped
     members, archive MB, seconds and MB/s. Rows are counted from what was
-    written, member by member."""
+    written, member by member; ``counts`` and ``rejects`` are as in
+    ``rides.sources.csv.ingest``."""
     import time
 
-    from rides.sources.csv import ingest_stats, write_load
+    from rides.sources.csv import ingest_stats, write_watched
     from rides.sources.files import Admission, filesystem
 
     t0 = time.perf_counter()
     found, skipped = plan_members(path)
-    written = write_load(read_trips_zip(spark, path, strict=strict), target_path, mode)
+    rows = read_trips_zip(spark, path, strict=strict) if rejects is None else read_trips_zip_checked(spark, path)
+    written, counts = write_watched(rows, target_path, mode, rejects)
     adm = Admission(admitted=[(m.label, m.size) for m in found])
     members = [{"member": r["file"], "rows_added": r["rows_added"], "bytes_mb": r["bytes_mb"]}
                for r in ingest_stats(written, adm).orderBy("file").collect()]
@@ -243,4 +254,4 @@ def ingest_archives(spark: SparkSession, path: str, target_path: str, strict: bo
         mb += fs.get_file_info(p).size / 1e6
     secs = time.perf_counter() - t0
     return {"members": members, "skipped": skipped, "rows": sum(m["rows_added"] for m in members),
-            "mb": mb, "seconds": secs, "mb_per_s": mb / secs if secs else None}
+            "mb": mb, "seconds": secs, "mb_per_s": mb / secs if secs else None, "counts": counts}

@@ -163,6 +163,25 @@ def write_load(raw: DataFrame, target_path: str, mode: str) -> DataFrame:
     return written.where(F.col(LOAD_ID) == load_id)
 
 
+def write_watched(rows: DataFrame, target_path: str, mode: str, rejects: str | None) -> tuple[DataFrame, dict]:
+    """``write_load`` with the counts of the rows, taken by the write. With
+    ``rejects`` the rows carry the reasons against them, and those that have
+    any go there."""
+    from rides.operators.metrics import observed, raw_counts
+    from rides.operators.quarantine import REASONS, accepted, rejected
+
+    if rejects is None:
+        raw, watch = observed(rows, raw_counts())
+        return write_load(raw, target_path, mode), watch.get
+    marked, refused = observed(rows, {"rows_rejected": F.count_if(F.size(REASONS) > 0)})
+    raw, watch = observed(accepted(marked), raw_counts())
+    written = write_load(raw, target_path, mode)
+    counts = watch.get | refused.get
+    if counts["rows_rejected"]:
+        rejected(rows, ["filename"]).write.mode("append").parquet(rejects)
+    return written, counts
+
+
 def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
            strict: bool = True, rejects: str | None = None) -> dict:
     """Read admitted CSVs by name and write them to a month-partitioned raw
@@ -173,24 +192,13 @@ def ingest(spark: SparkSession, paths, target_path: str, mode: str = "append",
     With ``rejects`` a row that does not fit the schema neither fails the load
     nor loses its field: it goes to that folder, with file, reasons and text.
     Only a load that has such rows reads its files again, for them alone."""
-    from rides.operators.metrics import observed, raw_counts
-    from rides.operators.quarantine import REASONS, accepted, rejected
-
     t0 = time.perf_counter()
     adm = admit(spark, paths)
     if rejects is None:
         rows = read_trips_csv(spark, paths, strict=strict, admission=adm)
-        raw, watch = observed(rows, raw_counts())
-        written = write_load(raw, target_path, mode)
-        counts = watch.get
     else:
         rows = read_trips_csv_checked(spark, paths, admission=adm)
-        marked, refused = observed(rows, {"rows_rejected": F.count_if(F.size(REASONS) > 0)})
-        raw, watch = observed(accepted(marked), raw_counts())
-        written = write_load(raw, target_path, mode)
-        counts = watch.get | refused.get
-        if counts["rows_rejected"]:
-            rejected(rows, ["filename"]).write.mode("append").parquet(rejects)
+    written, counts = write_watched(rows, target_path, mode, rejects)
     per_file = [r.asDict() for r in ingest_stats(written, adm).orderBy("file").collect()]
     secs = time.perf_counter() - t0
     total_mb = sum(b for _, b in adm.admitted) / 1e6

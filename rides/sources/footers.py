@@ -53,11 +53,13 @@ def _read_footers(batches):
 
 def column_statistics(spark: SparkSession, tables: dict[str, list[str]]) -> DataFrame:
     """(table_name, column_name, row_count, null_count, min_number, max_number,
-    min_text, max_text) of the Parquet folders given for each table. A value
-    that any row group leaves open is null."""
+    min_text, max_text) of the Parquet folders or files given for each table. A
+    value that any row group leaves open is null; a table without files has no
+    rows here."""
     from rides.sources.files import admit
 
-    files = [(t, p) for t, folders in tables.items() for p in admit(spark, folders, "*.parquet").paths]
+    files = [(t, p) for t, folders in tables.items() if folders
+             for p in admit(spark, folders, "*.parquet").paths]
     n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
     footers = (spark.createDataFrame(files, "table_name string, path string").repartition(n)
                     .mapInPandas(_read_footers, FOOTER))
@@ -69,6 +71,13 @@ def column_statistics(spark: SparkSession, tables: dict[str, list[str]]) -> Data
                                                       ("min_text", F.min), ("max_text", F.max))))
 
 
+def table_files(spark: SparkSession, name: str) -> list[str]:
+    """The files that a catalog table, or the view on a version, reads now."""
+    from urllib.parse import unquote
+
+    return [unquote(f).replace("file:///", "/") for f in spark.table(name).inputFiles()]
+
+
 def set_in_catalog(spark: SparkSession, name: str, statistics: DataFrame) -> None:
     """Keep the column statistics with the table ``name``, one property a column
     (``rides.column.<name>``); the number of columns bounds what is collected."""
