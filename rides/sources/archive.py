@@ -1,9 +1,9 @@
 """Zipped trip CSVs read in parallel by a Spark Python data source.
 
 Archives may hold CSV members directly or inner zips of CSVs (one level of
-nesting, as the monthly trip archives do). Planning reads only the central
-directories, several archives at a time, and makes one input partition per
-CSV member. Each task opens its member from shared storage, streams it
+nesting, as the monthly trip archives do). A Spark job plans the read from the
+central directories, and the plan has one input partition
+per CSV member. Each task opens its member from shared storage, streams it
 through pyarrow's incremental reader and yields Arrow record batches whose
 columns are picked *by header name* (text; Spark casts them to the declared
 types JVM-side). Names starting with '._', anything under '__MACOSX/', empty
@@ -13,6 +13,7 @@ members and members that are no CSV are skipped and reported.
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 from dataclasses import dataclass
 
@@ -76,23 +77,53 @@ def _members(archive: str) -> tuple[list[MemberPartition], list[tuple[str, int,
     return found, skipped
 
 
-def plan_members(path: str) -> tuple[list[MemberPartition], list[tuple[str, int, str]]]:
+PLAN = "archive string, place long, member string, inner string, size long, why string"
+
+
+def _plan_batches(batches):
+    """Rows of the plan for archive paths: a member, or what is skipped and why."""
+    import pandas as pd
+
+    for pdf in batches:
+        rows = []
+        for archive in pdf["path"]:
+            found, skipped = _members(archive)
+            rows += [(archive, i, m.member, m.inner, m.size, None) for i, m in enumerate(found)]
+            rows += [(archive, len(found) + i, label, "", size, why) for i, (label, size, why) in enumerate(skipped)]
+        yield pd.DataFrame(rows, columns=[f.split()[0] for f in PLAN.split(", ")])
+
+
+def plan_members(spark: SparkSession, path: str) -> tuple[list[MemberPartition], list[tuple[str, int, str]]]:
     """Every CSV member under ``path`` (a zip or a folder), and what is
-    skipped with its reason. Fails when nothing usable is left."""
-    from concurrent.futures import ThreadPoolExecutor
+    skipped with its reason. Fails when nothing usable is left.
 
+    A Spark job reads the central directories, and through the inner zips that
+    are compressed; the driver lists files and takes one row a member, but
+    opens no archive."""
     from rides.sources.files import NoUsableFiles, admit
 
     adm = admit(None, path, "*.zip")
-    with ThreadPoolExecutor(16) as pool:
-        each = list(pool.map(_members, adm.paths))
-    found = [m for members, _ in each for m in members]
-    skipped = adm.skipped + [s for _, more in each for s in more]
+    n = min(len(adm.paths), 2 * spark.sparkContext.defaultParallelism)
+    paths = spark.createDataFrame([(p,) for p in adm.paths], "path string").repartition(n)
+    rows = sorted(paths.mapInPandas(_plan_batches, PLAN).collect(), key=lambda r: (r["archive"], r["place"]))
+    found = [MemberPartition(r["archive"], r["member"], r["inner"], r["size"]) for r in rows if r["why"] is None]
+    skipped = adm.skipped + [(r["member"], r["size"], r["why"]) for r in rows if r["why"]]
     if not found:
         raise NoUsableFiles(f"no usable members under {path!r} (skipped {len(skipped)})")
     return found, skipped
 
 
+def _saved_plan(spark: SparkSession, found: list[MemberPartition]) -> str:
+    """The plan as a file in the shared folder, from which the source takes its
+    partitions."""
+    from rides.session import shared_dir
+    from rides.sources.parquet import write_text
+
+    path = shared_dir(spark, "archive_plans", unique=True) + ".json"
+    write_text(path, json.dumps([[m.archive, m.member, m.inner, m.size] for m in found]))
+    return path
+
+
 def _csv_batches(stream, label: str, block_size: int):
     """Record batches of RAW columns (text) from one CSV stream, by name.
 
@@ -127,11 +158,13 @@ def _csv_batches(stream, label: str, block_size: int):
 
 class ZipTripsReader(DataSourceReader):
     def __init__(self, options):
-        self.path = options.get("path")
+        self.plan = options.get("plan")
         self.block_size = int(options.get("blockSize", str(1 << 22)))
 
     def partitions(self):
-        return plan_members(self.path)[0]
+        from rides.sources.parquet import read_text
+
+        return [MemberPartition(*m) for m in json.loads(read_text(self.plan))]
 
     def read(self, part: MemberPartition):
         from rides.sources.files import open_path
@@ -160,10 +193,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ZipTripsSource)
 
 
-def read_trips_zip(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Raw trips (declared types) from every zip under ``path``."""
+def _text_members(spark: SparkSession, path: str, found: list[MemberPartition] | None) -> DataFrame:
     register(spark)
-    text = spark.read.format(FORMAT).load(path)
+    found = found or plan_members(spark, path)[0]
+    return spark.read.format(FORMAT).option("plan", _saved_plan(spark, found)).load()
+
+
+def read_trips_zip(spark: SparkSession, path: str, strict: bool = True,
+                   found: list[MemberPartition] | None = None) -> DataFrame:
+    """Raw trips (declared types) from every zip under ``path``; ``found`` is
+    its plan where there is one already."""
+    text = _text_members(spark, path, found)
     cols = []
     for f in RAW_SCHEMA.fields:
         c = F.col(f.name).cast(f.dataType) if strict else F.col(f.name).try_cast(f.dataType)
@@ -171,13 +211,13 @@ def read_trips_zip(spark: SparkSession, path: str, strict: bool = True) -> DataF
     return text.select(*cols, "filename")
 
 
-def read_trips_zip_checked(spark: SparkSession, path: str) -> DataFrame:
+def read_trips_zip_checked(spark: SparkSession, path: str,
+                           found: list[MemberPartition] | None = None) -> DataFrame:
     """Every row of the archives, fit or not, with the reasons against it
     (``rides.operators.quarantine``)."""
     from rides.operators.quarantine import checked
 
-    register(spark)
-    return checked(spark.read.format(FORMAT).load(path), RAW_SCHEMA, ["filename"])
+    return checked(_text_members(spark, path, found), RAW_SCHEMA, ["filename"])
 
 
 def write_trips_zip(df: DataFrame, out_dir: str, nested: bool = True) -> None:
@@ -242,8 +282,9 @@ def ingest_archives(spark: SparkSession, path: str, target_path: str, strict: bo
     from rides.sources.files import Admission, filesystem
 
     t0 = time.perf_counter()
-    found, skipped = plan_members(path)
-    rows = read_trips_zip(spark, path, strict=strict) if rejects is None else read_trips_zip_checked(spark, path)
+    found, skipped = plan_members(spark, path)
+    rows = (read_trips_zip(spark, path, strict, found) if rejects is None
+            else read_trips_zip_checked(spark, path, found))
     written, counts = write_watched(rows, target_path, mode, rejects)
     adm = Admission(admitted=[(m.label, m.size) for m in found])
     members = [{"member": r["file"], "rows_added": r["rows_added"], "bytes_mb": r["bytes_mb"]}

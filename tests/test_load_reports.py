@@ -83,3 +83,30 @@ def test_footer_statistics_against_a_scan(spark, tmp_path):
     assert (got["x"].min_number, got["n"].max_number) == (scan.min_x, 999.0)
     assert (got["s"].min_text, got["s"].max_text, got["none"].min_text) == (scan.min_s, scan.max_s, None)
     assert got["ts"].max_text.startswith(str(scan.max_ts)) and got["d"].min_text == "2023-01-01"
+
+
+def test_driver_opens_no_archive(spark, tmp_path, monkeypatch):
+    """Opening an archive fails in the driver; tasks have their own module."""
+    import zipfile
+
+    from rides.sources import archive, files
+
+    with zipfile.ZipFile(tmp_path / "inner.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("b.csv", ",".join(RAW_NAMES) + "\n" + _line(2) + "\n" + _line(3, lat="x") + "\n")
+    src = tmp_path / "zips"
+    src.mkdir()
+    with zipfile.ZipFile(src / "all.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.csv", ",".join(RAW_NAMES) + "\n" + _line(1) + "\n")
+        z.write(tmp_path / "inner.zip", "month.zip")
+        z.writestr("__MACOSX/._a.csv", "x")
+
+    def closed(path):
+        raise AssertionError(f"the driver opened {path}")
+
+    monkeypatch.setattr(files, "open_path", closed)
+    report = archive.ingest_archives(spark, str(src), str(tmp_path / "raw"), mode="replace",
+                                     rejects=str(tmp_path / "rejects"))
+    assert [m["rows_added"] for m in report["members"]] == [1, 1] and report["counts"]["rows_rejected"] == 1
+    assert [why for _, _, why in report["skipped"]] == ["hidden folder"]
+    assert sorted(r.ride_id for r in spark.read.parquet(str(tmp_path / "raw")).collect()) == ["1", "2"]
+    assert spark.read.parquet(str(tmp_path / "rejects")).first().reasons == ["bad start_lat"]
