@@ -32,6 +32,7 @@ SHALLOW = 24        # bytes ordered by multikey quicksort
 CHUNK = 1 << 22     # starts looked at together; places take PLACE_BITS
 PLACE_BITS = 24
 SORT_BYTES = 4 << 20
+SORT_STARTS = 1 << 21   # suffixes ordered at a time in a task
 SPAN = "text_key long, first long, stop long"
 BLOCK = "gram long, text_key long, first long, stop long, lead int, block binary"
 
@@ -84,14 +85,12 @@ def anchors(raw, length: int):
 
 
 def _words(raw):
-    """Eight bytes from every place as one big-endian number."""
+    """Eight bytes from every place as one big-endian number: a view of the
+    bytes, so it takes no room of its own."""
     import numpy as np
 
     padded = np.concatenate((raw, np.zeros(8, np.uint8)))
-    out = np.zeros(len(raw) + 1, np.uint64)
-    for j in range(8):
-        out |= padded[j:j + len(out)].astype(np.uint64) << np.uint64(56 - 8 * j)
-    return out
+    return np.ndarray(len(raw) + 1, ">u8", padded, 0, (1,))
 
 
 def _split(at, group, key):
@@ -116,7 +115,7 @@ def repeated(raw, starts, group, length: int = LENGTH, shallow: int = SHALLOW):
 
     def key(at, depth):
         cut = max(0, depth + 8 - length)
-        return word[starts[at] + depth] >> np.uint64(8 * cut)
+        return word[starts[at] + depth].astype(np.uint64) >> np.uint64(8 * cut)
 
     at = np.arange(len(starts))
     depth = 0
@@ -171,14 +170,21 @@ def _sorted_blocks(rows: list, length: int) -> list:
     if not suffixes:
         return spans
     raw = np.frombuffer(b"".join(texts), np.uint8)
+    texts.clear()
     ids = {g: i for i, g in enumerate(dict.fromkeys(s[3] for s in suffixes))}
-    counts = np.array([s[1] for s in suffixes])
+    place, counts, lead, gram = (np.array(x) for x in zip(*((p, c, d, ids[g]) for p, c, d, g, _ in suffixes)))
     begin = np.cumsum(counts) - counts
-    inner = np.arange(counts.sum()) - np.repeat(begin, counts)
-    starts = np.repeat([s[0] for s in suffixes], counts) + inner
-    # Equal strings have their anchor at an equal distance.
-    group = np.repeat([ids[s[3]] * (length + 1) + s[2] for s in suffixes], counts) - inner
-    found = repeated(raw, starts, group, length)
+    found = np.zeros(int(counts.sum()), bool)
+    # Equal strings have their anchor at an equal distance, so a range of
+    # distances is sorted by itself: room for SORT_STARTS at a time.
+    width = max(1, SORT_STARTS // len(suffixes))
+    for low in range(0, length, width):
+        first = np.clip(lead - (low + width - 1), 0, counts)
+        n = np.clip(lead - low + 1, 0, counts) - first
+        n = np.maximum(n, 0)
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n)
+        group = np.repeat(gram * (length + 1) + lead, n) - inner
+        found[np.repeat(begin, n) + inner] = repeated(raw, np.repeat(place, n) + inner, group, length)
     for (_, count, _, _, members), low in zip(suffixes, begin.tolist()):
         mask = found[low:low + count]
         if len(set(members)) > 1 or not mask.any():

@@ -82,3 +82,25 @@ def test_chunks_of_a_long_text_agree(monkeypatch):
         return [(s, p, g) for a, b, p, g in zip(*[x.tolist() for x in blocks]) for s in range(a, b + 1)]
 
     assert each(whole) == each(parts)
+
+
+@pytest.mark.parametrize("at_a_time", [1, 700, 1 << 21])
+def test_ranges_of_distances_agree(at_a_time, monkeypatch):
+    """Blocks of one hot gram, sorted some distances at a time."""
+    monkeypatch.setattr(suffix_array, "SORT_STARTS", at_a_time)
+    rng = np.random.default_rng(5)
+    shared = rng.integers(97, 123, 90).astype(np.uint8).tobytes()
+    rows, texts = [], []
+    for i in range(60):
+        cut, more = int(rng.integers(0, 12)), rng.integers(97, 100, 30).astype(np.uint8).tobytes()
+        text = more[:int(rng.integers(0, 30))] + shared[cut:] + more
+        texts.append(text)
+        grams = suffix_array.anchors(np.frombuffer(text, np.uint8), 40)
+        for a, b, p, g in zip(*[x.tolist() for x in grams]):
+            rows.append((g, i, a, p - a, text[a:b + 40]))
+    rows.sort(key=lambda r: r[0])
+    seen = Counter(t[i:i + 40] for t in texts for i in range(len(t) - 39))
+    got = {(k, i) for k, a, b in suffix_array._joined(suffix_array._sorted_blocks(rows, 40)) for i in range(a, b)}
+    want = {(k, i + j) for k, t in enumerate(texts) for i in range(len(t) - 39) if seen[t[i:i + 40]] > 1
+            for j in range(40)}
+    assert got == want
