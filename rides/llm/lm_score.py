@@ -5,8 +5,10 @@ document. Documents are gathered into pieces of a few megabytes of text; a
 piece names its distinct n-grams once, dealt out by the leading bits of their
 hash. Each part of the count table sums its n-grams over all pieces and sends
 the totals back, so an n-gram travels once per piece and not once per
-occurrence, and no part depends on how common an n-gram is. Pieces then look
-up every position and add up the logarithms per document.
+occurrence, and no part depends on how common an n-gram is. The number of
+parts follows the words counted, that of scoring tasks the pieces, so neither
+grows with the corpus. Pieces then look up every position and add up the
+logarithms per document.
 
 A document is scored by the other documents: its own n-grams are taken off the
 counts (``held_out``). With c the remaining count, a word after a context scores
@@ -32,6 +34,8 @@ from rides.llm.common import col, map_arrow, saved
 ORDER = 3
 BACKOFF = 0.4
 PIECE_BYTES = 4 << 20
+PART_WORDS = 1 << 20    # words of the corpus for each part of a count table
+TASK_PIECES = 4         # pieces that a scoring task gets, on average
 PIECE = "piece long, doc_ids array<long>, lengths array<int>, vocabulary binary, places binary, n_words long"
 
 
@@ -132,7 +136,7 @@ def _totals(pieces: DataFrame, n: int, bits: int) -> DataFrame:
         return pa.table({"piece": group["piece"].combine_chunks(), "n": pa.array([n] * len(out), pa.int32()),
                          "part": group["part"].combine_chunks(), "totals": pa.array(out, pa.binary())})
 
-    requests = _requests(pieces, n, bits)
+    requests = _requests(pieces, n, bits).repartition(1 << bits, "part")
     return saved(requests.groupBy("part").applyInArrow(
         count, "piece long, n int, part long, totals binary"), f"lm-totals-{n}")
 
@@ -169,7 +173,8 @@ def _scored(word, doc, inner, lengths, totals: dict, size: int, backoff: float,
     seen = total[1][left] > 0
     single = np.where(seen, total[1][left], 1) / np.where(seen, rest[left], rest[left] + 1)
     score[left] = np.log(single) + factor[left]
-    return np.bincount(doc, score, len(lengths))
+    # A piece without words would be counted in integers.
+    return np.bincount(doc, score, len(lengths)).astype(np.float64)
 
 
 def lm_scores(df: DataFrame, order: int = ORDER, backoff: float = BACKOFF, held_out: bool = True,
@@ -177,15 +182,15 @@ def lm_scores(df: DataFrame, order: int = ORDER, backoff: float = BACKOFF, held_
     """doc_id, n_words, log_score (natural, summed), mean_log of every row."""
     docs = df.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     pieces = saved(_pieces(docs), "lm-pieces")
-    size = pieces.agg(F.sum("n_words").alias("n")).collect()[0]["n"] or 0
-    parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(1, (parts - 1).bit_length())
+    counted = pieces.agg(F.sum("n_words").alias("n"), F.count(F.lit(1)).alias("pieces")).collect()[0]
+    size, tasks = counted["n"] or 0, counted["pieces"] // TASK_PIECES + 1
+    bits = max(1, (size // PART_WORDS).bit_length())
     totals = None
     for n in range(1, order + 1):
         found = _totals(pieces, n, bits)
         totals = found if totals is None else totals.unionByName(found)
     # At most ``order`` rows a part, for the n-grams of one piece.
-    per_piece = totals.groupBy("piece").agg(F.collect_list(F.struct("n", "part", "totals")).alias("totals"))
+    per_piece = totals.repartition(tasks, "piece").groupBy("piece").agg(F.collect_list(F.struct("n", "part", "totals")).alias("totals"))
 
     def run(batches: Iterator) -> Iterator:
         import zlib
@@ -209,5 +214,5 @@ def lm_scores(df: DataFrame, order: int = ORDER, backoff: float = BACKOFF, held_
                     [ids.values, pa.array(n_words), pa.array(score, mask=empty), pa.array(mean, mask=empty)],
                     ["doc_id", "n_words", "log_score", "mean_log"])
 
-    rows = pieces.join(per_piece, "piece", "left").select("doc_ids", "lengths", "vocabulary", "places", "totals")
+    rows = pieces.repartition(tasks, "piece").join(per_piece, "piece", "left").select("doc_ids", "lengths", "vocabulary", "places", "totals")
     return map_arrow(rows, run, "doc_id long, n_words long, log_score double, mean_log double")

@@ -67,3 +67,17 @@ def test_more_text_gives_more_counts():
     word, first = text_hash.words(*text_hash.arrow_bytes(pa.array(["a b a b", "a b"])))
     grams, ends = lm_score._grams(word, np.array([0, 1, 2, 3, 0, 1]), 2)
     assert ends.tolist() == [1, 2, 3, 5] and len(set(grams.tolist())) == 2
+
+
+def test_parts_follow_the_words(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").repartition(4)
+    whole = {r["doc_id"]: r["log_score"] for r in lm_score.lm_scores(docs).collect()}
+    asked = []
+    totals = lm_score._totals
+    monkeypatch.setattr(lm_score, "_totals", lambda p, n, bits: asked.append(bits) or totals(p, n, bits))
+    monkeypatch.setattr(lm_score, "PART_WORDS", 2000)
+    parts = {r["doc_id"]: r["log_score"] for r in lm_score.lm_scores(docs).collect()}
+    n_words = sum(len(words(r["text"])) for r in docs.collect())
+    assert asked == [(n_words // 2000).bit_length()] * 3 and asked[0] > 2
+    assert parts.keys() == whole.keys()
+    assert all(parts[d] == whole[d] or parts[d] == pytest.approx(whole[d], rel=1e-9) for d in whole)
