@@ -28,7 +28,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rides.operators import key_filter as KF
+from rides.operators import key_filter as KF, row_marks as M
 from rides.session import together
 from rides.sources import parquet as PQ, versions as V
 
@@ -62,6 +62,12 @@ def replaced(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return target.join(new.select(key), on=key, how="left_anti").unionByName(new)
 
 
+def _one(columns: list[str]):
+    """The columns as one value to compare; a single column stays itself, whose
+    maximum Spark takes without a sort."""
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def last_writer(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row of each key: the greatest by ``order``, ties by the values of the
     whole row. Rows without a key all stay. The maximum is taken before the
@@ -203,36 +209,66 @@ class IncrementalTable:
         staging = f"{self.path}/_staging/{uuid.uuid4().hex}"
         try:
             staged = self._staged(rows, f"{staging}/rows")
-            repeated, found = together(lambda: self._repeated(staged, f"{staging}/repeated"),
+            order = order or [self.mark_col]
+            repeated, found = together(lambda: self._repeated(staged, order, f"{staging}/repeated"),
                                        lambda: self._months_of(staged))
             if repeated is not None:
-                again = last_writer(staged.join(repeated, self.key, "left_semi"), self.key,
-                                    order or [self.mark_col])
-                staged = self._staged(staged.join(repeated, self.key, "left_anti").unionByName(again),
-                                      f"{staging}/last")
+                staged = self._last(staged, repeated, order, sum(r["n"] for r in found), staging)
                 found = self._months_of(staged)
             new = staged.drop(*extra)
-            return self._apply(new, found, new.schema, version, mark, epochs)
+            return self._apply(new, found, new.schema, version, mark, epochs, staging)
         finally:
             PQ.delete_dir(staging)
 
     def _staged(self, rows: DataFrame, path: str) -> DataFrame:
-        rows.write.parquet(path)
+        rows.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _repeated(self, rows: DataFrame, path: str) -> DataFrame | None:
-        """Keys that stand more than once among staged rows, None without any.
-        Only the keys are shuffled; whole rows are, later, of these keys alone."""
+    def _repeated(self, rows: DataFrame, order: list[str], path: str) -> DataFrame | None:
+        """Keys that stand more than once among staged rows, with the greatest
+        ``order`` of each (``_top``), None without any. Only keys and order are
+        shuffled."""
         keys = self._staged(rows.where(F.col(self.key).isNotNull()).groupBy(self.key)
-                                .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(self.key), path)
+                                .agg(F.count(F.lit(1)).alias("_n"), F.max(_one(order)).alias("_top"))
+                                .where("_n > 1").select(self.key, "_top"), path)
         return None if keys.isEmpty() else keys
 
+    def _last(self, rows: DataFrame, repeated: DataFrame, order: list[str], n: int, staging: str) -> DataFrame:
+        """The last writer of each key of ``n`` staged rows. Rows below their
+        key's greatest order are left out by their place, for which no whole
+        row is shuffled; rows are, once, where a tie remains."""
+        if n <= M.MOST_ROWS:
+            beaten = (M.placed(rows, self.key, *order).join(repeated, self.key)
+                       .where(~_one(order).eqNullSafe(F.col("_top"))))
+            rows = M.without(rows, self._staged(M.marks(beaten), f"{staging}/beaten"))
+            repeated = self._repeated(rows, order, f"{staging}/tied")
+            if repeated is None:
+                return rows
+        keyed, keys = rows.where(F.col(self.key).isNotNull()), repeated.select(self.key)
+        again = last_writer(keyed.join(keys, self.key, "left_semi"), self.key, order)
+        return self._staged(keyed.join(keys, self.key, "left_anti").unionByName(again)
+                                 .unionByName(rows.where(F.col(self.key).isNull())), f"{staging}/last")
+
+    def _kept(self, new: DataFrame, schema, version: dict, touched: list[str], staging: str) -> DataFrame:
+        """Rows of the touched months whose key does not arrive again. Keys are
+        shuffled, rows without one are not, and whole rows only where the months
+        have too many to mark."""
+        rows = V.read(self.spark, self.path, schema, version, touched)
+        if not version["months"].keys() & set(touched):
+            return rows
+        if sum(version["rows"].get(m, 0) for m in touched) > M.MOST_ROWS:
+            return rows.join(new.select(self.key), self.key, "left_anti")
+        gone = (M.placed(rows, self.key).where(F.col(self.key).isNotNull())
+                 .join(new.select(self.key), self.key, "left_semi"))
+        return M.without(rows, self._staged(M.marks(gone), f"{staging}/gone"))
+
     def _months_of(self, rows: DataFrame) -> list:
         """Month, newest mark and number of ``rows``: one row a month."""
         return rows.groupBy(PQ.month_key(self.mark_col).alias("month")).agg(
             F.max(self.mark_col).alias("newest"), F.count(F.lit(1)).alias("n")).collect()
 
-    def _apply(self, new: DataFrame, found: list, schema, version: dict | None, mark, epochs: dict) -> dict:
+    def _apply(self, new: DataFrame, found: list, schema, version: dict | None, mark, epochs: dict,
+               staging: str) -> dict:
         arrived = {_folder(r["month"]): r["n"] for r in found}
         new_months = set(arrived)
         newest = max((x for x in (mark, *(r["newest"] for r in found)) if x is not None), default=None)
@@ -245,7 +281,7 @@ class IncrementalTable:
         hit, looked = self._months_hit(new, sum(r["n"] for r in found), version, schema,
                                        set(version["months"]) - new_months)
         touched = sorted(new_months | hit)
-        kept = V.read(self.spark, self.path, schema, version, touched).drop(PQ.MONTH_COL)
+        kept = self._kept(new, schema, version, touched, staging).drop(PQ.MONTH_COL)
         at_most = {m: version["rows"].get(m, 0) + arrived.get(m, 0) for m in touched}
-        self._write(replaced(kept, new, self.key), schema, version, touched, facts, at_most)
+        self._write(kept.unionByName(new), schema, version, touched, facts, at_most)
         return {"mode": "incremental", "mark": mark, "months": touched, "months_read": looked}

@@ -27,6 +27,7 @@ def write_trips_by_month(df: DataFrame, path: str, mode: str = "overwrite",
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("compression", "zstd")
         .partitionBy(MONTH_COL)
         .parquet(path))
 

@@ -221,3 +221,69 @@ def test_folder_of_an_older_release_is_not_taken_for_an_empty_table(spark, raw_d
         table.load(batch)
     table.load(batch, full_refresh=True)
     assert table.read(batch.schema).count() == 1
+
+
+def _loaded(table, schema):
+    return sorted((r.ride_id or "", str(r.start_ts), str(r.end_ts), r.member_casual)
+                  for r in table.read(schema).collect())
+
+
+def test_repeated_keys_are_told_apart_by_key_and_order_alone(spark, raw_df, tmp_path, monkeypatch):
+    """No whole row is shuffled by its key, in the batch or in the months, unless
+    a tie remains; with too many rows to mark the outcome is the same."""
+    from rides.operators import incremental as I, row_marks as M
+
+    first = stg(raw_df, [trip(f"k{i}", f"2023-0{1 + i % 4}-10 08:00:00") for i in range(40)]
+                + [trip(None, "2023-02-10 08:00:00")] * 3)
+    again = stg(raw_df, [trip(f"k{i}", f"2023-0{1 + (i + j) % 5}-1{j} 09:00:00", member="casual")
+                         for i in range(30) for j in (0, 2, 1)]
+                + [trip(None, "2023-02-10 08:00:00"), trip(None, "2023-05-10 08:00:00")])
+    ties = stg(raw_df, [trip("t", "2023-06-02 08:00:00", m) for m in (10, 30, 20)]
+               + [trip("t", "2023-06-01 08:00:00", 90), trip("u", "2023-06-02 08:00:00"),
+                  trip("u", "2023-07-02 08:00:00"), trip("k39", "2023-06-02 08:00:00")])
+    seen = []
+    for most in (M.MOST_ROWS, 0):
+        table = IncrementalTable(spark, str(tmp_path / f"stg{most}"))
+        with monkeypatch.context() as m:
+            m.setattr(M, "MOST_ROWS", most)
+            if most:
+                for name in ("last_writer", "replaced"):
+                    m.setattr(I, name, lambda *a: pytest.fail("whole rows were shuffled by key"))
+            table.load(first)
+            table.load(again, every_row=True)
+        with monkeypatch.context() as m:
+            m.setattr(M, "MOST_ROWS", most)
+            table.load(ties, every_row=True)
+        seen.append(_loaded(table, first.schema))
+    assert seen[0] == seen[1]
+    want = [("", "2023-02-10 08:00:00")] * 4 + [("", "2023-05-10 08:00:00")]
+    want += [(f"k{i}", str(max(T(f"2023-0{1 + (i + j) % 5}-1{j} 09:00:00") for j in (0, 1, 2)))) for i in range(30)]
+    want += [(f"k{i}", f"2023-0{1 + i % 4}-10 08:00:00") for i in range(30, 39)]
+    want += [("k39", "2023-06-02 08:00:00"), ("t", "2023-06-02 08:00:00"), ("u", "2023-07-02 08:00:00")]
+    assert [(k, s) for k, s, _, _ in seen[0]] == sorted(want)
+    assert [e for k, _, e, _ in seen[0] if k == "t"] == ["2023-06-02 08:30:00"]
+
+
+def test_marked_rows_are_left_out_of_several_blocks_and_files(spark, tmp_path):
+    from rides.operators import row_marks as M
+
+    path, n = str(tmp_path / "rows"), 2 * M.BLOCK_ROWS + 1000
+    spark.range(2 * n, numPartitions=2).write.parquet(path)
+    rows = spark.read.schema("id long").parquet(path)
+    gone = f"id % 7 = 3 or id between {M.BLOCK_ROWS - 5} and {M.BLOCK_ROWS + 5} or id = {2 * n - 1}"
+    left = M.without(rows, M.marks(M.placed(rows, "id").where(gone)))
+    assert left.columns == ["id"]
+    assert left.exceptAll(spark.range(2 * n).where(f"not ({gone})")).isEmpty()
+    assert left.count() == spark.range(2 * n).where(f"not ({gone})").count()
+    assert M.without(rows, M.marks(M.placed(rows, "id").where("false"))).count() == 2 * n
+
+
+def test_rows_without_a_key_are_not_shuffled_by_it(spark, raw_df, tmp_path):
+    """They would all meet in one task."""
+    table = IncrementalTable(spark, str(tmp_path / "stg"))
+    first = stg(raw_df, [trip(None, "2023-05-10 08:00:00")] * 50 + [trip("a", "2023-05-11 08:00:00")])
+    table.load(first)
+    kept = table._kept(first, first.schema, table.version(), ["2023-05"], str(tmp_path / "staging"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ride_id" not in plan and "LeftAnti" not in plan
+    assert kept.count() == 50
