@@ -28,6 +28,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
     "orc.stripe.size": str(16 << 20),
     "compression": "zstd",
+    "orc.compression.zstd.level": "1",
 }
 
 

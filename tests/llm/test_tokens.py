@@ -41,6 +41,18 @@ def test_capital_sigma_at_the_end_of_a_word(library):
     assert tokens.encode_documents(texts, tokens.default_tokenizer()) == [raw(library(t)) for t in texts]
 
 
+def test_marks_behind_a_word_are_put_together_with_it(library, monkeypatch):
+    """Only the marks themselves go through the whole tokenizer, not each chunk."""
+    enc, words = tokens.Encoder(tokens.default_tokenizer()), ["Haus", "ΟΔΟΣ", "école", "naïve", "x"]
+    chunks = [w + m for w in words for m in ("", ".", "...", "!!", "###", ",&&&", ")*", "?\"", "'s", "'s.", "<|", "|>.")]
+    texts = [" ".join(chunks), "### ... Haus###", " ".join(reversed(chunks)) + " end!!"]
+    whole, encode = [], enc._encode_chunks
+    monkeypatch.setattr(enc, "_encode_chunks", lambda part: whole.extend(part) or encode(part))
+    assert enc.encode(texts) == [raw(library(t)[:-1]) for t in texts]
+    assert "Haus###" not in whole and "###" in whole and "x's" in whole
+    assert all(enc.table[c] == raw(library(c)[:-1]) for c in chunks)
+
+
 def test_chunk_table_restart(library, monkeypatch):
     monkeypatch.setattr(tokens, "CHUNKS", 3)
     enc = tokens.Encoder(tokens.default_tokenizer())
